@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import pieces
 from .simhash import simhash_components
 
 
@@ -17,8 +19,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
+    """n_bytes is the end of the last span: the bytes of the whole text."""
+    if model_file is None:
+        import public_tokenizers
+
+        model_file = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model_file)
+    digits = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.coalesce(F.element_at("ends", -1), F.lit(0)).cast("long").alias("n_bytes"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {"op1_simhash": op1_simhash, "op10_sentencepiece": op10_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
