@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces
+from . import pieces, quality, secrets
 from .simhash import simhash_components
+from .winnow import decontaminate
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,24 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op7_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), quality.held_out("doc_id", 5, 0)
+    model = quality.train(docs, table(spark, sf_dir, "labels").where(~out))
+    return quality.score(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
     """n_bytes is the end of the last span: the bytes of the whole text."""
     if model_file is None:
@@ -31,7 +50,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op10_sentencepiece": op10_sentencepiece}
+    return {"op1_simhash": op1_simhash, "op3_zstd_novelty": op3_zstd_novelty, "op5_winnowing": op5_winnowing, "op7_additive_model": op7_additive_model, "op10_sentencepiece": op10_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
