@@ -19,10 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK, bucket_links, components, slices, texts, written
+from .common import bucket_links, components, slices, texts, written
 
 SEED = 42
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Keys of more members are not joined with themselves.
+COLD = 64
+MIX = 0x9E3779B97F4A7C15
 
 
 def shingle_hashes(text: bytes, k: int) -> np.ndarray:
@@ -49,7 +51,7 @@ def majority(hashes: np.ndarray) -> int:
 
 def spread(hashes: np.ndarray, lane: int) -> np.ndarray:
     """Further independent hashes from the first ones."""
-    x = (hashes + MIX * np.uint64(lane)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (hashes + np.uint64(MIX * lane % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
@@ -76,8 +78,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, fp long" + (", more array<long>" if lanes > 1 else ""))
 
 
-def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
-    """The number of fingerprints and the 64 x 64 matrix of sums of products of their bits as -1 and 1."""
+def bit_statistics(fps: DataFrame) -> np.ndarray:
+    """Sums of products of the fingerprints' bits as -1 and 1, with a 65th bit that is always 1."""
 
     def run(batches):
         gram, n = np.zeros((65, 65)), 0
@@ -93,7 +95,7 @@ def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
     found = fps.select("fp").mapInArrow(run, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).toArrow()  # 65 x 65 rows
     gram = np.zeros(65 * 65)
     gram[found["k"].to_numpy()] = found["s"].to_numpy()
-    return int(gram[-1]), gram.reshape(65, 65)
+    return gram.reshape(65, 65)
 
 
 def grouped(gram: np.ndarray, m: int) -> list[list[int]]:
@@ -149,52 +151,48 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def probes(fps: DataFrame, plan: list[tuple[int, int]]) -> DataFrame:
-    """(part, val, fp): the keys of each fingerprint in each part. Equal keys of a part mean at most t bits apart there."""
+def _key(part: int, val: F.Column) -> F.Column:
+    return F.struct(F.lit(part).alias("part"), val.alias("val"))
+
+
+def probes(fps: DataFrame, plan: list[tuple[int, int]], lane: int = 0) -> DataFrame:
+    """(part, val, fp, id): the keys of each fingerprint in each part. Two that share a key are at most t bits apart there."""
     parts = []
     for i, (mask, t) in enumerate(plan):
         bits = [signed(1 << b) for b in range(64) if mask >> b & 1]
         own = F.col("fp").bitwiseAND(F.lit(signed(mask)))
         near = F.array(own, *[own.bitwiseXOR(F.lit(b)) for b in bits])
         vals = F.array(own) if t == 0 else near if t == 2 else F.when(F.bit_count(own) % 2 == 1, near).otherwise(F.array(own))
-        parts.append(F.transform(vals, lambda v, i=i: F.struct(F.lit(i).alias("part"), v.alias("val"))))
-    return fps.select("fp", F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("k")).select("k.part", "k.val", "fp")
+        parts.append(F.transform(vals, partial(_key, 8 * lane + i)))
+    return fps.select("fp", "id", F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("k")).select("k.part", "k.val", "fp", "id")
 
 
-def _near(items: list, tau: int) -> np.ndarray:
-    x = np.array(items, np.int64).view(np.uint64)
-    return np.bitwise_count(x[:, None] ^ x[None, :]) <= tau
+def links(keys: DataFrame, tau: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of ids that share a key and have at most tau differing bits, and the keys of more than COLD members, with
+    their sizes n, whose pairs are left out."""
+    hot = written(keys.groupBy("part", "val").agg(F.count("*").alias("n")).where(F.col("n") > COLD), "hot")
+    cold = keys.join(hot.select("part", "val"), ["part", "val"], "left_anti")
+    left, right = (cold.select(F.col("part").alias(f"part_{x}"), F.col("val").alias(f"val_{x}"), F.col("fp").alias(f"fp_{x}"), F.col("id").alias(x)) for x in "ab")
+    close = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= tau
+    met = left.join(right, (F.col("part_a") == F.col("part_b")) & (F.col("val_a") == F.col("val_b")) & (F.col("a") < F.col("b")) & close)
+    return met.select("a", "b"), hot
 
 
-def _near_wide(items: list, tau: int, wide: int) -> np.ndarray:
+def _near(items: list, wide: int) -> np.ndarray:
     x = np.array(items, np.int64).view(np.uint64)
     d = np.zeros((len(x), len(x)), np.int32)
     for lane in range(x.shape[1]):
         d += np.bitwise_count(x[:, None, lane] ^ x[None, :, lane])
-        if lane == 0:
-            first = d <= tau
-    return first & (d <= wide)
+    return d <= wide
 
 
-def links(fps: DataFrame, tau: int) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints, all of at most tau differing bits, that connect whatever is within tau bits.
-
-    fps has distinct `fp`. Buckets of two are verified where they are counted; larger ones are compared inside tasks.
-    """
-    _, gram = bit_statistics(fps)
-    keys = probes(fps, allocate(gram, tau))
-    counts = keys.groupBy("part", "val").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
-    counts = written(counts, "buckets")
-    two = counts.where((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau)).select("a", "b")
-    members = keys.withColumn("id", F.col("fp")).withColumn("item", F.col("fp")).drop("fp")
-    hot = F.col("n") > (BLOCK if tau <= 2 else 1 << 62)
-    more = bucket_links(members, counts.where((F.col("n") > 2) & ~hot), ["part", "val"], partial(_near, tau=tau))
-    # Members of a large bucket are keyed anew by all their one-bit neighbours: whoever shares one is within two bits.
-    large = keys.join(counts.where(hot).select("part", "val"), ["part", "val"], "left_semi").select("fp").distinct()
+def stars(keys: DataFrame, hot: DataFrame) -> DataFrame:
+    """Links (a, b) within two bits among the members of hot keys. They are keyed anew by their one-bit neighbours: all that share
+    such a key are within two bits of each other, so that a link to the smallest of them is enough."""
+    large = keys.join(hot.select("part", "val"), ["part", "val"], "left_semi").select("fp", "id").distinct()
     variants = probes(large, [((1 << 64) - 1, 2)])
-    centres = variants.groupBy("val").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("val", "a")
-    stars = variants.join(centres, "val").where(F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= tau).select("a", F.col("fp").alias("b")).where("a < b")
-    return two.union(more).union(stars)
+    centres = variants.groupBy("val").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("val", "a")
+    return variants.join(centres, "val").select("a", F.col("id").alias("b")).where("a < b")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, tau: int = 2) -> DataFrame:
@@ -205,34 +203,42 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     fps = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
     alike = fps.groupBy("fp").agg(F.min("id").alias("first"))
-    found = components(links(alike.select("fp"), tau))
+    distinct = alike.select("fp", F.col("fp").alias("id"))
+    keys = probes(distinct, allocate(bit_statistics(distinct), tau))
+    near, hot = links(keys, tau)
+    if not hot.isEmpty():
+        # Stars hold for two bits; a smaller radius or a larger one compares the hot keys' members block by block.
+        member = keys.select("part", "val", "id", F.array("fp").alias("item"))
+        near = near.union(stars(keys, hot) if tau == 2 else bucket_links(member, hot, ["part", "val"], partial(_near, wide=tau)))
+    found = components(near)
     named = alike.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(lowest, "component").select("fp", "component_id")
     return fps.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, tau: int = 8, lanes: int = 6, wide: int = 62) -> DataFrame:
+def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, tau: int = 8, tables: int = 2, lanes: int = 6, wide: int = 62) -> DataFrame:
     """docs without near-duplicates: of each group the document of the smallest id stays.
 
-    Documents are alike if their 64-bit fingerprints of five-word shingles differ in at most tau bits and all lanes together
-    (384 bits) in at most `wide`: at a shingle similarity of 0.8 a bit differs with a chance of 0.151, which is 58 of 384 bits.
-    Texts of no words are alike.
+    A document has `lanes` fingerprints of its five-word shingles, 384 bits. Candidates differ in at most tau bits of one of the
+    first `tables` lanes; they are alike if at most `wide` of all bits differ. At a shingle similarity of 0.8 a bit differs with a
+    chance of 0.151, which makes 58 of 384. Texts without words are alike. Rows of one id stay or go together.
     """
     fps = written(fingerprints(docs, id_col, text_col, words, lanes), "fingerprints")
     code = F.concat(F.array("fp"), F.col("more"))
-    alike = written(fps.groupBy(code.alias("code")).agg(F.min("id").alias("first")).select("first", "code", F.col("code")[0].alias("fp")), "codes")
-    firsts = alike.select("fp").distinct()
-    _, gram = bit_statistics(firsts)
-    keys = probes(alike.select(F.struct("first", "code").alias("fp_all"), "fp").select("fp", "fp_all").select("fp").distinct(), allocate(gram, tau))
-    counts = written(keys.groupBy("part", "val").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "buckets")
-    # Different codes of the same first lane are compared among themselves under a key of their own.
-    same = alike.groupBy("fp").count().where("count > 1").select(F.lit(-1).alias("part"), F.col("fp").alias("val"), F.col("count").alias("n"))
-    close = counts.where((F.col("n") > 2) | (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau)).select("part", "val", "n")
-    hit = keys.join(close.select("part", "val"), ["part", "val"], "left_semi")
-    member = hit.join(alike, "fp").select("part", "val", F.col("first").alias("id"), F.col("code").alias("item"))
-    member = member.union(alike.join(same.select(F.col("val").alias("fp")), "fp", "left_semi").select(F.lit(-1).alias("part"), F.col("fp").alias("val"), F.col("first").alias("id"), F.col("code").alias("item")))
-    sizes = member.groupBy("part", "val").agg(F.count("*").alias("n"))
-    found = components(bucket_links(member, sizes, ["part", "val"], partial(_near_wide, tau=tau, wide=wide), 512))
-    kept = alike.join(found.where("node > component").select(F.col("node").alias("first")), "first", "left_anti").select(F.col("first").alias(id_col))
+    alike = written(fps.groupBy(code.alias("code")).agg(F.min("id").alias("id")), "codes")
+    keys = None
+    for lane in range(tables):
+        lane_fps = alike.select(F.col("code")[lane].alias("fp"), "id")
+        lane_keys = probes(lane_fps, allocate(bit_statistics(lane_fps), tau), lane)
+        keys = lane_keys if keys is None else keys.union(lane_keys)
+    met, hot = links(keys, tau)
+    codes = lambda x: alike.select(F.col("id").alias(x), F.col("code").alias(f"code_{x}"))
+    differ = F.aggregate(F.zip_with("code_a", "code_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, d: s + d)
+    near = written(met.distinct(), "met").join(codes("a"), "a").join(codes("b"), "b").where(differ <= wide).select("a", "b")
+    if not hot.isEmpty():
+        member = keys.join(hot.select("part", "val"), ["part", "val"]).join(alike, "id").select("part", "val", "id", F.col("code").alias("item"))
+        near = near.union(bucket_links(member, hot, ["part", "val"], partial(_near, wide=wide)))
+    found = components(near)
+    kept = alike.join(found.where("node > component").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id").alias(id_col))
     return docs.join(kept, id_col, "left_semi")
