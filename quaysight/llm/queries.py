@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces, quality, secrets
+from . import licenses, pieces, quality, secrets, urls
 from .simhash import simhash_components
 from .winnow import decontaminate
 
@@ -20,6 +20,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """score: 1 if an expression or a base phrase names a licence, 0.7 for other notices, 0 without any."""
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("matches", lambda m: m["base"])
+    named = lambda of: F.array_join(F.array_sort(F.array_distinct(of)), ",")
+    labels = F.concat(F.col("matches.label"), F.flatten(F.col("expressions.licenses")))
+    score = F.when((F.size(base) > 0) | (F.size("expressions") > 0), 1.0).when(F.size("matches") > 0, 0.7).otherwise(0.0)
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base["first"]).alias("first_word"), F.array_max(base["first"]).alias("last_word"),
+        named(base["label"]).alias("base_labels"), named(labels).alias("labels"), score.alias("score"),
+    )
+
+
 def op3_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] != "novel")
@@ -38,6 +51,10 @@ def op7_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op8_markov_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
     """n_bytes is the end of the last span: the bytes of the whole text."""
     if model_file is None:
@@ -50,7 +67,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op3_zstd_novelty": op3_zstd_novelty, "op5_winnowing": op5_winnowing, "op7_additive_model": op7_additive_model, "op10_sentencepiece": op10_sentencepiece}
+    return {"op1_simhash": op1_simhash, "op2_aho_corasick": op2_aho_corasick, "op3_zstd_novelty": op3_zstd_novelty, "op5_winnowing": op5_winnowing, "op7_additive_model": op7_additive_model, "op8_markov_ratio": op8_markov_ratio, "op10_sentencepiece": op10_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
