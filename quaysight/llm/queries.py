@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, pieces, quality, secrets, urls
+from . import licenses, pieces, quality, secrets, toxicity, urls
 from .simhash import simhash_components
+from .vectors import near_vectors
 from .winnow import decontaminate
 
 
@@ -40,11 +41,21 @@ def op3_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
 
 
+def op4_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_levenshtein_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), quality.held_out("doc_id", 3, 1)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~out))
+    return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op7_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = table(spark, sf_dir, "documents"), quality.held_out("doc_id", 5, 0)
     model = quality.train(docs, table(spark, sf_dir, "labels").where(~out))
@@ -67,7 +78,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op2_aho_corasick": op2_aho_corasick, "op3_zstd_novelty": op3_zstd_novelty, "op5_winnowing": op5_winnowing, "op7_additive_model": op7_additive_model, "op8_markov_ratio": op8_markov_ratio, "op10_sentencepiece": op10_sentencepiece}
+    return {"op1_simhash": op1_simhash, "op2_aho_corasick": op2_aho_corasick, "op3_zstd_novelty": op3_zstd_novelty, "op4_projection_forest": op4_projection_forest, "op5_winnowing": op5_winnowing, "op6_levenshtein_trie": op6_levenshtein_trie, "op7_additive_model": op7_additive_model, "op8_markov_ratio": op8_markov_ratio, "op10_sentencepiece": op10_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
