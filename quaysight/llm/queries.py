@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import licenses, pieces, quality, secrets, toxicity, urls
+from .passages import repeated
 from .simhash import simhash_components
 from .vectors import near_vectors
 from .winnow import decontaminate
@@ -66,6 +67,10 @@ def op8_markov_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op9_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
     """n_bytes is the end of the last span: the bytes of the whole text."""
     if model_file is None:
@@ -78,7 +83,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op2_aho_corasick": op2_aho_corasick, "op3_zstd_novelty": op3_zstd_novelty, "op4_projection_forest": op4_projection_forest, "op5_winnowing": op5_winnowing, "op6_levenshtein_trie": op6_levenshtein_trie, "op7_additive_model": op7_additive_model, "op8_markov_ratio": op8_markov_ratio, "op10_sentencepiece": op10_sentencepiece}
+    return {"op1_simhash": op1_simhash, "op2_aho_corasick": op2_aho_corasick, "op3_zstd_novelty": op3_zstd_novelty, "op4_projection_forest": op4_projection_forest, "op5_winnowing": op5_winnowing, "op6_levenshtein_trie": op6_levenshtein_trie, "op7_additive_model": op7_additive_model, "op8_markov_ratio": op8_markov_ratio, "op9_paragraph_minhash": op9_paragraph_minhash, "op10_sentencepiece": op10_sentencepiece}
 
 
 def oracle_sql() -> dict[str, str]:
