@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import bucket_links, components, slices, texts, written
 
 SEED = 42
-#: Keys of more members are not joined with themselves.
+#: Keys of so many times the usual members are not joined with themselves.
 COLD = 64
 MIX = 0x9E3779B97F4A7C15
 
@@ -151,31 +151,53 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _key(part: int, val: F.Column) -> F.Column:
-    return F.struct(F.lit(part).alias("part"), val.alias("val"))
+def parts_of(fps: DataFrame, plan: list[tuple[int, int]], lane: int = 0) -> DataFrame:
+    """(part, own, fp, id): the value of each fingerprint in each part."""
+    own = [F.struct(F.lit(8 * lane + i).alias("part"), F.col("fp").bitwiseAND(F.lit(signed(mask))).alias("own")) for i, (mask, _) in enumerate(plan)]
+    return fps.select("fp", "id", F.explode(F.array(*own)).alias("k")).select("k.part", "k.own", "fp", "id")
 
 
-def probes(fps: DataFrame, plan: list[tuple[int, int]], lane: int = 0) -> DataFrame:
-    """(part, val, fp, id): the keys of each fingerprint in each part. Two that share a key are at most t bits apart there."""
-    parts = []
-    for i, (mask, t) in enumerate(plan):
-        bits = [signed(1 << b) for b in range(64) if mask >> b & 1]
-        own = F.col("fp").bitwiseAND(F.lit(signed(mask)))
-        near = F.array(own, *[own.bitwiseXOR(F.lit(b)) for b in bits])
-        vals = F.array(own) if t == 0 else near if t == 2 else F.when(F.bit_count(own) % 2 == 1, near).otherwise(F.array(own))
-        parts.append(F.transform(vals, partial(_key, 8 * lane + i)))
-    return fps.select("fp", "id", F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("k")).select("k.part", "k.val", "fp", "id")
+def keyed(values: DataFrame, plans: list[list[tuple[int, int]]]) -> DataFrame:
+    """values (part, own, ...) with a row for each key `val` of the value: equal keys mean at most t bits apart in the part."""
+    own, vals = F.col("own"), None
+    for lane, plan in enumerate(plans):
+        for i, (mask, t) in enumerate(plan):
+            near = F.array(own, *[own.bitwiseXOR(F.lit(signed(1 << b))) for b in range(64) if mask >> b & 1])
+            keys = F.array(own) if t == 0 else near if t == 2 else F.when(F.bit_count(own) % 2 == 1, near).otherwise(F.array(own))
+            here = F.col("part") == 8 * lane + i
+            vals = F.when(here, keys) if vals is None else vals.when(here, keys)
+    return values.withColumn("val", F.explode(vals))
 
 
-def links(keys: DataFrame, tau: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of ids that share a key and have at most tau differing bits, and the keys of more than COLD members, with
-    their sizes n, whose pairs are left out."""
-    hot = written(keys.groupBy("part", "val").agg(F.count("*").alias("n")).where(F.col("n") > COLD), "hot")
+def links(parts: DataFrame, plans: list[list[tuple[int, int]]], tau: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of ids that share a key of few members and have at most tau differing bits; and (part, own, cluster) of the values
+    under keys of many members, whose pairs are left out. Values that share such a key are in one cluster.
+
+    A key has many members if they are over COLD times what they would be, were all keys alike. Members are counted by value, so that
+    copies of a value weigh nothing.
+    """
+    values = parts.groupBy("part", "own").agg(F.count("*").alias("m"))
+    sizes = keyed(values, plans).groupBy("part", "val").agg(F.sum("m").alias("n"), F.min("own").alias("low"))
+    widths = {8 * lane + i: mask.bit_count() for lane, plan in enumerate(plans) for i, (mask, _) in enumerate(plan)}
+    usual = F.greatest(F.lit(1.0), F.avg("n"))
+    even = {r["part"]: r["usual"] for r in sizes.groupBy("part").agg(usual.alias("usual")).collect()} if min(widths.values()) < 40 else {}
+    limit = F.lit(float(COLD))
+    for part, mean in sorted(even.items()):
+        limit = F.when(F.col("part") == part, COLD * mean).otherwise(limit)
+    hot = written(sizes.where(F.col("n") > limit).select("part", "val", "low"), "hot")
+    keys = keyed(parts, plans)
     cold = keys.join(hot.select("part", "val"), ["part", "val"], "left_anti")
     left, right = (cold.select(F.col("part").alias(f"part_{x}"), F.col("val").alias(f"val_{x}"), F.col("fp").alias(f"fp_{x}"), F.col("id").alias(x)) for x in "ab")
     close = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= tau
     met = left.join(right, (F.col("part_a") == F.col("part_b")) & (F.col("val_a") == F.col("val_b")) & (F.col("a") < F.col("b")) & close)
-    return met.select("a", "b"), hot
+    if hot.isEmpty():
+        return met.select("a", "b"), hot.select("part", F.col("val").alias("own"), F.col("low").alias("cluster"))
+    name = lambda c: F.xxhash64("part", c)
+    under = keyed(values, plans).join(hot, ["part", "val"]).select("part", "own", name("own").alias("a"), name("low").alias("b")).distinct()
+    under = written(under, "under")
+    same = components(under)
+    clusters = under.select("part", "own", F.col("a").alias("node")).distinct().join(same, "node", "left").select("part", "own", F.coalesce("component", "node").alias("cluster"))
+    return met.select("a", "b"), written(clusters, "clusters")
 
 
 def _near(items: list, wide: int) -> np.ndarray:
@@ -186,15 +208,21 @@ def _near(items: list, wide: int) -> np.ndarray:
     return d <= wide
 
 
-def stars(keys: DataFrame, hot: DataFrame) -> DataFrame:
-    """Links (a, b) within two bits among the members of hot keys. They are keyed anew by their one-bit neighbours: all that share
+def stars(fps: DataFrame) -> DataFrame:
+    """Links (a, b) within two bits among fingerprints. They are keyed by themselves and their one-bit neighbours: all that share
     such a key are within two bits of each other, so that a link to the smallest of them is enough."""
-    large = keys.join(hot.select("part", "val"), ["part", "val"], "left_semi").select("fp", "id").distinct()
-    variants = probes(large, [((1 << 64) - 1, 2)])
+    variants = keyed(fps.select(F.lit(0).alias("part"), F.col("fp").alias("own"), "id"), [[((1 << 64) - 1, 2)]])
     centres = variants.groupBy("val").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("val", "a")
     return variants.join(centres, "val").select("a", F.col("id").alias("b")).where("a < b")
 
 
+def cluster_links(parts: DataFrame, clusters: DataFrame, items: DataFrame, wide: int) -> DataFrame:
+    """Links (a, b) of ids whose items differ in at most `wide` bits, among the members of each cluster, block by block."""
+    member = parts.select("part", "own", "id").join(clusters, ["part", "own"]).select("part", "cluster", "id")
+    sizes = member.groupBy("part", "cluster").agg(F.count("*").alias("n"))
+    return bucket_links(member.join(items, "id"), sizes, ["part", "cluster"], partial(_near, wide=wide))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, tau: int = 2) -> DataFrame:
     """(id_col, fingerprint, component_id) of each document: documents link if their fingerprints differ in at most tau bits.
 
@@ -204,12 +232,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fps = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
     alike = fps.groupBy("fp").agg(F.min("id").alias("first"))
     distinct = alike.select("fp", F.col("fp").alias("id"))
-    keys = probes(distinct, allocate(bit_statistics(distinct), tau))
-    near, hot = links(keys, tau)
-    if not hot.isEmpty():
-        # Stars hold for two bits; a smaller radius or a larger one compares the hot keys' members block by block.
-        member = keys.select("part", "val", "id", F.array("fp").alias("item"))
-        near = near.union(stars(keys, hot) if tau == 2 else bucket_links(member, hot, ["part", "val"], partial(_near, wide=tau)))
+    plan = allocate(bit_statistics(distinct), tau)
+    parts = parts_of(distinct, plan)
+    near, clusters = links(parts, [plan], tau)
+    if not clusters.isEmpty():
+        # Stars hold for two bits; for another radius the members of large keys are compared block by block.
+        large = parts.join(clusters, ["part", "own"], "left_semi").select("fp", "id").distinct()
+        near = near.union(stars(large) if tau == 2 else cluster_links(parts, clusters, distinct.select("id", F.array("fp").alias("item")), tau))
     found = components(near)
     named = alike.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -227,18 +256,18 @@ def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     fps = written(fingerprints(docs, id_col, text_col, words, lanes), "fingerprints")
     code = F.concat(F.array("fp"), F.col("more"))
     alike = written(fps.groupBy(code.alias("code")).agg(F.min("id").alias("id")), "codes")
-    keys = None
+    parts, plans = None, []
     for lane in range(tables):
         lane_fps = alike.select(F.col("code")[lane].alias("fp"), "id")
-        lane_keys = probes(lane_fps, allocate(bit_statistics(lane_fps), tau), lane)
-        keys = lane_keys if keys is None else keys.union(lane_keys)
-    met, hot = links(keys, tau)
+        plans.append(allocate(bit_statistics(lane_fps), tau))
+        lane_parts = parts_of(lane_fps, plans[-1], lane)
+        parts = lane_parts if parts is None else parts.union(lane_parts)
+    met, clusters = links(parts, plans, tau)
     codes = lambda x: alike.select(F.col("id").alias(x), F.col("code").alias(f"code_{x}"))
     differ = F.aggregate(F.zip_with("code_a", "code_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, d: s + d)
     near = written(met.distinct(), "met").join(codes("a"), "a").join(codes("b"), "b").where(differ <= wide).select("a", "b")
-    if not hot.isEmpty():
-        member = keys.join(hot.select("part", "val"), ["part", "val"]).join(alike, "id").select("part", "val", "id", F.col("code").alias("item"))
-        near = near.union(bucket_links(member, hot, ["part", "val"], partial(_near, wide=wide)))
+    if not clusters.isEmpty():
+        near = near.union(cluster_links(parts, clusters, alike.select("id", F.col("code").alias("item")), wide))
     found = components(near)
     kept = alike.join(found.where("node > component").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id").alias(id_col))
     return docs.join(kept, id_col, "left_semi")
