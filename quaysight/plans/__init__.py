@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("market",)
+MODULES = ("market", "ops", "checks")
 
 
 def _all(attribute: str) -> dict:

@@ -71,7 +71,7 @@ def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("l_returnflag").alias("venue"), F.col("l_suppkey").alias("symbol"), F.col("l_orderkey").alias("order_id"), us("o_orderdate").alias("signal_us"), (us("o_orderdate") + F.col("l_linenumber") * 3600000000).alias("order_us"),
         us("l_shipdate").alias("ack_us"), (us("l_shipdate") + F.col("l_linenumber") * 60000000).alias("fill_us"), (F.col("l_discount") * 100).alias("slippage"), F.col("l_linenumber").alias("queue"), F.col("l_quantity").alias("quantity"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 4).alias("price"), (F.col("l_tax") * F.col("l_extendedprice")).alias("fee"), (F.col("o_orderstatus") == "P").alias("rejected"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), (F.col("l_tax") * F.col("l_extendedprice")).alias("fee"), (F.col("o_orderstatus") == "P").alias("rejected"),
     )
 
 
@@ -81,5 +81,5 @@ SQL = {
     "options": "options AS (SELECT p_brand AS symbol, CAST(date_trunc('month', l_shipdate) AS DATE) AS expiry, CAST(p_size AS DOUBLE) AS strike, CASE WHEN l_linestatus = 'O' THEN 'call' ELSE 'put' END AS option_type, round(0.2 + l_discount, 4) AS iv, round(CASE WHEN l_linestatus = 'O' THEN l_tax * 10 ELSE -l_tax * 10 END, 4) AS delta, round(l_discount - 0.01, 4) AS gamma, underlying, l_shipdate AS ts, {'a': l_shipdate, 'b': l_orderkey, 'c': l_linenumber, 'd': l_extendedprice} AS seq FROM lineitem JOIN part ON l_partkey = p_partkey JOIN (SELECT p_brand AS brand, avg(p_size) AS underlying FROM part GROUP BY 1) ON p_brand = brand)",
     "flows": "flows AS (SELECT o_orderkey AS flow_id, 'chain' || CAST(n_regionkey AS VARCHAR) AS chain, c_name AS from_address, 'wallet' || CAST(o_custkey % 50 AS VARCHAR) AS to_address, o_totalprice AS value_usd, o_orderdate AS ts, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'dex_swap' WHEN '2' THEN 'lst_stake' WHEN '3' THEN 'lst_unstake' ELSE 'erc20_transfer' END AS event_type FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)",
     "incidents": "incidents AS (SELECT event_id AS incident_id, ts, event_type AS incident_class, 'agent' || CAST(user_id % 5 AS VARCHAR) AS agent, CASE WHEN value < 10 THEN 'info' WHEN value < 30 THEN 'warn' ELSE 'crit' END AS severity, event_id % 3 = 0 AS resolved, value FROM events)",
-    "executions": "executions AS (SELECT l_returnflag AS venue, l_suppkey AS symbol, l_orderkey AS order_id, epoch_us(o_orderdate) AS signal_us, epoch_us(o_orderdate) + l_linenumber * 3600000000 AS order_us, epoch_us(l_shipdate) AS ack_us, epoch_us(l_shipdate) + l_linenumber * 60000000 AS fill_us, l_discount * 100 AS slippage, l_linenumber AS queue, l_quantity AS quantity, round(l_extendedprice / l_quantity, 4) AS price, l_tax * l_extendedprice AS fee, o_orderstatus = 'P' AS rejected FROM orders JOIN lineitem ON o_orderkey = l_orderkey)",
+    "executions": "executions AS (SELECT l_returnflag AS venue, l_suppkey AS symbol, l_orderkey AS order_id, epoch_us(o_orderdate) AS signal_us, epoch_us(o_orderdate) + l_linenumber * 3600000000 AS order_us, epoch_us(l_shipdate) AS ack_us, epoch_us(l_shipdate) + l_linenumber * 60000000 AS fill_us, l_discount * 100 AS slippage, l_linenumber AS queue, l_quantity AS quantity, l_extendedprice / l_quantity AS price, l_tax * l_extendedprice AS fee, o_orderstatus = 'P' AS rejected FROM orders JOIN lineitem ON o_orderkey = l_orderkey)",
 }
