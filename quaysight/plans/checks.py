@@ -347,11 +347,11 @@ def rec_order_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.order_differences(a, b, "k", "at")
 
 
-@query(f"WITH {_S}, g AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY k ORDER BY ts, id))) / 1000000 AS gap_s FROM s), p AS (SELECT *, CASE WHEN gap_s > 0 THEN gap_s END AS pos FROM g), w AS (SELECT *, avg(gap_s) OVER a AS mean_gap, stddev_samp(gap_s) OVER a AS sd_gap, quantile_cont(pos, 0.5) OVER b AS bar, quantile_cont(pos, 0.25) OVER b AS q1, quantile_cont(pos, 0.75) OVER b AS q3 FROM p WINDOW a AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), b AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)), x AS (SELECT *, 1.4826 * (q3 - q1) / 2 AS jitter, rn >= 10 OR coalesce(rn >= 3 AND sd_gap / mean_gap < 0.2, false) AS armed FROM w) SELECT id, k, armed, round(mean_gap, 7) AS mean_gap, round(bar, 7) AS bar, round(jitter, 7) AS jitter, round(CASE WHEN NOT armed THEN 2 * 600 ELSE coalesce(greatest(10, least(3600, 1.5 * bar + 2 * jitter)), greatest(10, least(3600, 1.5 * 600))) END, 7) AS threshold_s FROM x")
+@query(f"WITH {_S}, g AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY k ORDER BY ts, id))) / 1000000 AS gap_s FROM s), p AS (SELECT *, CASE WHEN gap_s > 0 THEN gap_s END AS pos FROM g), w AS (SELECT *, avg(gap_s) OVER a AS mean_gap, stddev_samp(gap_s) OVER a AS sd_gap, quantile_cont(pos, 0.5) OVER b AS bar, quantile_cont(pos, 0.25) OVER b AS q1, quantile_cont(pos, 0.75) OVER b AS q3 FROM p WINDOW a AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), b AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)), x AS (SELECT *, 1.4826 * (q3 - q1) / 2 AS jitter, rn >= 10 OR coalesce(rn >= 3 AND sd_gap / mean_gap < 0.2, false) AS armed FROM w) SELECT id, k, armed, round(mean_gap, 2) AS mean_gap, round(bar, 2) AS bar, round(jitter, 2) AS jitter, round(CASE WHEN NOT armed THEN 2 * 600 ELSE coalesce(greatest(10, least(3600, 1.5 * bar + 2 * jitter)), greatest(10, least(3600, 1.5 * 600))) END, 2) AS threshold_s FROM x")
 def fre_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FRE-01, FRE-02, FRE-05."""
     s = reconcile.intervals(_series(spark, sf_dir), "k").withColumn("threshold_s", reconcile.threshold(F.col("bar"), F.col("jitter"), F.lit(600.0), F.col("armed")))
-    return rounded(s.select("id", "k", "armed", "mean_gap", "bar", "jitter", "threshold_s"), 7)
+    return rounded(s.select("id", "k", "armed", "mean_gap", "bar", "jitter", "threshold_s"), 2)
 
 
 @query("WITH t AS (SELECT h.ts AS tick, s.k FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 01:00:00', TIMESTAMP '2024-01-30 00:00:00', INTERVAL 1 HOUR)) AS ts) h, (SELECT DISTINCT event_type AS k FROM events) s), j AS (SELECT t.k, t.tick, (epoch_us(t.tick) - epoch_us(e.ts)) / 1000000 AS age FROM t ASOF LEFT JOIN (SELECT DISTINCT event_type AS k, ts FROM events) e ON t.k = e.k AND t.tick >= e.ts) SELECT k, CASE WHEN age <= 600 THEN 'fresh' WHEN age <= 1200 THEN 'stale' WHEN age <= 2400 THEN 'very_stale' ELSE 'critical' END AS level, count(*) AS n, round(sum(CASE WHEN age IS NULL THEN 0.9 WHEN age < -5 THEN 0.8 WHEN age <= 300 THEN 1.0 WHEN age <= 600 THEN 0.98 WHEN age <= 900 THEN 0.95 WHEN age <= 1200 THEN 0.92 WHEN age <= 1500 THEN 0.9 ELSE 0.85 END), 4) AS score FROM j GROUP BY 1, 2")
