@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("market", "ops", "checks", "streams")
+MODULES = ("market", "ops", "checks", "streams", "more")
 
 
 def _all(attribute: str) -> dict:
