@@ -26,38 +26,29 @@ def foundation(bars: DataFrame, key: str = "symbol", as_of: Column | None = None
     prev = F.lag("close").over(w)
     b = bars.withColumn("bars", F.row_number().over(w)).withColumn("r", F.when(prev > 0, F.col("close") / prev - 1))
     r, n, close, volume = F.col("r"), F.col("bars"), F.col("close"), F.col("volume")
-    year = F.sqrt(F.lit(float(YEAR_MINUTES)))
-
-    def ret(k: int) -> Column:
-        past = F.lag("close", k).over(w)
-        return F.when(past != 0, (close / past - 1) * 100).otherwise(0.0)
-
-    def vol(k: int) -> Column:
-        return F.when(n > k, finite(F.stddev_pop("r").over(last(k)) * year)).otherwise(0.0)
-
-    def ratio(x: Column, by: Column) -> Column:
-        return F.when(F.abs(by) > 1e-8, x / by).otherwise(0.0)
-
-    def down(k: int) -> Column:
-        return F.when(n > k, finite(F.stddev_pop(F.when(r < 0, r)).over(last(k)) * year)).otherwise(0.0)
-
-    sd60 = F.stddev_pop("r").over(last(60))
-    typical = (F.col("high") + F.col("low") + close) / 3
-    traded = F.when(volume > 0, volume)
-    vwap = F.sum(typical * traded).over(last(20)) / F.sum(traded).over(last(20))
-    new, old = F.avg("volume").over(last(10)), F.avg("volume").over(last(10, 10))
+    typical, traded = (F.col("high") + F.col("low") + close) / 3, F.when(volume > 0, volume)
+    # Every window function is a column of its own first, so that none is planned twice.
+    base = {f"past_{k}": F.lag("close", k).over(w) for k in (1, 5, 15, 60)} | {f"sd_{k}": F.stddev_pop("r").over(last(k)) for k in (5, 15, 60)} | {f"down_{k}": F.stddev_pop(F.when(r < 0, r)).over(last(k)) for k in (15, 60)}
+    base |= {"skew": F.skewness("r").over(last(60)), "kurt": F.kurtosis("r").over(last(60)), "rv": F.sum(r * volume).over(last(19)), "v19": F.sum(F.when(r.isNotNull(), volume)).over(last(19)), "new": F.avg("volume").over(last(10)), "old": F.avg("volume").over(last(10, 10))}
+    base |= {"pv": F.sum(typical * traded).over(last(20)), "v20": F.sum(traded).over(last(20)), "v5": F.avg("volume").over(last(5)), "v60": F.avg("volume").over(last(60))}
+    b = b.withColumns({f"_{name}": c for name, c in base.items()})
+    of = lambda name: F.col(f"_{name}")
+    year = float(YEAR_MINUTES) ** 0.5
+    ratio = lambda x, by: F.when(F.abs(by) > 1e-8, x / by).otherwise(0.0)
+    b = b.withColumns({f"return_{k}": F.when(of(f"past_{k}") != 0, (close / of(f"past_{k}") - 1) * 100).otherwise(0.0) for k in (1, 5, 15, 60)} | {f"volatility_{k}": F.when(n > k, finite(of(f"sd_{k}") * year)).otherwise(0.0) for k in (5, 15, 60)} | {"_vwap": of("pv") / of("v20")})
     mid, both = (F.col("bid") + F.col("ask")) / 2, F.col("bid_volume") + F.col("ask_volume")
-    out = {f"return_{k}": ret(k) for k in (1, 5, 15, 60)} | {f"volatility_{k}": vol(k) for k in (5, 15, 60)}
-    out |= {f"sharpe_{k}": ratio(ret(k), vol(k)) for k in (5, 15, 60)} | {f"sortino_{k}": ratio(ret(k), down(k)) for k in (15, 60)}
+    out = {name: F.col(name) for name in (*(f"return_{k}" for k in (1, 5, 15, 60)), *(f"volatility_{k}" for k in (5, 15, 60)))}
+    out |= {f"sharpe_{k}": ratio(F.col(f"return_{k}"), F.col(f"volatility_{k}")) for k in (5, 15, 60)}
+    out |= {f"sortino_{k}": F.when(n > k, ratio(F.col(f"return_{k}"), finite(of(f"down_{k}") * year))).otherwise(0.0) for k in (15, 60)}
     out |= {
-        "skewness": F.when((n > 60) & (sd60 > 0), finite(F.skewness("r").over(last(60)))).otherwise(0.0),
-        "kurtosis": F.when((n > 60) & (sd60 > 0), finite(F.kurtosis("r").over(last(60)))).otherwise(0.0),
-        "volume_momentum": F.when(n >= 21, finite(F.sum(r * volume).over(last(19)) / F.sum(F.when(r.isNotNull(), volume)).over(last(19)) * 100)).otherwise(0.0),
-        "volume_acceleration": F.when((n >= 20) & (old > 0), (new - old) / old * 100).otherwise(0.0),
-        "vwap_deviation": F.when((n >= 20) & (vwap > 0), (close - vwap) / vwap * 100).otherwise(0.0),
+        "skewness": F.when((n > 60) & (of("sd_60") > 0), finite(of("skew"))).otherwise(0.0),
+        "kurtosis": F.when((n > 60) & (of("sd_60") > 0), finite(of("kurt"))).otherwise(0.0),
+        "volume_momentum": F.when(n >= 21, finite(of("rv") / F.when(of("v19") != 0, of("v19")) * 100)).otherwise(0.0),
+        "volume_acceleration": F.when((n >= 20) & (of("old") > 0), (of("new") - of("old")) / of("old") * 100).otherwise(0.0),
+        "vwap_deviation": F.when((n >= 20) & (of("vwap") > 0), (close - of("vwap")) / of("vwap") * 100).otherwise(0.0),
         "spread": F.when(mid > 0, (F.col("ask") - F.col("bid")) / mid * 100).otherwise(0.0),
         "imbalance": F.when(both > 0, (F.col("bid_volume") - F.col("ask_volume")) / both).otherwise(0.0),
-        "volume_profile": F.when((n >= 10) & (F.avg("volume").over(last(60)) > 0), F.avg("volume").over(last(5)) / F.avg("volume").over(last(60))).otherwise(1.0),
+        "volume_profile": F.when((n >= 10) & (of("v60") > 0), of("v5") / of("v60")).otherwise(1.0),
         "confidence": F.least(n / 60, F.lit(1.0)),
     }
     cols = [c.alias(name) for name, c in out.items()]
