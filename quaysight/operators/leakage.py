@@ -73,3 +73,15 @@ def suspicious_columns(df: DataFrame, words: tuple[str, ...] = ("label", "target
 
 def incident_id(kind: Column, scope: Column) -> Column:
     return F.concat(F.lit("leak_"), F.substring(F.sha2(F.concat_ws("|", kind, scope), 256), 1, 12))
+
+
+def combined(reports: dict[str, DataFrame], most: int = 1000) -> DataFrame:
+    """The findings of several analyzers by identity, the gravest first, at most `most` (LEAK-09, JOIN-14). Each report has ratio,
+    confidence and severity."""
+    out = None
+    for name, df in reports.items():
+        one = df.select(F.lit(name).alias("analyzer"), "ratio", "confidence", "severity")
+        out = one if out is None else out.unionByName(one)
+    out = out.withColumn("incident_id", incident_id(F.col("analyzer"), F.col("severity")))
+    first = out.groupBy("incident_id").agg(F.max_by(F.struct("analyzer", "ratio", "confidence", "severity"), "ratio").alias("r")).select("incident_id", "r.*")
+    return first.orderBy(F.desc(F.col("ratio") * F.col("confidence")), "incident_id").limit(most)

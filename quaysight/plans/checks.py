@@ -395,3 +395,17 @@ def qlt_final_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "freshness": reconcile.score(age, "historical"), "reconciliation": F.when(F.col("trade_id") % 10 == 0, 0.8).otherwise(1.0),
     }
     return quality.scored(adapters.trades(spark, sf_dir), stages).select("trade_id", "score", "passed")
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS analyzer, round(ratio, 6) AS ratio, severity FROM ({ORACLES[f'leak_{n}']})" for n in ("look_ahead", "timing_edge", "execution_edge")))
+def leak_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LEAK-09: a report of every analyzer that has inputs."""
+    found = leakage.combined({n: QUERIES[f"leak_{n}"](spark, sf_dir) for n in ("look_ahead", "timing_edge", "execution_edge")})
+    return rounded(found.select("analyzer", "ratio", "severity"))
+
+
+@query("SELECT event_type AS entity, ts, value FROM events WHERE ts > TIMESTAMP '2024-01-29' AND event_type = 'error'")
+def agg_metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-46: an entity's metrics of the last hours, newest first."""
+    e = table(spark, sf_dir, "events").where((F.col("ts") > F.lit("2024-01-29").cast("timestamp_ntz")) & (F.col("event_type") == "error"))
+    return e.select(F.col("event_type").alias("entity"), "ts", "value").orderBy(F.desc("ts"))

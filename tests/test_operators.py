@@ -178,3 +178,25 @@ def test_hysteresis(spark, tmp_path):
 def test_final_flows_after_reorg(spark):
     d = spark.createDataFrame([("x", 1, 5, "h", 1), ("x", 2, 8, "old", 2), ("x", 3, 8, "new", 5), ("x", 4, 30, "h", 6)], "chain string, flow_id long, block_number long, block_hash string, captured long")
     assert sorted(r.flow_id for r in market.finalized(d).collect()) == [1, 3]
+
+
+def test_landing(spark):
+    from quaysight.operators import landing
+
+    d = spark.createDataFrame([("1",), (" 1",), ("x",), (None,), ("1704067200",)], "t string")
+    got = [tuple(r.r) if r.r else None for r in d.select(landing.coerced(F.col("t"), "bigint").alias("r")).collect()]
+    assert got == [(1, "ok"), (1, "type_coerced"), (None, "type_mismatch"), (None, None), (1704067200, "ok")]
+    assert d.select(landing.coerced(F.col("t"), "timestamp_us").alias("r")).collect()[4].r.value == 1704067200000000
+    with pytest.raises(ValueError):
+        landing.aligned(d, d, None)
+    a, b = spark.createDataFrame([(1, 2.0)], "x long, y double"), spark.createDataFrame([(1, "s")], "x long, z string")
+    assert landing.schema_difference(a, b) == [("y", "double", ""), ("z", "", "string")]
+    assert landing.analysed(spark.createDataFrame([(1, 2, 3)], "user_id long, price long, bid long")) == ["price", "bid"]
+    key = landing.symmetric_id("a", "b", F.lit(1)), landing.symmetric_id("b", "a", F.lit(1))
+    assert spark.range(1).select(key[0] == key[1]).first()[0]
+
+
+def test_custom_rules_are_columns(spark):
+    d = spark.createDataFrame([(1,), (4,)], "x long")
+    s = validate.Schema("t", (validate.Field("x", custom=lambda c: c % 2 == 0),))
+    assert [len(r.violations) for r in validate.violations(d, s).collect()] == [1, 0]
