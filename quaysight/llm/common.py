@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 
 #: Largest number of members of one bucket that are compared inside one task; larger buckets are split into blocks.
 BLOCK = 1024
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir. Only a local session without it gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="quaysight-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="quaysight-")
+    return _LOCAL[context.applicationId]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
