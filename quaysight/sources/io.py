@@ -14,15 +14,19 @@ TYPES = {"string": T.StringType(), "int32": T.IntegerType(), "int64": T.LongType
 #: Where a stream of raw data belongs.
 ROUTES = {"raw_data.trades": "exchange_trades", "raw_data.book": "market_book", "raw_data.funding": "market_funding", "raw_data.oi": "market_oi", "raw_data.options": "options_surface", "raw_data.onchain": "onchain_flows", "raw_data.events": "offchain_events", "raw_data.macro": "macro_economic_indicators"}
 
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir; only a local session without that setting gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="quaysight-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _LOCAL.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="quaysight-")
+        _LOCAL[context.applicationId] = root
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
