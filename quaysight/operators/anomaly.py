@@ -18,8 +18,18 @@ def unpivoted(df: DataFrame, ids: list[str], fields: list[str], table: str) -> D
 
 def statistics(series: DataFrame, keys: list[str], order: list[str], robust: bool = False) -> DataFrame:
     """series with n, mean, sd (of the sample), low and high, and the median if asked for (ANO-01, ANO-02)."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(LENGTH - 1), 0)
-    out = series.withColumns({"n": F.count("value").over(w), "mean": F.avg("value").over(w), "sd": F.stddev_samp("value").over(w), "low": F.min("value").over(w), "high": F.max("value").over(w)})
+    whole = Window.partitionBy(*keys)
+    so_far = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w = whole.orderBy(*order).rowsBetween(-(LENGTH - 1), 0)
+    # Differences of running sums of the centred values: a row costs the same for any length of the frame.
+    out = series.withColumn("_centre", F.avg("value").over(whole)).withColumn("_c", F.col("value") - F.col("_centre"))
+    out = out.withColumns({"_n": F.count("_c").over(so_far), "_s": F.coalesce(F.sum("_c").over(so_far), F.lit(0.0)), "_q": F.coalesce(F.sum(F.col("_c") * F.col("_c")).over(so_far), F.lit(0.0))})
+    since = lambda c, zero: F.col(c) - F.lag(c, LENGTH, zero).over(whole.orderBy(*order))
+    out = out.withColumns({"n": since("_n", 0), "_ds": since("_s", 0.0), "_dq": since("_q", 0.0)})
+    n = F.col("n")
+    mean = F.col("_ds") / F.when(n > 0, n)
+    sd = F.when(n > 1, F.sqrt(F.greatest((F.col("_dq") - n * mean * mean) / (n - 1), F.lit(0.0))))
+    out = out.withColumns({"mean": F.when(n > 0, F.col("_centre") + mean), "sd": sd, "low": F.min("value").over(w), "high": F.max("value").over(w)}).drop("_centre", "_c", "_n", "_s", "_q", "_ds", "_dq")
     return out.withColumn("median", F.percentile("value", 0.5).over(w)) if robust else out
 
 
