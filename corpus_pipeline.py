@@ -32,7 +32,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that share ten consecutive words with a benchmark item, or a whole shorter item."""
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    bad = written(found.where("contaminated").select("doc_id"), "contaminated")  # its size is known, so texts needn't be shuffled where few go
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

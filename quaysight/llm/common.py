@@ -47,7 +47,7 @@ def delete(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that a slice holds about `most` bytes of the given text column, or one row."""
     for batch in batches:
         if not batch.num_rows:

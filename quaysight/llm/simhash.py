@@ -269,5 +269,7 @@ def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if not clusters.isEmpty():
         near = near.union(cluster_links(parts, clusters, alike.select("id", F.col("code").alias("item")), wide))
     found = components(near)
-    kept = alike.join(found.where("node > component").select(F.col("node").alias("id")), "id", "left_anti").select(F.col("id").alias(id_col))
-    return docs.join(kept, id_col, "left_semi")
+    kept = alike.join(found.where("node > component").select(F.col("node").alias("id")), "id", "left_anti").select("id")
+    # Ids are compared first and the rest written, so that texts needn't be shuffled where few ids go.
+    gone = written(fps.select("id").join(kept, "id", "left_anti").select(F.col("id").alias(id_col)).distinct(), "gone")
+    return docs.join(gone, id_col, "left_anti")
