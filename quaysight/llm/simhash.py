@@ -19,11 +19,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_links, components, slices, texts, written
+from .common import bit_filter, bucket_links, components, in_filter, slices, texts, written
 
 SEED = 42
 #: Keys of so many times the usual members are not joined with themselves.
 COLD = 64
+#: MinHash bands that meet a similarity of 0.8 with a chance of 1 - (1 - 0.8**ROWS)**BANDS = 0.9996.
+BANDS, ROWS = 20, 5
 MIX = 0x9E3779B97F4A7C15
 
 
@@ -56,26 +58,66 @@ def spread(hashes: np.ndarray, lane: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, lanes: int = 1) -> DataFrame:
-    """(id, fp long[, more array<long>]) of each document; more has lanes - 1 further 64-bit fingerprints of the same shingles.
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """(id, fp long) of each document. Null and wordless texts get fingerprint 0."""
 
-    Null and wordless texts get fingerprint 0.
-    """
+    def run(batches):
+        for batch in slices(batches):
+            fps = [majority(shingle_hashes(text, words)) for text in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["id", "fp"])
+
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, fp long")
+
+
+def set_name(shingles: np.ndarray) -> int:
+    """The name of a sorted set of shingle hashes."""
+    return xxhash.xxh64_intdigest(shingles.tobytes(), SEED)
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """The keys of BANDS MinHash bands of ROWS values each."""
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    seeds = np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(MIX)
+    for i in range(0, len(shingles), 4096):
+        low = np.minimum(low, spread(shingles[i : i + 4096, None] + seeds, 0).min(axis=0))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in low.reshape(BANDS, ROWS).T:
+        keys = spread(keys ^ row, 1)
+    return keys
+
+
+def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int) -> DataFrame:
+    """(id, name, fps array<long>, bands array<long>): the name of each document's shingle set, `lanes` fingerprints, band keys."""
 
     def run(batches):
         for batch in slices(batches):
-            fps, more = [], []
+            names, fps, bands = [], [], []
             for text in texts(batch):
                 h = shingle_hashes(text, words)
-                fps.append(majority(h))
-                more.append([majority(spread(h, lane)) for lane in range(1, lanes)])
-            out = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))]
-            if lanes > 1:
-                flat = np.array(more, np.uint64).view(np.int64).reshape(-1)
-                out.append(pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, lanes - 1, dtype=np.int32)), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(out, names=["id", "fp", "more"][: len(out)])
+                one = np.unique(h)
+                names.append(set_name(one))
+                fps += [majority(spread(h, lane) if lane else h) for lane in range(lanes)]
+                bands.append(band_keys(one))
+            lists = lambda flat, n: pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, n, dtype=np.int32)), pa.array(flat.view(np.int64)))
+            out = [batch.column(0), pa.array(np.array(names, np.uint64).view(np.int64)), lists(np.array(fps, np.uint64), lanes), lists(np.concatenate(bands), BANDS)]
+            yield pa.RecordBatch.from_arrays(out, names=["id", "name", "fps", "bands"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, fp long" + (", more array<long>" if lanes > 1 else ""))
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, name long, fps array<long>, bands array<long>")
+
+
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int, bits: np.ndarray) -> DataFrame:
+    """(name, item): the shingle sets of the documents whose ids pass the filter, sorted 64-bit hashes as bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
+
+    def run(batches):
+        for batch in batches:
+            some = batch.filter(pa.array(in_filter(shared.value, batch.column(0).fill_null(0).to_numpy())))
+            for part in slices([some]):
+                sets = [np.unique(shingle_hashes(text, words)) for text in texts(part)]
+                names = np.array([set_name(x) for x in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([x.tobytes() for x in sets], pa.binary())], names=["name", "item"])
+
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "name long, item binary")
 
 
 def bit_statistics(fps: DataFrame) -> np.ndarray:
@@ -208,6 +250,25 @@ def _near(items: list, wide: int) -> np.ndarray:
     return d <= wide
 
 
+def similar(items: list, least: float) -> np.ndarray:
+    """Which shingle sets have a Jaccard similarity of at least `least`."""
+    sets = [np.frombuffer(x, np.uint64) for x in items]
+    size = np.array(list(map(len, sets)))
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, several = np.repeat(np.arange(len(sets)), size), count > 1
+    shared = several[column]
+    row, column = row[shared], (np.cumsum(several) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)))
+    for start in range(0, int(several.sum()), 4096):
+        lo, hi = np.searchsorted(column, [start, start + 4096])
+        has = np.zeros((len(sets), 4096), np.float32)
+        has[row[lo:hi], column[lo:hi] - start] = 1
+        both += has @ has.T
+    return both >= least * (size[:, None] + size[None, :] - both) - 1e-9
+
+
 def stars(fps: DataFrame) -> DataFrame:
     """Links (a, b) within two bits among fingerprints. They are keyed by themselves and their one-bit neighbours: all that share
     such a key are within two bits of each other, so that a link to the smallest of them is enough."""
@@ -246,30 +307,35 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return fps.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, tau: int = 8, tables: int = 2, lanes: int = 6, wide: int = 62) -> DataFrame:
+def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, tau: int = 8, tables: int = 2, least: float = 0.8) -> DataFrame:
     """docs without near-duplicates: of each group the document of the smallest id stays.
 
-    A document has `lanes` fingerprints of its five-word shingles, 384 bits. Candidates differ in at most tau bits of one of the
-    first `tables` lanes; they are alike if at most `wide` of all bits differ. At a shingle similarity of 0.8 a bit differs with a
-    chance of 0.151, which makes 58 of 384. Texts without words are alike. Rows of one id stay or go together.
+    Documents are alike if the exact Jaccard similarity of their five-word shingles is `least` or more. Candidates differ in at most
+    tau bits of one of `tables` fingerprints, or share a MinHash band; documents that candidates connect, or that keys of many members
+    cluster, are compared with each other on their shingle sets, block by block. Texts without words are alike. Rows of one id stay
+    or go together.
     """
-    fps = written(fingerprints(docs, id_col, text_col, words, lanes), "fingerprints")
-    code = F.concat(F.array("fp"), F.col("more"))
-    alike = written(fps.groupBy(code.alias("code")).agg(F.min("id").alias("id")), "codes")
+    fps = written(signatures(docs, id_col, text_col, words, tables), "fingerprints")
+    alike = written(fps.groupBy("name").agg(F.min("id").alias("id"), F.min("fps").alias("fps"), F.min("bands").alias("bands")), "sets")
     parts, plans = None, []
     for lane in range(tables):
-        lane_fps = alike.select(F.col("code")[lane].alias("fp"), "id")
+        lane_fps = alike.select(F.col("fps")[lane].alias("fp"), F.col("name").alias("id"))
         plans.append(allocate(bit_statistics(lane_fps), tau))
         lane_parts = parts_of(lane_fps, plans[-1], lane)
         parts = lane_parts if parts is None else parts.union(lane_parts)
+    bands = alike.select(F.posexplode("bands").alias("band", "own"), "name").select((F.col("band") + 8 * tables).alias("part"), "own", F.lit(0).cast("long").alias("fp"), F.col("name").alias("id"))
+    parts = parts.union(bands)
+    plans += [[((1 << 64) - 1, 0)] * min(8, BANDS - i) for i in range(0, BANDS, 8)]
     met, clusters = links(parts, plans, tau)
-    codes = lambda x: alike.select(F.col("id").alias(x), F.col("code").alias(f"code_{x}"))
-    differ = F.aggregate(F.zip_with("code_a", "code_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, d: s + d)
-    near = written(met.distinct(), "met").join(codes("a"), "a").join(codes("b"), "b").where(differ <= wide).select("a", "b")
     if not clusters.isEmpty():
-        near = near.union(cluster_links(parts, clusters, alike.select("id", F.col("code").alias("item")), wide))
-    found = components(near)
-    kept = alike.join(found.where("node > component").select(F.col("node").alias("id")), "id", "left_anti").select("id")
+        met = met.union(parts.join(clusters, ["part", "own"]).select(F.xxhash64("part", "cluster").alias("a"), F.col("id").alias("b")))
+    group = components(met).withColumnRenamed("node", "name")
+    member = written(group.join(alike.select("name", "id"), "name"), "members")
+    sets = shingle_sets(docs, id_col, text_col, words, bit_filter(member, "id", 26)).groupBy("name").agg(F.first("item").alias("item"))
+    sizes = member.groupBy("component").agg(F.count("*").alias("n"))
+    found = components(bucket_links(member.join(sets, "name").select("component", F.col("name").alias("id"), "item"), sizes, ["component"], partial(similar, least=least)))
+    named = alike.select("name", "id").join(found.withColumnRenamed("node", "name"), "name", "left")
+    kept = named.groupBy(F.coalesce("component", "name")).agg(F.min("id").alias("id")).select("id")
     # Ids are compared first and the rest written, so that texts needn't be shuffled where few ids go.
     gone = written(fps.select("id").join(kept, "id", "left_anti").select(F.col("id").alias(id_col)).distinct(), "gone")
     return docs.join(gone, id_col, "left_anti")

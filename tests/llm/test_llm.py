@@ -117,6 +117,25 @@ def test_survivors_keep_one_of_each_group(spark):
     assert all(kept & set(ids) == {min(ids)} for ids in groups.values()) and 90 in kept and 91 not in kept and 92 in kept
 
 
+def test_survivors_link_at_an_exact_similarity(spark):
+    """Copies around 0.8, and a large group under one key, against brute-force Jaccard."""
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for g in range(120):
+        w = text(200)
+        rows.append((len(rows), " ".join(w)))
+        for at in range(10, 10 + 10 * (3 + g % 5), 10):  # 3 to 7 words changed: 0.86, 0.82, 0.77, 0.73, 0.70
+            w[at] = "changed"
+        rows.append((len(rows), " ".join(w)))
+    common = text(40)
+    rows += [(len(rows) + k, " ".join(common + text(rng.choice([2, 4, 6, 30])))) for k in range(150)]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    ids = sorted(sets)
+    near = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert {r.doc_id for r in simhash_survivors(docs_of(spark, rows)).collect()} == set(union(near, ids).values())
+
+
 def test_op2(spark, sf_dir):
     text = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
     phrases = {("under", "the", "mit", "license"): "mit", ("apache", "license", "version", "2"): "apache-2", ("cc", "by", "nc"): "cc-by-nc"}
