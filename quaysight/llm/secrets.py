@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and strings in a sensitive place that zstandard can't compress.
 
-A candidate of the second kind is a run of token characters close behind a sensitive word. It is compressed with a dictionary
-primed with common identifiers and with the text around it: what its surroundings or an identifier explain costs few bytes, a
+A candidate of the second kind is a run of token characters, or of such joined by dots, that starts close behind a sensitive word,
+on its line or a later one, or right behind a reported one; a joined run that isn't reported is tried by its parts. So is the body
+of a private key between its marks. It is compressed with a dictionary primed with common identifiers and with the text around it: what its surroundings or an identifier explain costs few bytes, a
 random string nearly as many as it has. Candidates whose marginal bytes per character reach a threshold are reported.
 """
 
@@ -24,7 +25,7 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"h{32,}")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 # Words that make a place sensitive, and identifiers that are no secrets.
-_SENSITIVE = re.compile(rb"(?i)password|passwd|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|authorization|signature")
+_SENSITIVE = re.compile(rb"(?i)password|passwd|passphrase|secret|token|api[\s_-]?key|access[\s_-]?key|private[\s_-]?key|credential|bearer|authorization|signature")
 _SENSITIVE_WORDS = (b"pass", b"secret", b"token", b"key", b"credential", b"bearer", b"authorization", b"signature")
 IDENTIFIERS = (
     "access_token refresh_token authorization bearer client_id client_secret configuration connection_string credentials database default_password "
@@ -33,7 +34,10 @@ IDENTIFIERS = (
     "session_token signature_version test_password tokenizer tokenization undefined username validate_token xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"
 )
 _HEX_TO_H = bytes(104 if 48 <= c <= 57 or 97 <= c <= 102 else 32 for c in range(256))
-_CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
+_RUN = re.compile(rb"[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
+_PART = re.compile(rb"[A-Za-z0-9+/_=-]+")
+_PEM = re.compile(rb"-----BEGIN [A-Z0-9\x20]*PRIVATE KEY-----\s*+(?:[A-Za-z-]++:[^\n]*+\n\s*+)*+((?:[A-Za-z0-9+/=]++\s*+)++)-----END")
+LEAST_CANDIDATE = 16
 _NOTHING = len(zstandard.ZstdCompressor(level=19, write_content_size=False, write_checksum=False).compress(b""))
 
 
@@ -55,18 +59,29 @@ def find(text: bytes, reach: int = 48, around: int = 512, least_novelty: float =
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text.translate(_HEX_TO_H))]
     if any(w in low for w in _SENSITIVE_WORDS):
         known, done = sorted((s, e) for s, _, e in spans), 0
+
+        def novel(start: int, end: int) -> bool:
+            if end - start < LEAST_CANDIDATE or any(s <= start and end <= e for s, e in known):
+                return False
+            near = text[max(0, start - around) : start] + b" " + text[end : end + around]
+            if marginal_bytes(text[start:end], near) < least_novelty * (end - start):
+                return False
+            spans.append((start, 3, end))
+            return True
+
+        if b"PRIVATE KEY-----" in text:
+            bodies = [(m.start(1), m.start(1) + len(m[1].rstrip())) for m in _PEM.finditer(text)]
+            known += [body for body in bodies if novel(*body)]
         for word in _SENSITIVE.finditer(text):
-            at = max(done, word.end())
-            m = _CANDIDATE.search(text, at, word.end() + reach)
-            if not m or b"\n" in text[word.end() : m.start()]:
-                continue
-            m = _CANDIDATE.match(text, m.start())
-            done = m.end()
-            if any(s < m.end() and m.start() < e for s, e in known):
-                continue
-            near = text[max(0, m.start() - around) : m.start()] + b" " + text[m.end() : m.end() + around]
-            if marginal_bytes(m[0], near) >= least_novelty * len(m[0]):
-                spans.append((m.start(), 3, m.end()))
+            at, limit = max(done, word.end()), word.end() + reach
+            while m := _RUN.search(text, at, limit):
+                m = _RUN.match(text, m.start())
+                at = done = m.end()
+                found = novel(*m.span())
+                if not found and b"." in m[0]:
+                    found = any([novel(*p.span()) for p in _PART.finditer(text, *m.span())])
+                if found:  # the lines of one value follow each other
+                    limit = max(limit, done + len(text[done : done + reach]) - len(text[done : done + reach].lstrip()) + 1)
     return sorted(spans)
 
 
