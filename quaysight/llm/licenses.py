@@ -1,7 +1,8 @@
 """Licence scans: an Aho-Corasick automaton finds notice phrases and identifier tags, a shunting-yard parser evaluates expressions.
 
-Phrases are matched on the words of a text. A tag `SPDX-License-Identifier:` is followed by an expression of identifiers, and, or,
-with and parentheses, which becomes the set of licences it names and whether all of them are open.
+Phrases are matched on the words of a text, tags on the text itself, by one automaton. A tag `SPDX-License-Identifier:` is followed,
+up to the end of its line, by an expression of identifiers, and, or, with and parentheses, which becomes the set of licences it
+names and whether all of them are open.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ NOTICES = {
 }
 OPEN = {"mit", "apache-2.0", "apache-2", "isc", "bsd", "bsd-2-clause", "bsd-3-clause", "cc0-1.0", "unlicense", "cc-by", "cc-by-4.0", "zlib", "bsl-1.0", "mpl-2.0", "epl-2.0"}
 RANK = {"or": 1, "and": 2, "with": 3}
-_TAG = re.compile(rb"spdx-license-identifier:[\x20\t]*([^\r\n]{0,400})")
+TAG = "spdx-license-identifier:"
+_LINE_END = re.compile(r"[\r\n]")
 _TOKEN = re.compile(r"\(|\)|[a-z0-9.+-]+")
 
 
@@ -50,6 +52,7 @@ def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for phrase, label in (BASE | NOTICES).items():
         found.add_word(f" {phrase} ", (phrase, label, phrase in BASE))
+    found.add_word(TAG, (TAG, None, False))
     found.make_automaton()
     return found
 
@@ -69,7 +72,7 @@ def evaluate(expression: str) -> tuple[set[str], bool] | None:
         return True
 
     operand = True
-    for token in _TOKEN.findall(expression.lower()):
+    for token in (m[0] for m in _TOKEN.finditer(expression.lower())):
         if operand and token == "(":
             stack.append(token)
         elif operand and token not in RANK and token != ")":
@@ -114,8 +117,11 @@ def find(text: bytes) -> tuple[int, list[tuple[int, int, str, bool]], list[tuple
     low = text.lower()
     expressions = []
     if b"spdx" in low:
-        for m in _TAG.finditer(low):
-            written = m[1].decode("utf-8", "ignore")
+        raw = low.decode("utf-8", "ignore")
+        tags = [end + 1 for end, (phrase, _, _) in automaton().iter(raw) if phrase == TAG]
+        for start, following in zip(tags, [t - len(TAG) for t in tags[1:]] + [len(raw)]):
+            line_end = _LINE_END.search(raw, start, following)  # an expression ends with its line or at the next tag
+            written = raw[start : line_end.start() if line_end else following]
             value = evaluate(written)
             if value:
                 expressions.append((written.strip(), *value))

@@ -155,6 +155,15 @@ def test_op2_expressions_and_odd(spark):
     assert got[1].n_words == got[2].n_words == 0 and got[7].n_words == 20_000 and licenses.scan(docs_of(spark, ODD).limit(0)).count() == 0
 
 
+def test_op2_long_expressions():
+    names = [f"lib-{k}-license" for k in range(60)]
+    text = "// SPDX-License-Identifier: " + " AND ".join(["MIT"] * 50 + names) + " \r\nmore MIT\nSPDX-License-Identifier: MIT SPDX-License-Identifier:Apache-2.0\n"
+    first, *rest = licenses.find(text.encode())[2]
+    assert first[1] == {"mit", *names} and not first[2]
+    assert [r[1:] for r in rest] == [({"mit"}, True), ({"apache-2.0"}, True)]
+    assert all(m[2] != licenses.TAG for m in licenses.find(text.encode())[1]) and licenses.automaton().exists(licenses.TAG)
+
+
 KEYWORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_key", "apikey"))
 ASSIGN = re.compile(rf"({KEYWORDS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 
