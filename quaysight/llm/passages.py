@@ -1,42 +1,41 @@
-"""Substring dedup: MinHash banding over paragraphs.
-
-Texts fall into paragraphs at line ends. A paragraph of at least LEAST words gives units of LEAST words: one at its start and one at
-each anchor, a word whose hash is the smallest of its REACH neighbours on either side. Anchors depend on the words around them only,
-so that a passage copied into another text has the same units there. Units of five-word shingles are MinHashed; with BANDS bands of
-ROWS values a similarity of 0.8 is met with a chance of 1 - (1 - 0.8**ROWS)**BANDS = 0.96. Equal units are one; units that collide
-in a band are verified by the exact Jaccard similarity of their shingles, and linked ones form components. Of a component that
-lies in several documents the smallest document keeps its words; in the others they are repeats.
+"""Substring dedup: MinHash banding over paragraphs, and over units that lie anywhere.
+
+Texts fall into paragraphs at line ends. A paragraph of at least K words is MinHashed whole, with all its five-word shingles: with
+PARAGRAPH_BANDS bands of PARAGRAPH_ROWS values a similarity of 0.8 is met with a chance of 1 - (1 - 0.8**3)**10 = 0.9992. Besides,
+a document's words, across line ends, give units of LEAST words: of each SPAN - LEAST + 1 consecutive places the one whose
+shingle has the smallest hash. That depends on the words of the place only, so that two texts that share SPAN words share a unit.
+Units have BANDS bands of ROWS values. Equal members (paragraphs or units) are one; members that collide in a band are verified by
+the exact Jaccard similarity of their shingles, and linked ones form components. Of a component that lies in several documents the
+smallest document keeps its words; in the others they are repeats.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bit_filter, bucket_links, components, in_filter, slices, texts, written
-from .simhash import spread
-from .winnow import gram_hashes, sliding, word_hashes
+from .simhash import similar, spread
+from .winnow import gram_hashes, winnowed, word_hashes
 
-LEAST, REACH, K = 24, 6, 5
+LEAST, SPAN, K = 24, 50, 5
 BANDS, ROWS = 2, 1
+PARAGRAPH_BANDS, PARAGRAPH_ROWS = 10, 3
 _SHINGLES = LEAST - K + 1
 
 
-def places(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Where units start. first: where each paragraph starts, and the end of the last one."""
-    n = len(hashes)
-    if n < LEAST:
+def places(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Where units start. doc: where each document starts, and the end of the last one."""
+    if len(hashes) < LEAST:
         return np.zeros(0, np.int64)
-    mixed = spread(hashes, 7)
-    width = 2 * REACH + 1
-    padded = np.concatenate([np.full(REACH, np.iinfo(np.uint64).max, np.uint64), mixed, np.full(REACH, np.iinfo(np.uint64).max, np.uint64)])
-    at = np.flatnonzero(sliding(padded, width, True) == mixed)
-    at = np.union1d(at, first[:-1])
-    at = at[at + LEAST <= n]
-    end = first[np.searchsorted(first, at, side="right").clip(max=len(first) - 1)]
-    return at[at + LEAST <= end]
+    mixed = (spread(gram_hashes(hashes, K).view(np.uint64), 7) >> np.uint64(1)).view(np.int64)[: len(hashes) - LEAST + 1]
+    at = np.flatnonzero(winnowed(mixed, SPAN - LEAST + 1))
+    return at[at + LEAST <= doc[np.searchsorted(doc, at, side="right").clip(max=len(doc) - 1)]]
 
 
 def unit_shingles(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -64,6 +63,18 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
+def paragraph_bands(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The band keys of the paragraphs whose shingles are grams[lo:hi]."""
+    keys, edges = [], np.stack([lo, hi], axis=1).ravel()
+    for b in range(PARAGRAPH_BANDS):
+        key = np.full(len(lo), 101 + b, np.uint64)
+        for r in range(PARAGRAPH_ROWS):
+            mixed = np.append(spread(grams, 101 + b * PARAGRAPH_ROWS + r), np.iinfo(np.uint64).max)
+            key = spread(key ^ np.minimum.reduceat(mixed, edges)[::2], 5)
+        keys.append(key.view(np.int64))
+    return np.stack(keys, axis=1)
+
+
 def _sliced(batch: pa.RecordBatch):
     """Of a slice: word hashes of all its paragraphs, where paragraphs and documents start."""
     words, para, doc = [], [0], [0]
@@ -76,39 +87,52 @@ def _sliced(batch: pa.RecordBatch):
     return word_hashes(words), np.array(para, np.int64), np.array(doc, np.int64)
 
 
+def _members(batch: pa.RecordBatch):
+    """Of a slice: the documents' bounds, the shingles of all words, and of its units and then its paragraphs the first word, the
+    number of words and the content hash; and how many are units."""
+    hashes, para, doc = _sliced(batch)
+    grams = gram_hashes(hashes, K).view(np.uint64)
+    at = places(hashes, doc)
+    long = np.flatnonzero(np.diff(para) >= K)
+    lo, hi = para[long], para[long + 1] - K + 1
+    names = np.array([xxhash.xxh64_intdigest(grams[i:j].tobytes(), K) for i, j in zip(lo.tolist(), hi.tolist())], np.uint64).view(np.int64)
+    if len(at):
+        names = np.concatenate([content(unit_shingles(hashes, at)), names])
+    return doc, grams, np.concatenate([at, lo]), np.concatenate([np.full(len(at), LEAST), hi - lo + K - 1]), names, len(at)
+
+
 def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, start, unit, keys): the first word of each unit in its document, its content hash and its band keys."""
+    """(id, start, words, unit, keys): the first word and the number of words of each unit and paragraph in its document, its content
+    hash and its band keys."""
 
     def run(batches):
         for batch in slices(batches, 1, 2_000_000):
-            hashes, para, doc = _sliced(batch)
-            at = places(hashes, para)
-            shingles = unit_shingles(hashes, at) if len(at) else np.zeros((0, _SHINGLES), np.uint64)
+            doc, grams, at, words, names, n = _members(batch)
+            if not len(at):
+                continue
             of = np.searchsorted(doc, at, side="right") - 1
-            keys = pa.ListArray.from_arrays(pa.array(np.arange(0, len(at) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(bands(shingles).ravel() if len(at) else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array((at - doc[of]).astype(np.int32)), pa.array(content(shingles)), keys], names=["id", "start", "unit", "keys"])
+            flat = [bands(grams[at[:n, None] + np.arange(_SHINGLES)[None, :]]).ravel()] if n else []
+            if n < len(at):
+                flat.append(paragraph_bands(grams, at[n:], at[n:] + words[n:] - K + 1).ravel())
+            ends = np.cumsum(np.where(np.arange(len(at)) < n, BANDS, PARAGRAPH_BANDS))
+            keys = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(np.concatenate(flat)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array((at - doc[of]).astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(names), keys], names=["id", "start", "words", "unit", "keys"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, start int, unit long, keys array<long>")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, start int, words int, unit long, keys array<long>")
 
 
 def wanted_shingles(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray) -> DataFrame:
-    """(unit, item): the shingle hashes of the units that pass the filter."""
+    """(unit, item): the shingle sets, as bytes, of the units and paragraphs that pass the filter."""
 
     def run(batches):
         for batch in slices(batches, 1, 2_000_000):
-            hashes, para, _ = _sliced(batch)
-            at = places(hashes, para)
-            if not len(at):
-                continue
-            shingles = unit_shingles(hashes, at)
-            name = content(shingles)
-            name, one = np.unique(name, return_index=True)
-            keep = in_filter(bits, name)
-            flat = shingles[one[keep]].view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, _SHINGLES, dtype=np.int32)), pa.array(flat.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(name[keep]), lists], names=["unit", "item"])
+            _, grams, at, words, names, _ = _members(batch)
+            names, one = np.unique(names, return_index=True)
+            keep = in_filter(bits, names)
+            items = [np.unique(grams[i : i + w - K + 1]).tobytes() for i, w in zip(at[one[keep]].tolist(), words[one[keep]].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(items, pa.binary())], names=["unit", "item"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "unit long, item array<long>")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "unit long, item binary")
 
 
 def passing(found: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -117,28 +141,21 @@ def passing(found: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keys = batch.column(3).flatten().to_numpy()
-            yield batch.filter(pa.array(in_filter(shared.value, keys).reshape(-1, BANDS).any(axis=1)))
+            if not batch.num_rows:
+                continue
+            keys = batch.column(4)
+            first = np.append(0, np.cumsum(keys.value_lengths().to_numpy())[:-1])
+            yield batch.filter(pa.array(np.logical_or.reduceat(in_filter(shared.value, keys.flatten().to_numpy()), first)))
 
     return found.mapInArrow(run, found.schema)
 
 
-def similar(items: list, least: float = 0.8) -> np.ndarray:
-    """Which shingle lists have a Jaccard similarity of at least `least`."""
-    names, column = np.unique(np.array(items, np.int64), return_inverse=True)
-    has = np.zeros((len(items), len(names)), np.float32)
-    has[np.arange(len(items))[:, None], column.reshape(len(items), -1)] = 1
-    both, size = has @ has.T, has.sum(axis=1)
-    return both >= least * (size[:, None] + size[None, :] - both) - 1e-6
-
-
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, start_word, end_word, n_words, class_id, n_places, kept): the passages that other documents have too.
 
     Words are counted from 0 in the document, the end is exclusive. class_id is the smallest document with any of the passage's
-    units and n_places the most places that one of them has; kept tells the document whose words stay. Passages of fewer than
-    LEAST words in a paragraph, null and empty texts and documents without repeats give no rows. Copies of a document repeat each
-    other wholly. Ids must differ: rows of one id count as one document.
+    units and paragraphs, and n_places the most places that one of them has; kept tells the document whose words stay. Paragraphs of fewer than K words, other passages of fewer than LEAST,
+    null and empty texts and documents without repeats give no rows. Copies of a document repeat each other wholly. Ids must differ: rows of one id count as one document.
     """
     found = written(units(docs, id_col, text_col), "units")
     # Keys that several documents have; `mixed` ones have different units.
@@ -150,7 +167,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     hit = written(keys.join(multi.where("mixed").select("key"), "key", "left_semi"), "hit")
     shingles = wanted_shingles(docs, id_col, text_col, bit_filter(hit, "unit")).groupBy("unit").agg(F.first("item").alias("item"))
     member = hit.join(shingles, "unit").select("key", F.col("unit").alias("id"), "item")
-    near = bucket_links(member, hit.groupBy("key").agg(F.count("*").alias("n")), ["key"], similar)
+    near = bucket_links(member, hit.groupBy("key").agg(F.count("*").alias("n")), ["key"], partial(similar, least=0.8))
     group = components(near).withColumnRenamed("node", "unit")
     # Only units in several documents, or linked to another, can be repeats.
     several = found.groupBy("unit").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
@@ -158,9 +175,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     several = written(several.select("unit", F.coalesce("component", "unit").alias("component"), "lo", "hi", "n"), "several")
     classes = several.groupBy("component").agg(F.min("lo").alias("class_id"), F.max("hi").alias("hi"), F.max("n").alias("n_places")).where("class_id != hi")
     named = several.select("unit", "component").join(classes, "component").select("unit", "class_id", "n_places")
-    at = found.select("id", "start", "unit").join(named, "unit")
-    # Overlapping units of a document are one passage.
-    w = Window.partitionBy("id").orderBy("start")
-    at = at.withColumn("new", (F.col("start") > F.lag("start").over(w) + LEAST).cast("int")).withColumn("passage", F.sum(F.coalesce("new", F.lit(0))).over(w))
-    out = at.groupBy("id", "passage").agg(F.min("start").cast("long").alias("start_word"), (F.max("start") + LEAST).cast("long").alias("end_word"), F.min("class_id").alias("class_id"), F.max("n_places").alias("n_places"))
+    at = found.select("id", "start", "words", "unit").join(named, "unit")
+    # Overlapping units and paragraphs of a document are one passage.
+    w = Window.partitionBy("id").orderBy("start", "words", "unit")
+    before = F.max(F.col("start") + F.col("words")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    at = at.withColumn("new", (F.col("start") > before).cast("int")).withColumn("passage", F.sum(F.coalesce("new", F.lit(0))).over(w))
+    out = at.groupBy("id", "passage").agg(F.min("start").cast("long").alias("start_word"), F.max(F.col("start") + F.col("words")).cast("long").alias("end_word"), F.min("class_id").alias("class_id"), F.max("n_places").alias("n_places"))
     return out.select(F.col("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "class_id", "n_places", (F.col("id") == F.col("class_id")).alias("kept"))

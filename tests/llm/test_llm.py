@@ -381,6 +381,29 @@ def test_op9_finds_shared_passages(spark):
     assert repeated(docs_of(spark, ODD).limit(0)).count() == 0
 
 
+def test_op9_paragraphs_and_spans(spark):
+    rng = random.Random(19)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, near = [], []
+    for _ in range(40):  # paragraphs of 49 words, one changed: 40 of 50 shingles
+        w = text(49)
+        v = [*w[:14], "changed", *w[15:]]
+        near.append((len(rows), len(rows) + 1))
+        rows += [(len(rows) + k, "\n".join(" ".join(x) for x in (text(30), p, text(30)))) for k, p in enumerate((w, v))]
+    short = " ".join(text(8))
+    rows += [(200, f"{' '.join(text(30))}\n{short}"), (201, f"{short}\n{' '.join(text(30))}")]
+    span = text(50)  # across line ends of different places
+    rows += [(300, " ".join(text(20) + span[:20]) + "\n" + " ".join(span[20:] + text(20))), (301, " ".join(text(20) + span[:33]) + "\n" + " ".join(span[33:] + text(20)))]
+    got = defaultdict(list)
+    for r in repeated(docs_of(spark, rows)).collect():
+        got[r.doc_id].append((r.start_word, r.end_word, r.kept))
+    for i, kept in [(a, True) for a, _ in near] + [(b, False) for _, b in near]:
+        covered = {k for lo, hi, of in got[i] if of == kept for k in range(lo, hi)}
+        assert set(range(30, 79)) <= covered and len(covered) <= 57, (i, got[i])  # similar units may reach over the ends
+    assert got[200] == [(30, 38, True)] and got[201] == [(0, 8, False)]
+    assert {k for _, _, k in got[300]} == {True} and {k for _, _, k in got[301]} == {False}
+
+
 def test_op10(spark, sf_dir):
     sentencepiece = pytest.importorskip("sentencepiece")
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
