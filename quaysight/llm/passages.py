@@ -6,7 +6,8 @@ a document's words, across line ends, give units of LEAST words: of each SPAN -
 shingle has the smallest hash. That depends on the words of the place only, so that two texts that share SPAN words share a unit.
 Units have BANDS bands of ROWS values. Equal members (paragraphs or units) are one; members that collide in a band are verified by
 the exact Jaccard similarity of their shingles, and linked ones form components. Of a component that lies in several documents the
-smallest document keeps its words; in the others they are repeats.
+smallest document keeps its words; in the others they are repeats. This is decided word by word, so that a word which lies in
+members of several components is kept by the smallest document of all.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bit_filter, bucket_links, components, in_filter, slices, texts, written
@@ -150,11 +151,91 @@ def passing(found: DataFrame, bits: np.ndarray) -> DataFrame:
     return found.mapInArrow(run, found.schema)
 
 
+def joined(spans: list[dict]) -> list[list[dict]]:
+    """The spans of a document in groups that overlap."""
+    groups, end = [], -1
+    for x in sorted(spans, key=lambda x: x["start"]):
+        if x["start"] >= end:
+            groups.append([])
+        groups[-1].append(x)
+        end = max(end, x["start"] + x["words"])
+    return groups
+
+
+def document_shingles(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray) -> DataFrame:
+    """(id, item): the shingles in order, as bytes, of the documents whose ids pass the filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
+
+    def run(batches):
+        for batch in batches:
+            some = batch.filter(pa.array(in_filter(shared.value, batch.column(0).fill_null(0).to_numpy())))
+            for part in slices([some]):
+                items = [gram_hashes(word_hashes(text.lower().split()), K).tobytes() for text in texts(part)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.binary())], names=["id", "item"])
+
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, item binary")
+
+
+def labelled(spans: list[dict], own: np.ndarray, others: dict[int, np.ndarray]) -> list[tuple[int, int, int, int]]:
+    """(start, end, class, places) of the runs of words of one class. A word's class is the smallest of the spans that it lies in;
+    where spans of several classes overlap it is the smallest of theirs whose document has the word in a shingle. Words that only
+    such spans reach over which lie in that document to 0.8 are no repeats."""
+    none = np.iinfo(np.int64).max
+    cls, n = (np.full(max(x["start"] + x["words"] for x in spans) + 1, v) for v in (none, 0))
+    for group in joined(spans):
+        lowest = {c: np.isin(own, others[c]) for c in {x["class_id"] for x in group} if c in others}
+        for x in sorted(group, key=lambda x: -x["class_id"]):
+            lo, hi = x["start"], x["start"] + x["words"]
+            inside = [c for c, has in lowest.items() if c < x["class_id"] and has[lo : hi - K + 1].mean() >= 0.8]
+            if not inside:
+                cls[lo:hi] = x["class_id"]
+                n[lo:hi] = np.maximum(n[lo:hi], x["n_places"])
+            for c, has in lowest.items():
+                for at in np.flatnonzero(has[lo : hi - K + 1]).tolist() if c < x["class_id"] else ():
+                    here = slice(lo + at, lo + at + K)
+                    cls[here] = np.minimum(cls[here], c)
+                    n[here] = np.maximum(n[here], x["n_places"])
+    edges = np.append(0, np.flatnonzero(np.diff(cls)) + 1)
+    return [(i, j, int(cls[i]), int(n[i:j].max())) for i, j in zip(edges.tolist(), edges[1:].tolist()) if cls[i] != none]
+
+
+def passages(docs: DataFrame, id_col: str, text_col: str, spans: DataFrame) -> DataFrame:
+    """(id, start_word, end_word, class_id, n_places) of the labelled runs of words of the spans (id, start, words, class_id, n_places)."""
+
+    def mixed(batches):
+        for batch in batches:
+            a, b = [], []
+            for doc, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+                classes = [{x["class_id"] for x in group} for group in joined(found.as_py())]
+                others = set().union(*(c - {max(c)} for c in classes))
+                a += [doc] * len(others)
+                b += others
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["id", "other"])
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for doc, found, own, others in zip(batch.column(0).to_pylist(), *(batch.column(k) for k in (1, 2, 3))):
+                sets = {x["other"]: np.frombuffer(x["item"], np.int64) for x in others.as_py() or ()}
+                rows += [(doc, *r) for r in labelled(found.as_py(), np.frombuffer(own.as_py() or b"", np.int64), sets)]
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "start_word", "end_word", "class_id", "n_places"])
+
+    each = written(spans.groupBy("id").agg(F.collect_list(F.struct("start", "words", "class_id", "n_places")).alias("spans")), "spans")
+    pairs = written(each.mapInArrow(mixed, "id long, other long"), "mixed")
+    needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
+    items = written(document_shingles(docs, id_col, text_col, bit_filter(needed, "id")).join(needed, "id", "left_semi"), "items").dropDuplicates(["id"])
+    others = pairs.join(items.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.collect_list(F.struct("other", "item")).alias("others"))
+    both = others.join(items, "id").select("id", "item", "others")
+    return each.join(both, "id", "left").select("id", "spans", "item", "others").mapInArrow(run, "id long, start_word long, end_word long, class_id long, n_places long")
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, start_word, end_word, n_words, class_id, n_places, kept): the passages that other documents have too.
 
-    Words are counted from 0 in the document, the end is exclusive. class_id is the smallest document with any of the passage's
-    units and paragraphs, and n_places the most places that one of them has; kept tells the document whose words stay. Paragraphs of fewer than K words, other passages of fewer than LEAST,
+    Words are counted from 0 in the document, the end is exclusive. class_id is the smallest document with any of the units and
+    paragraphs that a word of the passage lies in, and n_places the most places that one of them has; kept tells the document whose
+    words stay. Where class_id changes a new passage starts. Paragraphs of fewer than K words, other passages of fewer than LEAST,
     null and empty texts and documents without repeats give no rows. Copies of a document repeat each other wholly. Ids must differ: rows of one id count as one document.
     """
     found = written(units(docs, id_col, text_col), "units")
@@ -165,7 +246,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = written(passing(found, bit_filter(multi, "key", 26)), "shared")
     keys = found.select("unit", F.explode("keys").alias("key")).distinct()
     hit = written(keys.join(multi.where("mixed").select("key"), "key", "left_semi"), "hit")
-    shingles = wanted_shingles(docs, id_col, text_col, bit_filter(hit, "unit")).groupBy("unit").agg(F.first("item").alias("item"))
+    shingles = wanted_shingles(docs, id_col, text_col, bit_filter(hit, "unit", 26)).groupBy("unit").agg(F.first("item").alias("item"))
     member = hit.join(shingles, "unit").select("key", F.col("unit").alias("id"), "item")
     near = bucket_links(member, hit.groupBy("key").agg(F.count("*").alias("n")), ["key"], partial(similar, least=0.8))
     group = components(near).withColumnRenamed("node", "unit")
@@ -175,10 +256,5 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     several = written(several.select("unit", F.coalesce("component", "unit").alias("component"), "lo", "hi", "n"), "several")
     classes = several.groupBy("component").agg(F.min("lo").alias("class_id"), F.max("hi").alias("hi"), F.max("n").alias("n_places")).where("class_id != hi")
     named = several.select("unit", "component").join(classes, "component").select("unit", "class_id", "n_places")
-    at = found.select("id", "start", "words", "unit").join(named, "unit")
-    # Overlapping units and paragraphs of a document are one passage.
-    w = Window.partitionBy("id").orderBy("start", "words", "unit")
-    before = F.max(F.col("start") + F.col("words")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    at = at.withColumn("new", (F.col("start") > before).cast("int")).withColumn("passage", F.sum(F.coalesce("new", F.lit(0))).over(w))
-    out = at.groupBy("id", "passage").agg(F.min("start").cast("long").alias("start_word"), F.max(F.col("start") + F.col("words")).cast("long").alias("end_word"), F.min("class_id").alias("class_id"), F.max("n_places").alias("n_places"))
+    out = passages(docs, id_col, text_col, found.select("id", "start", "words", "unit").join(named, "unit"))
     return out.select(F.col("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "class_id", "n_places", (F.col("id") == F.col("class_id")).alias("kept"))

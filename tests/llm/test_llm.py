@@ -404,6 +404,19 @@ def test_op9_paragraphs_and_spans(spark):
     assert {k for _, _, k in got[300]} == {True} and {k for _, _, k in got[301]} == {False}
 
 
+def test_op9_each_word_is_kept_once(spark):
+    rng = random.Random(29)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    a, b = text(120), text(120)
+    rows = [(1, " ".join(a)), (2, " ".join(a + b)), (3, " ".join(a + b))]
+    words_of, stays = {i: t.split() for i, t in rows}, defaultdict(int)
+    gone = {(r.doc_id, k) for r in repeated(docs_of(spark, rows)).collect() if not r.kept for k in range(r.start_word, r.end_word)}
+    for i, w in words_of.items():
+        for k, x in enumerate(w):
+            stays[x] += (i, k) not in gone
+    assert set(stays.values()) == {1} and not any(i == 2 and k >= 120 for i, k in gone)
+
+
 def test_op10(spark, sf_dir):
     sentencepiece = pytest.importorskip("sentencepiece")
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
