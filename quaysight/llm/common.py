@@ -1,4 +1,4 @@
-"""Helpers that the corpus operators share: shared tables, bounded Arrow slices, bit filters, bucket comparison, components."""
+"""Helpers that the corpus operators share: shared tables, bounded Arrow slices, bit filters, links of similar sets, components."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest number of members of one bucket that are compared inside one task; larger buckets are split into blocks.
+#: About how many members of a key are compared with as many others inside one task; larger groups are split into blocks.
 BLOCK = 1024
 #: Temporary folders of local sessions, by application.
 _LOCAL: dict[str, str] = {}
@@ -92,33 +92,116 @@ def forest(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def bucket_links(members: DataFrame, counts: DataFrame, keys: list[str], match: Callable[[list], np.ndarray], block: int = BLOCK) -> DataFrame:
-    """Links inside buckets, without rows for all pairs.
+def bits_for(n: int) -> int:
+    """log2 of the bits of a filter for n hashes: about eight bits a hash, from 2**22 to 2**27 bits (16 MB)."""
+    return min(27, max(22, (8 * max(n, 1) - 1).bit_length()))
 
-    members has the key columns, `id` (long) and `item`; counts has the key columns and the bucket size `n`. A bucket of more
-    than `block` members is split into blocks by hash and each two blocks are compared in a task of their own, so that no task
-    holds more than two blocks. match(items) returns the symmetric boolean link matrix. Per cell a spanning forest comes out
-    (rows a, b with a < b), which keeps every connection and grows in proportion to the members.
+
+def passing(rows: DataFrame, keys: str, bits: np.ndarray) -> DataFrame:
+    """The rows whose array column `keys` has a member in the filter. Rows without keys go."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)  # of a bounded size
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(at)
+            sizes = pc.fill_null(column.value_lengths(), 0).to_numpy()
+            hit = np.concatenate([[0], np.cumsum(in_filter(shared.value, column.flatten().to_numpy()))])
+            ends = np.cumsum(sizes)
+            yield batch.filter(pa.array(hit[ends] > hit[ends - sizes]))
+
+    at = rows.columns.index(keys)
+    return rows.mapInArrow(run, rows.schema)
+
+
+def similar(items: list, least: float) -> np.ndarray:
+    """Which sets of distinct hashes have a Jaccard similarity of at least `least`."""
+    size = np.array(list(map(len, items)))
+    _, column, count = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    row, several = np.repeat(np.arange(len(items)), size), count > 1
+    shared = several[column]
+    row, column = row[shared], (np.cumsum(several) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(items), len(items)))
+    for start in range(0, int(several.sum()), 4096):
+        lo, hi = np.searchsorted(column, [start, start + 4096])
+        has = np.zeros((len(items), 4096), np.float32)
+        has[row[lo:hi], column[lo:hi] - start] = 1
+        both += has @ has.T
+    return both >= least * (size[:, None] + size[None, :] - both) - 1e-9
+
+
+def alike_in_keys(members: DataFrame, sizes: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between sets of one key and different components, without rows for all pairs.
+
+    members has key, name, component and item (array of hashes); sizes has key, main (the component that most members are in), n
+    and hashes (of all the members' sets together). What isn't in the main component is compared with all members. Members are
+    dealt to blocks so that a cell has about `block` sets and 2**20 hashes on either side; per cell a spanning forest comes out.
     """
-    m = members.join(counts.select(*keys, F.ceil(F.col("n") / block).cast("int").alias("nb")), keys)
-    m = m.withColumn("bl", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    cells = m.groupBy(*keys, F.least("bl", "other").alias("i"), F.greatest("bl", "other").alias("j")).agg(F.sort_array(F.collect_list(F.struct("id", "item"))).alias("members"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("hashes") / (1 << 20))).cast("int")
+    m = members.join(sizes.select("key", "main", blocks.alias("nb")), "key").withColumn("bl", F.pmod(F.xxhash64("name"), F.col("nb")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("nb") - 1)
+    rest = m.where("component != main")
+    others = rest.select("key", F.col("bl").alias("j")).distinct()
+    left = m.join(others, "key").select("key", F.col("bl").alias("i"), "j", "name", "item")
+    right = rest.select("key", F.explode(every).alias("i"), F.col("bl").alias("j"), "name", "item").where("i != j")
+    cells = left.union(right).groupBy("key", "i", "j").agg(F.sort_array(F.collect_list(F.struct("name", "item"))).alias("members"))
 
     def links(batches):
         for batch in batches:
             a, b = [], []
             for cell in batch.column(0):
-                rows = cell.as_py()
-                ids = [r["id"] for r in rows]
-                low = forest(match([r["item"] for r in rows]))
-                for x, y in enumerate(low.tolist()):
-                    if x != y:
-                        a.append(ids[y])
-                        b.append(ids[x])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return cells.where(F.size("members") > 1).select("members").mapInArrow(links, "a long, b long")
+                names, items = cell.values.field(0).to_numpy(), cell.values.field(1)
+                ends = items.offsets.to_numpy()
+                flat = items.values.to_numpy()
+                low = forest(similar([flat[x:y] for x, y in zip(ends[:-1], ends[1:])], least))
+                apart = np.flatnonzero(low != np.arange(len(low)))
+                a.append(names[low[apart]])
+                b.append(names[apart])
+            none = [np.zeros(0, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x + none)) for x in (a, b)], names=["a", "b"])
+
+    few = cells.where(F.size("members") > 1).select("members")
+    return few.mapInArrow(links, "a long, b long")
+
+
+def near_sets(named: DataFrame, sets: Callable[[DataFrame], DataFrame], least: float, more: DataFrame | None = None) -> DataFrame:
+    """(node, component) of the sets that link: they share a key, and their exact Jaccard similarity is `least` or more.
+
+    named has a row for each set, with name (of its content), id (of a document that has it) and keys (array<long>); sets(wanted)
+    gives (name, item array<long>) of the sets in wanted (name, id). `more` has further candidates (a, b). Each set is first compared with the smallest one under
+    each of its keys, which takes rows in proportion to the keys; only under keys of three sets or more that lie in several
+    components by then, the sets outside the largest are compared with all, block by block. So no pair that shares a key is lost.
+    """
+    keyed = named.select("name", F.explode("keys").alias("key")).distinct()
+    multi = keyed.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("z"), F.count("*").alias("n")).where("a != z")
+    multi = written(multi.select("key", "a", "n"), "keys")
+    some = passing(named.select("name", "keys"), "keys", bit_filter(multi, "key", bits_for(multi.count())))
+    under = written(some.select("name", F.explode("keys").alias("key")).distinct().join(multi, "key"), "under")
+    pairs = under.where("a != name").select("a", F.col("name").alias("b"))
+    pairs = written((pairs if more is None else pairs.union(more.select("a", "b"))).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    items = written(sets(written(named.select("name", "id").join(wanted, "name", "left_semi"), "wanted")), "items")
+    a, b = (items.select(F.col("name").alias(x), F.col("item").alias(f"item_{x}")) for x in "ab")
+    both = F.size(F.array_intersect("item_a", "item_b"))
+    close = both >= least * (F.size("item_a") + F.size("item_b") - both) - 1e-9
+    first = written(pairs.join(b, "b").join(a, "a").where(close).select("a", "b"), "links")
+    delete(pairs)
+    group = components(first)
+    # Keys whose sets lie in several components still: those of two sets are settled.
+    of = F.coalesce("component", "name").alias("component")
+    placed = under.where("n > 2").join(group.withColumnRenamed("node", "name"), "name", "left").select("key", "name", of)
+    counted = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = counted.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("several")).where("several > 1")
+    placed = placed.join(written(mixed.select("key", "main"), "mixed"), "key").join(items, "name")
+    placed = written(placed.select("key", "name", "component", "main", "item"), "placed")
+    sizes = placed.groupBy("key", "main").agg(F.count("*").alias("n"), F.sum(F.size("item")).alias("hashes"))
+    second = written(alike_in_keys(placed.drop("main"), sizes, least), "links")
+    if not second.isEmpty():
+        group = components(first.union(second))
+    for table in (multi, under, items, placed):
+        delete(table)
+    return group
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -1,33 +1,32 @@
-"""Substring dedup: MinHash banding over paragraphs, and over units that lie anywhere.
-
-Texts fall into paragraphs at line ends. A paragraph of at least K words is MinHashed whole, with all its five-word shingles: with
-PARAGRAPH_BANDS bands of PARAGRAPH_ROWS values a similarity of 0.8 is met with a chance of 1 - (1 - 0.8**3)**10 = 0.9992. Besides,
-a document's words, across line ends, give units of LEAST words: of each SPAN - LEAST + 1 consecutive places the one whose
-shingle has the smallest hash. That depends on the words of the place only, so that two texts that share SPAN words share a unit.
-Units have BANDS bands of ROWS values. Equal members (paragraphs or units) are one; members that collide in a band are verified by
-the exact Jaccard similarity of their shingles, and linked ones form components. Of a component that lies in several documents the
-smallest document keeps its words; in the others they are repeats. This is decided word by word, so that a word which lies in
-members of several components is kept by the smallest document of all.
+"""Substring dedup: MinHash banding over paragraphs, and equal units that lie anywhere.
+
+Texts fall into paragraphs at line ends. A paragraph is MinHashed whole, with all its five-word shingles: with BANDS bands of ROWS
+values a similarity of 0.8 is met with a chance of 1 - (1 - 0.8**3)**10 = 0.9992; those that collide in a band are compared by the
+exact Jaccard similarity of their shingles, and linked ones form components. Besides, a document's words, across line ends, give
+units of LEAST words: of each SPAN - LEAST + 1 consecutive places the one whose shingle has the smallest hash. That depends on the
+words of the place only, so that two texts that share SPAN words share a unit; equal units are one component.
+
+Of a component that lies in several documents the smallest document keeps its words; in the others they are repeats. This is decided
+word by word: a word belongs to the smallest document of all members (paragraphs and units) that it lies in, where members of several
+components overlap to the smallest that has the word's shingle, so that words which only larger documents have are kept by the
+smallest of these. What a near copy of a paragraph says otherwise goes with the paragraph.
 """
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, bucket_links, components, in_filter, slices, texts, written
-from .simhash import similar, spread
+from .common import bit_filter, bits_for, delete, in_filter, near_sets, slices, texts, written
+from .simhash import spread
 from .winnow import gram_hashes, winnowed, word_hashes
 
-LEAST, SPAN, K = 24, 50, 5
-BANDS, ROWS = 2, 1
-PARAGRAPH_BANDS, PARAGRAPH_ROWS = 10, 3
-_SHINGLES = LEAST - K + 1
+LEAST, SPAN, K = 40, 50, 5
+BANDS, ROWS = 10, 3
+_FACTORS = np.random.default_rng(K).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def places(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -39,116 +38,120 @@ def places(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return at[at + LEAST <= doc[np.searchsorted(doc, at, side="right").clip(max=len(doc) - 1)]]
 
 
-def unit_shingles(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The shingle hashes of each unit, a row per unit."""
-    grams = gram_hashes(hashes, K).view(np.uint64)
-    return grams[at[:, None] + np.arange(_SHINGLES)[None, :]]
-
-
-def content(shingles: np.ndarray) -> np.ndarray:
-    """A hash of each unit's words in order."""
-    h = np.zeros(len(shingles), np.uint64)
-    for i in range(_SHINGLES):
-        h = spread(h ^ shingles[:, i], i + 1)
+def unit_names(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the words of each unit, from the shingles that lie end to end in it."""
+    h = np.full(len(at), LEAST, np.uint64)
+    for i in range(0, LEAST - K + 1, K):
+        h = spread(h ^ grams[at + i], i + 1)
     return h.view(np.int64)
 
 
-def bands(shingles: np.ndarray) -> np.ndarray:
-    """The band keys of each unit."""
-    keys = []
+def band_keys(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The band keys of the paragraphs whose shingles are grams[lo:hi]; a permutation of the hashes is a product with an odd number."""
+    keys, edges = [], np.stack([lo, hi], axis=1).ravel()
     for b in range(BANDS):
-        key = np.full(len(shingles), b + 1, np.uint64)
+        key = np.full(len(lo), 101 + b, np.uint64)
         for r in range(ROWS):
-            key = spread(key ^ spread(shingles, 11 + b * ROWS + r).min(axis=1), 5)
+            mixed = np.append(grams * _FACTORS[b * ROWS + r], np.iinfo(np.uint64).max)
+            key = spread(key ^ np.minimum.reduceat(mixed, edges)[::2], 5)
         keys.append(key.view(np.int64))
     return np.stack(keys, axis=1)
 
 
-def paragraph_bands(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """The band keys of the paragraphs whose shingles are grams[lo:hi]."""
-    keys, edges = [], np.stack([lo, hi], axis=1).ravel()
-    for b in range(PARAGRAPH_BANDS):
-        key = np.full(len(lo), 101 + b, np.uint64)
-        for r in range(PARAGRAPH_ROWS):
-            mixed = np.append(spread(grams, 101 + b * PARAGRAPH_ROWS + r), np.iinfo(np.uint64).max)
-            key = spread(key ^ np.minimum.reduceat(mixed, edges)[::2], 5)
-        keys.append(key.view(np.int64))
-    return np.stack(keys, axis=1)
+class Slice:
+    """Of a slice of documents: grams, the shingle hashes of all words; doc, where documents start; the units (at, name) and the
+    paragraphs of at least `least` words (lo, hi of their shingles, name)."""
+
+    def __init__(self, batch: pa.RecordBatch, least: int):
+        words, para, doc = [], [0], [0]
+        for text in texts(batch):
+            for line in text.lower().split(b"\n"):
+                if found := line.split():
+                    words += found
+                    para.append(len(words))
+            doc.append(len(words))
+        hashes, para, self.doc = word_hashes(words), np.array(para, np.int64), np.array(doc, np.int64)
+        self.ids, self.grams = batch.column(0), gram_hashes(hashes, K).view(np.uint64)
+        self.at = places(hashes, self.doc)
+        self.unit = unit_names(self.grams, self.at)
+        long = np.flatnonzero(np.diff(para) >= max(least, K))
+        self.lo, self.hi = para[long], para[long + 1] - K + 1
+        self.name = np.array([xxhash.xxh64_intdigest(self.grams[i:j].tobytes(), K) for i, j in zip(self.lo.tolist(), self.hi.tolist())], np.uint64).view(np.int64)
 
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """The document of each place."""
+        return np.searchsorted(self.doc, at, side="right") - 1
 
-def _sliced(batch: pa.RecordBatch):
-    """Of a slice: word hashes of all its paragraphs, where paragraphs and documents start."""
-    words, para, doc = [], [0], [0]
-    for text in texts(batch):
-        for line in text.lower().split(b"\n"):
-            if found := line.split():
-                words += found
-                para.append(len(words))
-        doc.append(len(words))
-    return word_hashes(words), np.array(para, np.int64), np.array(doc, np.int64)
-
-
-def _members(batch: pa.RecordBatch):
-    """Of a slice: the documents' bounds, the shingles of all words, and of its units and then its paragraphs the first word, the
-    number of words and the content hash; and how many are units."""
-    hashes, para, doc = _sliced(batch)
-    grams = gram_hashes(hashes, K).view(np.uint64)
-    at = places(hashes, doc)
-    long = np.flatnonzero(np.diff(para) >= K)
-    lo, hi = para[long], para[long + 1] - K + 1
-    names = np.array([xxhash.xxh64_intdigest(grams[i:j].tobytes(), K) for i, j in zip(lo.tolist(), hi.tolist())], np.uint64).view(np.int64)
-    if len(at):
-        names = np.concatenate([content(unit_shingles(hashes, at)), names])
-    return doc, grams, np.concatenate([at, lo]), np.concatenate([np.full(len(at), LEAST), hi - lo + K - 1]), names, len(at)
-
-
-def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, start, words, unit, keys): the first word and the number of words of each unit and paragraph in its document, its content
-    hash and its band keys."""
+
+def _slices(batches, least: int):
+    for batch in slices(batches, 1, 2_000_000):
+        yield Slice(batch, least)
+
+
+def unit_counts(docs: DataFrame, least: int) -> DataFrame:
+    """(unit, first, last, n): the smallest and the largest document of each unit, and the number of its places."""
 
     def run(batches):
-        for batch in slices(batches, 1, 2_000_000):
-            doc, grams, at, words, names, n = _members(batch)
-            if not len(at):
-                continue
-            of = np.searchsorted(doc, at, side="right") - 1
-            flat = [bands(grams[at[:n, None] + np.arange(_SHINGLES)[None, :]]).ravel()] if n else []
-            if n < len(at):
-                flat.append(paragraph_bands(grams, at[n:], at[n:] + words[n:] - K + 1).ravel())
-            ends = np.cumsum(np.where(np.arange(len(at)) < n, BANDS, PARAGRAPH_BANDS))
-            keys = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(np.concatenate(flat)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array((at - doc[of]).astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(names), keys], names=["id", "start", "words", "unit", "keys"])
+        for s in _slices(batches, least):
+            yield pa.RecordBatch.from_arrays([s.ids.take(pa.array(s.of(s.at))), pa.array(s.unit)], names=["id", "unit"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, start int, words int, unit long, keys array<long>")
+    return docs.mapInArrow(run, "id long, unit long").groupBy("unit").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
 
 
-def wanted_shingles(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray) -> DataFrame:
-    """(unit, item): the shingle sets, as bytes, of the units and paragraphs that pass the filter."""
+def paragraphs(docs: DataFrame, least: int) -> DataFrame:
+    """(id, name, keys): each paragraph's name and band keys."""
 
     def run(batches):
-        for batch in slices(batches, 1, 2_000_000):
-            _, grams, at, words, names, _ = _members(batch)
-            names, one = np.unique(names, return_index=True)
-            keep = in_filter(bits, names)
-            items = [np.unique(grams[i : i + w - K + 1]).tobytes() for i, w in zip(at[one[keep]].tolist(), words[one[keep]].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(items, pa.binary())], names=["unit", "item"])
+        for s in _slices(batches, least):
+            if len(s.lo):
+                keys = band_keys(s.grams, s.lo, s.hi).ravel()
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32)), pa.array(keys))
+                yield pa.RecordBatch.from_arrays([s.ids.take(pa.array(s.of(s.lo))), pa.array(s.name), lists], names=["id", "name", "keys"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "unit long, item binary")
+    return docs.mapInArrow(run, "id long, name long, keys array<long>")
 
 
-def passing(found: DataFrame, bits: np.ndarray) -> DataFrame:
-    """The units that have a key in the filter."""
-    shared = found.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
+def shingle_sets(docs: DataFrame, least: int, wanted: DataFrame) -> DataFrame:
+    """(name, item array<long>): the shingle sets of the wanted paragraphs (name, id of a document)."""
+    shared = docs.sparkSession.sparkContext.broadcast([bit_filter(wanted, c, bits_for(wanted.count())) for c in ("id", "name")])  # of a bounded size
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column(4)
-            first = np.append(0, np.cumsum(keys.value_lengths().to_numpy())[:-1])
-            yield batch.filter(pa.array(np.logical_or.reduceat(in_filter(shared.value, keys.flatten().to_numpy()), first)))
+            ids, names = shared.value
+            some = batch.filter(pa.array(in_filter(ids, batch.column(0).to_numpy())))
+            for s in _slices([some], least):
+                keep = np.flatnonzero(in_filter(names, s.name))
+                keep = keep[np.unique(np.stack([s.of(s.lo[keep]), s.name[keep]]), axis=1, return_index=True)[1]]
+                sets = [np.unique(s.grams[i:j]) for i, j in zip(s.lo[keep].tolist(), s.hi[keep].tolist())]
+                items = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([s.ids.take(pa.array(s.of(s.lo[keep]))), pa.array(s.name[keep]), items], names=["id", "name", "item"])
+
+    return docs.mapInArrow(run, "id long, name long, item array<long>").join(wanted, ["name", "id"], "left_semi").select("name", "item")
+
+
+def name_filters(names: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bit filters of the low and of the high halves of names."""
+    log2 = bits_for(names.count())
+    return bit_filter(names, "name", log2), bit_filter(names.select(F.shiftright("name", 32).alias("name")), "name", log2)
+
+
+def spans_of(docs: DataFrame, least: int, names: DataFrame) -> DataFrame:
+    """(id, start, words, name): the places of the units and paragraphs whose names pass the filters of `names`."""
+    shared = docs.sparkSession.sparkContext.broadcast(name_filters(names))  # of a bounded size
+
+    def passes(x: np.ndarray) -> np.ndarray:
+        low, high = shared.value
+        return in_filter(low, x) & in_filter(high, x >> np.int64(32))
+
+    def run(batches):
+        for s in _slices(batches, least):
+            units, paras = np.flatnonzero(passes(s.unit)), np.flatnonzero(passes(s.name))
+            at = np.concatenate([s.at[units], s.lo[paras]])
+            size = np.concatenate([np.full(len(units), LEAST), s.hi[paras] - s.lo[paras] + K - 1]).astype(np.int32)
+            of = s.of(at)
+            yield pa.RecordBatch.from_arrays([s.ids.take(pa.array(of)), pa.array((at - s.doc[of]).astype(np.int32)), pa.array(size), pa.array(np.concatenate([s.unit[units], s.name[paras]]))], names=["id", "start", "words", "name"])
 
-    return found.mapInArrow(run, found.schema)
+    return docs.mapInArrow(run, "id long, start int, words int, name long")
 
 
 def joined(spans: list[dict]) -> list[list[dict]]:
@@ -162,18 +165,18 @@ def joined(spans: list[dict]) -> list[list[dict]]:
     return groups
 
 
-def document_shingles(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray) -> DataFrame:
+def document_shingles(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """(id, item): the shingles in order, as bytes, of the documents whose ids pass the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
 
     def run(batches):
         for batch in batches:
-            some = batch.filter(pa.array(in_filter(shared.value, batch.column(0).fill_null(0).to_numpy())))
+            some = batch.filter(pa.array(in_filter(shared.value, batch.column(0).to_numpy())))
             for part in slices([some]):
                 items = [gram_hashes(word_hashes(text.lower().split()), K).tobytes() for text in texts(part)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.binary())], names=["id", "item"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, item binary")
+    return docs.mapInArrow(run, "id long, item binary")
 
 
 def labelled(spans: list[dict], own: np.ndarray, others: dict[int, np.ndarray]) -> list[tuple[int, int, int, int]]:
@@ -182,24 +185,23 @@ def labelled(spans: list[dict], own: np.ndarray, others: dict[int, np.ndarray])
     such spans reach over which lie in that document to 0.8 are no repeats."""
     none = np.iinfo(np.int64).max
     cls, n = (np.full(max(x["start"] + x["words"] for x in spans) + 1, v) for v in (none, 0))
+    held = []
     for group in joined(spans):
         lowest = {c: np.isin(own, others[c]) for c in {x["class_id"] for x in group} if c in others}
         for x in sorted(group, key=lambda x: -x["class_id"]):
             lo, hi = x["start"], x["start"] + x["words"]
-            inside = [c for c, has in lowest.items() if c < x["class_id"] and has[lo : hi - K + 1].mean() >= 0.8]
-            if not inside:
+            if not any(c < x["class_id"] and has[lo : hi - K + 1].mean() >= 0.8 for c, has in lowest.items()):
                 cls[lo:hi] = x["class_id"]
                 n[lo:hi] = np.maximum(n[lo:hi], x["n_places"])
-            for c, has in lowest.items():
-                for at in np.flatnonzero(has[lo : hi - K + 1]).tolist() if c < x["class_id"] else ():
-                    here = slice(lo + at, lo + at + K)
-                    cls[here] = np.minimum(cls[here], c)
-                    n[here] = np.maximum(n[here], x["n_places"])
+            held += [(lo + at, c, x["n_places"]) for c, has in lowest.items() if c < x["class_id"] for at in np.flatnonzero(has[lo : hi - K + 1]).tolist()]
+    for at, c, places_ in set(held):
+        cls[at : at + K] = np.minimum(cls[at : at + K], c)
+        n[at : at + K] = np.maximum(n[at : at + K], places_)
     edges = np.append(0, np.flatnonzero(np.diff(cls)) + 1)
     return [(i, j, int(cls[i]), int(n[i:j].max())) for i, j in zip(edges.tolist(), edges[1:].tolist()) if cls[i] != none]
 
 
-def passages(docs: DataFrame, id_col: str, text_col: str, spans: DataFrame) -> DataFrame:
+def passages(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """(id, start_word, end_word, class_id, n_places) of the labelled runs of words of the spans (id, start, words, class_id, n_places)."""
 
     def mixed(batches):
@@ -224,37 +226,33 @@ def passages(docs: DataFrame, id_col: str, text_col: str, spans: DataFrame) -> D
     each = written(spans.groupBy("id").agg(F.collect_list(F.struct("start", "words", "class_id", "n_places")).alias("spans")), "spans")
     pairs = written(each.mapInArrow(mixed, "id long, other long"), "mixed")
     needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
-    items = written(document_shingles(docs, id_col, text_col, bit_filter(needed, "id")).join(needed, "id", "left_semi"), "items").dropDuplicates(["id"])
+    items = written(document_shingles(docs, bit_filter(needed, "id", bits_for(2 * pairs.count()))).join(needed, "id", "left_semi"), "items").dropDuplicates(["id"])
     others = pairs.join(items.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.collect_list(F.struct("other", "item")).alias("others"))
     both = others.join(items, "id").select("id", "item", "others")
     return each.join(both, "id", "left").select("id", "spans", "item", "others").mapInArrow(run, "id long, start_word long, end_word long, class_id long, n_places long")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = K) -> DataFrame:
     """(id_col, start_word, end_word, n_words, class_id, n_places, kept): the passages that other documents have too.
 
     Words are counted from 0 in the document, the end is exclusive. class_id is the smallest document with any of the units and
     paragraphs that a word of the passage lies in, and n_places the most places that one of them has; kept tells the document whose
-    words stay. Where class_id changes a new passage starts. Paragraphs of fewer than K words, other passages of fewer than LEAST,
-    null and empty texts and documents without repeats give no rows. Copies of a document repeat each other wholly. Ids must differ: rows of one id count as one document.
+    words stay. Where class_id changes a new passage starts. Paragraphs of fewer than `least` words (K at least), other passages of
+    fewer than LEAST words, null and empty texts, null ids and documents without repeats give no rows; what repeats inside one
+    document only is none, as no other document has it. Copies of a document repeat each other wholly. Rows of one id count as one
+    document, whose passages are those of all its rows. A very long text is one task's work. Only the two named columns are read.
     """
-    found = written(units(docs, id_col, text_col), "units")
-    # Keys that several documents have; `mixed` ones have different units.
-    keys = found.select("unit", "id", F.explode("keys").alias("key"))
-    multi = keys.groupBy("key").agg(F.min("unit").alias("lo"), F.max("unit").alias("hi"), F.min("id").alias("first"), F.max("id").alias("last")).where("first != last")
-    multi = written(multi.select("key", (F.col("lo") != F.col("hi")).alias("mixed")), "multi")
-    found = written(passing(found, bit_filter(multi, "key", 26)), "shared")
-    keys = found.select("unit", F.explode("keys").alias("key")).distinct()
-    hit = written(keys.join(multi.where("mixed").select("key"), "key", "left_semi"), "hit")
-    shingles = wanted_shingles(docs, id_col, text_col, bit_filter(hit, "unit", 26)).groupBy("unit").agg(F.first("item").alias("item"))
-    member = hit.join(shingles, "unit").select("key", F.col("unit").alias("id"), "item")
-    near = bucket_links(member, hit.groupBy("key").agg(F.count("*").alias("n")), ["key"], partial(similar, least=0.8))
-    group = components(near).withColumnRenamed("node", "unit")
-    # Only units in several documents, or linked to another, can be repeats.
-    several = found.groupBy("unit").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
-    several = several.join(group, "unit", "left").where("lo != hi or component is not null")
-    several = written(several.select("unit", F.coalesce("component", "unit").alias("component"), "lo", "hi", "n"), "several")
-    classes = several.groupBy("component").agg(F.min("lo").alias("class_id"), F.max("hi").alias("hi"), F.max("n").alias("n_places")).where("class_id != hi")
-    named = several.select("unit", "component").join(classes, "component").select("unit", "class_id", "n_places")
-    out = passages(docs, id_col, text_col, found.select("id", "start", "words", "unit").join(named, "unit"))
+    texts_of = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
+    units = written(unit_counts(texts_of, least).where("first != last").select(F.col("unit").alias("name"), F.col("first").alias("class_id"), F.col("n").alias("n_places")), "units")
+    each = written(paragraphs(texts_of, least).groupBy("name", "keys").agg(F.min("id").alias("id"), F.max("id").alias("last"), F.count("*").alias("n")), "paragraphs")
+    group = near_sets(each.select("name", "id", "keys"), lambda wanted: shingle_sets(texts_of, least, wanted), 0.8)
+    placed = each.select("name", F.col("id").alias("first"), "last", "n").join(group.withColumnRenamed("node", "name"), "name", "left").where("first != last or component is not null")
+    placed = written(placed.select("name", F.coalesce("component", "name").alias("component"), "first", "last", "n"), "placed")
+    delete(each)
+    classes = placed.groupBy("component").agg(F.min("first").alias("class_id"), F.max("last").alias("last"), F.max("n").alias("n_places")).where("class_id != last")
+    named = written(units.union(placed.select("name", "component").join(classes, "component").select("name", "class_id", "n_places")), "named")
+    for table in (units, placed):
+        delete(table)
+    spans = spans_of(texts_of, least, named).join(named, "name").select("id", "start", "words", "class_id", "n_places")
+    out = passages(texts_of, spans)
     return out.select(F.col("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "class_id", "n_places", (F.col("id") == F.col("class_id")).alias("kept"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import licenses, pieces, quality, secrets, toxicity, urls
-from .passages import repeated
+from .passages import LEAST, repeated
 from .simhash import simhash_components
 from .vectors import near_vectors
 from .winnow import decontaminate
@@ -68,7 +68,8 @@ def op8_markov_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated(table(spark, sf_dir, "documents"))
+    """Paragraphs of at least LEAST words and what else repeats over so many, so that headings and stock lines don't count."""
+    return repeated(table(spark, sf_dir, "documents"), least=LEAST)
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:

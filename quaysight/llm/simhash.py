@@ -11,15 +11,13 @@ a bucket are verified on the whole fingerprint.
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, bucket_links, components, in_filter, slices, texts, written
+from .common import BLOCK, bit_filter, bits_for, components, forest, in_filter, near_sets, slices, texts, written
 
 SEED = 42
 #: Keys of so many times the usual members are not joined with themselves.
@@ -27,6 +25,7 @@ COLD = 64
 #: MinHash bands that meet a similarity of 0.8 with a chance of 1 - (1 - 0.8**ROWS)**BANDS = 0.9996.
 BANDS, ROWS = 20, 5
 MIX = 0x9E3779B97F4A7C15
+_FACTORS = np.random.default_rng(SEED).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_hashes(text: bytes, k: int) -> np.ndarray:
@@ -75,39 +74,38 @@ def set_name(shingles: np.ndarray) -> int:
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """The keys of BANDS MinHash bands of ROWS values each."""
+    """The keys of BANDS MinHash bands of ROWS values each; a permutation of the hashes is a product with an odd number."""
     low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    seeds = np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(MIX)
-    for i in range(0, len(shingles), 4096):
-        low = np.minimum(low, spread(shingles[i : i + 4096, None] + seeds, 0).min(axis=0))
+    for i in range(0, len(shingles), 512):
+        low = np.minimum(low, (shingles[i : i + 512, None] * _FACTORS).min(axis=0))
     keys = np.arange(BANDS, dtype=np.uint64)
     for row in low.reshape(BANDS, ROWS).T:
         keys = spread(keys ^ row, 1)
     return keys
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int) -> DataFrame:
-    """(id, name, fps array<long>, bands array<long>): the name of each document's shingle set, `lanes` fingerprints, band keys."""
+def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, name, fp, keys array<long>): the name of each document's shingle set, its fingerprint and its band keys."""
 
     def run(batches):
         for batch in slices(batches):
-            names, fps, bands = [], [], []
+            names, fps, keys = [], [], []
             for text in texts(batch):
                 h = shingle_hashes(text, words)
                 one = np.unique(h)
                 names.append(set_name(one))
-                fps += [majority(spread(h, lane) if lane else h) for lane in range(lanes)]
-                bands.append(band_keys(one))
-            lists = lambda flat, n: pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, n, dtype=np.int32)), pa.array(flat.view(np.int64)))
-            out = [batch.column(0), pa.array(np.array(names, np.uint64).view(np.int64)), lists(np.array(fps, np.uint64), lanes), lists(np.concatenate(bands), BANDS)]
-            yield pa.RecordBatch.from_arrays(out, names=["id", "name", "fps", "bands"])
+                fps.append(majority(h))
+                keys.append(band_keys(one))
+            long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) * BANDS + 1, BANDS, dtype=np.int32)), long(np.concatenate(keys)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), long(names), long(fps), lists], names=["id", "name", "fp", "keys"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, name long, fps array<long>, bands array<long>")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, name long, fp long, keys array<long>")
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int, bits: np.ndarray) -> DataFrame:
-    """(name, item): the shingle sets of the documents whose ids pass the filter, sorted 64-bit hashes as bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
+    """(name, item array<long>): the sorted shingle hashes of the wanted sets (name, id of a document)."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "id", bits_for(wanted.count())))  # of a bounded size
 
     def run(batches):
         for batch in batches:
@@ -115,9 +113,12 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, words: int, bits:
             for part in slices([some]):
                 sets = [np.unique(shingle_hashes(text, words)) for text in texts(part)]
                 names = np.array([set_name(x) for x in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([x.tobytes() for x in sets], pa.binary())], names=["name", "item"])
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                items = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names), items], names=["id", "name", "item"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "name long, item binary")
+    found = docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, name long, item array<long>")
+    return found.join(wanted, ["name", "id"], "left_semi").select("name", "item")
 
 
 def bit_statistics(fps: DataFrame) -> np.ndarray:
@@ -193,25 +194,24 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def parts_of(fps: DataFrame, plan: list[tuple[int, int]], lane: int = 0) -> DataFrame:
+def parts_of(fps: DataFrame, plan: list[tuple[int, int]]) -> DataFrame:
     """(part, own, fp, id): the value of each fingerprint in each part."""
-    own = [F.struct(F.lit(8 * lane + i).alias("part"), F.col("fp").bitwiseAND(F.lit(signed(mask))).alias("own")) for i, (mask, _) in enumerate(plan)]
+    own = [F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(signed(mask))).alias("own")) for i, (mask, _) in enumerate(plan)]
     return fps.select("fp", "id", F.explode(F.array(*own)).alias("k")).select("k.part", "k.own", "fp", "id")
 
 
-def keyed(values: DataFrame, plans: list[list[tuple[int, int]]]) -> DataFrame:
+def keyed(values: DataFrame, plan: list[tuple[int, int]]) -> DataFrame:
     """values (part, own, ...) with a row for each key `val` of the value: equal keys mean at most t bits apart in the part."""
     own, vals = F.col("own"), None
-    for lane, plan in enumerate(plans):
-        for i, (mask, t) in enumerate(plan):
-            near = F.array(own, *[own.bitwiseXOR(F.lit(signed(1 << b))) for b in range(64) if mask >> b & 1])
-            keys = F.array(own) if t == 0 else near if t == 2 else F.when(F.bit_count(own) % 2 == 1, near).otherwise(F.array(own))
-            here = F.col("part") == 8 * lane + i
-            vals = F.when(here, keys) if vals is None else vals.when(here, keys)
+    for i, (mask, t) in enumerate(plan):
+        near = F.array(own, *[own.bitwiseXOR(F.lit(signed(1 << b))) for b in range(64) if mask >> b & 1])
+        keys = F.array(own) if t == 0 else near if t == 2 else F.when(F.bit_count(own) % 2 == 1, near).otherwise(F.array(own))
+        here = F.col("part") == i
+        vals = F.when(here, keys) if vals is None else vals.when(here, keys)
     return values.withColumn("val", F.explode(vals))
 
 
-def links(parts: DataFrame, plans: list[list[tuple[int, int]]], tau: int) -> tuple[DataFrame, DataFrame]:
+def links(parts: DataFrame, plan: list[tuple[int, int]], tau: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of ids that share a key of few members and have at most tau differing bits; and (part, own, cluster) of the values
     under keys of many members, whose pairs are left out. Values that share such a key are in one cluster.
 
@@ -219,15 +219,15 @@ def links(parts: DataFrame, plans: list[list[tuple[int, int]]], tau: int) -> tup
     copies of a value weigh nothing.
     """
     values = parts.groupBy("part", "own").agg(F.count("*").alias("m"))
-    sizes = keyed(values, plans).groupBy("part", "val").agg(F.sum("m").alias("n"), F.min("own").alias("low"))
-    widths = {8 * lane + i: mask.bit_count() for lane, plan in enumerate(plans) for i, (mask, _) in enumerate(plan)}
+    sizes = keyed(values, plan).groupBy("part", "val").agg(F.sum("m").alias("n"), F.min("own").alias("low"))
+    widths = [mask.bit_count() for mask, _ in plan]
     usual = F.greatest(F.lit(1.0), F.avg("n"))
-    even = {r["part"]: r["usual"] for r in sizes.groupBy("part").agg(usual.alias("usual")).collect()} if min(widths.values()) < 40 else {}
+    even = {r["part"]: r["usual"] for r in sizes.groupBy("part").agg(usual.alias("usual")).collect()} if min(widths) < 40 else {}
     limit = F.lit(float(COLD))
     for part, mean in sorted(even.items()):
         limit = F.when(F.col("part") == part, COLD * mean).otherwise(limit)
     hot = written(sizes.where(F.col("n") > limit).select("part", "val", "low"), "hot")
-    keys = keyed(parts, plans)
+    keys = keyed(parts, plan)
     cold = keys.join(hot.select("part", "val"), ["part", "val"], "left_anti")
     left, right = (cold.select(F.col("part").alias(f"part_{x}"), F.col("val").alias(f"val_{x}"), F.col("fp").alias(f"fp_{x}"), F.col("id").alias(x)) for x in "ab")
     close = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= tau
@@ -235,107 +235,86 @@ def links(parts: DataFrame, plans: list[list[tuple[int, int]]], tau: int) -> tup
     if hot.isEmpty():
         return met.select("a", "b"), hot.select("part", F.col("val").alias("own"), F.col("low").alias("cluster"))
     name = lambda c: F.xxhash64("part", c)
-    under = keyed(values, plans).join(hot, ["part", "val"]).select("part", "own", name("own").alias("a"), name("low").alias("b")).distinct()
+    under = keyed(values, plan).join(hot, ["part", "val"]).select("part", "own", name("own").alias("a"), name("low").alias("b")).distinct()
     under = written(under, "under")
     same = components(under)
     clusters = under.select("part", "own", F.col("a").alias("node")).distinct().join(same, "node", "left").select("part", "own", F.coalesce("component", "node").alias("cluster"))
     return met.select("a", "b"), written(clusters, "clusters")
 
 
-def _near(items: list, wide: int) -> np.ndarray:
-    x = np.array(items, np.int64).view(np.uint64)
-    d = np.zeros((len(x), len(x)), np.int32)
-    for lane in range(x.shape[1]):
-        d += np.bitwise_count(x[:, None, lane] ^ x[None, :, lane])
-    return d <= wide
-
-
-def similar(items: list, least: float) -> np.ndarray:
-    """Which shingle sets have a Jaccard similarity of at least `least`."""
-    sets = [np.frombuffer(x, np.uint64) for x in items]
-    size = np.array(list(map(len, sets)))
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row, several = np.repeat(np.arange(len(sets)), size), count > 1
-    shared = several[column]
-    row, column = row[shared], (np.cumsum(several) - 1)[column[shared]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    both = np.zeros((len(sets), len(sets)))
-    for start in range(0, int(several.sum()), 4096):
-        lo, hi = np.searchsorted(column, [start, start + 4096])
-        has = np.zeros((len(sets), 4096), np.float32)
-        has[row[lo:hi], column[lo:hi] - start] = 1
-        both += has @ has.T
-    return both >= least * (size[:, None] + size[None, :] - both) - 1e-9
-
-
 def stars(fps: DataFrame) -> DataFrame:
     """Links (a, b) within two bits among fingerprints. They are keyed by themselves and their one-bit neighbours: all that share
     such a key are within two bits of each other, so that a link to the smallest of them is enough."""
-    variants = keyed(fps.select(F.lit(0).alias("part"), F.col("fp").alias("own"), "id"), [[((1 << 64) - 1, 2)]])
+    variants = keyed(fps.select(F.lit(0).alias("part"), F.col("fp").alias("own"), "id"), [((1 << 64) - 1, 2)])
     centres = variants.groupBy("val").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").select("val", "a")
     return variants.join(centres, "val").select("a", F.col("id").alias("b")).where("a < b")
 
 
-def cluster_links(parts: DataFrame, clusters: DataFrame, items: DataFrame, wide: int) -> DataFrame:
-    """Links (a, b) of ids whose items differ in at most `wide` bits, among the members of each cluster, block by block."""
-    member = parts.select("part", "own", "id").join(clusters, ["part", "own"]).select("part", "cluster", "id")
-    sizes = member.groupBy("part", "cluster").agg(F.count("*").alias("n"))
-    return bucket_links(member.join(items, "id"), sizes, ["part", "cluster"], partial(_near, wide=wide))
+def cluster_links(parts: DataFrame, clusters: DataFrame, tau: int) -> DataFrame:
+    """Links (a, b) of fingerprints at most tau bits apart among the members of each cluster, block by block in tasks."""
+    member = parts.join(clusters, ["part", "own"]).select("part", "cluster", "fp", "id")
+    blocks = member.groupBy("part", "cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
+    m = member.join(blocks, ["part", "cluster"]).withColumn("bl", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    cells = m.groupBy("part", "cluster", F.least("bl", "other").alias("i"), F.greatest("bl", "other").alias("j")).agg(F.collect_list(F.struct("id", "fp")).alias("members"))
+
+    def run(batches):
+        for batch in batches:
+            for cell in batch.column(0):
+                ids, fps = (cell.values.field(k).to_numpy() for k in (0, 1))
+                low = forest(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= tau)
+                apart = np.flatnonzero(low != np.arange(len(low)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[low[apart]]), pa.array(ids[apart])], names=["a", "b"])
+
+    return cells.select("members").mapInArrow(run, "a long, b long")
+
+
+def near_fingerprints(distinct: DataFrame, tau: int) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (fp, and id, which is the same) that connect all that differ in at most tau bits."""
+    plan = allocate(bit_statistics(distinct), tau)
+    parts = parts_of(distinct, plan)
+    near, clusters = links(parts, plan, tau)
+    if clusters.isEmpty():
+        return near
+    # Stars hold for two bits; for another radius the members of large keys are compared block by block.
+    return near.union(stars(parts.join(clusters, ["part", "own"], "left_semi").select("fp", "id").distinct()) if tau == 2 else cluster_links(parts, clusters, tau))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, tau: int = 2) -> DataFrame:
     """(id_col, fingerprint, component_id) of each document: documents link if their fingerprints differ in at most tau bits.
 
     Null, empty and wordless texts share fingerprint zero and link with each other. Repeated ids, ties and copies are one
-    fingerprint each; an empty table gives an empty table; columns besides the two named are not read.
+    fingerprint each; an empty table gives an empty table; a very long text is one task's work and its memory grows with it;
+    columns besides the two named are not read, so their names can't clash.
     """
     fps = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
     alike = fps.groupBy("fp").agg(F.min("id").alias("first"))
-    distinct = alike.select("fp", F.col("fp").alias("id"))
-    plan = allocate(bit_statistics(distinct), tau)
-    parts = parts_of(distinct, plan)
-    near, clusters = links(parts, [plan], tau)
-    if not clusters.isEmpty():
-        # Stars hold for two bits; for another radius the members of large keys are compared block by block.
-        large = parts.join(clusters, ["part", "own"], "left_semi").select("fp", "id").distinct()
-        near = near.union(stars(large) if tau == 2 else cluster_links(parts, clusters, distinct.select("id", F.array("fp").alias("item")), tau))
-    found = components(near)
+    found = components(near_fingerprints(alike.select("fp", F.col("fp").alias("id")), tau))
     named = alike.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = named.join(lowest, "component").select("fp", "component_id")
     return fps.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, tau: int = 8, tables: int = 2, least: float = 0.8) -> DataFrame:
+def simhash_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, tau: int = 2, least: float = 0.8) -> DataFrame:
     """docs without near-duplicates: of each group the document of the smallest id stays.
 
-    Documents are alike if the exact Jaccard similarity of their five-word shingles is `least` or more. Candidates differ in at most
-    tau bits of one of `tables` fingerprints, or share a MinHash band; documents that candidates connect, or that keys of many members
-    cluster, are compared with each other on their shingle sets, block by block. Texts without words are alike. Rows of one id stay
-    or go together.
+    Documents link if the exact Jaccard similarity of their five-word shingles is `least` or more. Candidates are documents whose
+    fingerprints the pigeonhole search connects within tau bits, and, as a similarity of 0.8 leaves 64-bit fingerprints some ten bits
+    apart, documents that share one of BANDS MinHash bands. Texts without words (null and empty ones too) are alike. Rows of one
+    id stay or go together; copies and ties need no comparison; rows whose id is null stay. Columns and their names don't matter
+    besides the two named.
     """
-    fps = written(signatures(docs, id_col, text_col, words, tables), "fingerprints")
-    alike = written(fps.groupBy("name").agg(F.min("id").alias("id"), F.min("fps").alias("fps"), F.min("bands").alias("bands")), "sets")
-    parts, plans = None, []
-    for lane in range(tables):
-        lane_fps = alike.select(F.col("fps")[lane].alias("fp"), F.col("name").alias("id"))
-        plans.append(allocate(bit_statistics(lane_fps), tau))
-        lane_parts = parts_of(lane_fps, plans[-1], lane)
-        parts = lane_parts if parts is None else parts.union(lane_parts)
-    bands = alike.select(F.posexplode("bands").alias("band", "own"), "name").select((F.col("band") + 8 * tables).alias("part"), "own", F.lit(0).cast("long").alias("fp"), F.col("name").alias("id"))
-    parts = parts.union(bands)
-    plans += [[((1 << 64) - 1, 0)] * min(8, BANDS - i) for i in range(0, BANDS, 8)]
-    met, clusters = links(parts, plans, tau)
-    if not clusters.isEmpty():
-        met = met.union(parts.join(clusters, ["part", "own"]).select(F.xxhash64("part", "cluster").alias("a"), F.col("id").alias("b")))
-    group = components(met).withColumnRenamed("node", "name")
-    member = written(group.join(alike.select("name", "id"), "name"), "members")
-    sets = shingle_sets(docs, id_col, text_col, words, bit_filter(member, "id", 26)).groupBy("name").agg(F.first("item").alias("item"))
-    sizes = member.groupBy("component").agg(F.count("*").alias("n"))
-    found = components(bucket_links(member.join(sets, "name").select("component", F.col("name").alias("id"), "item"), sizes, ["component"], partial(similar, least=least)))
-    named = alike.select("name", "id").join(found.withColumnRenamed("node", "name"), "name", "left")
+    found = written(signatures(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words), "fingerprints")
+    alike = written(found.groupBy("name").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), F.min("keys").alias("keys")), "sets")
+    # Of the sets of one fingerprint the smallest stands for all.
+    same = alike.groupBy("fp").agg(F.min("name").alias("first"))
+    near = written(near_fingerprints(same.select("fp", F.col("fp").alias("id")), tau), "near")
+    first = lambda x: same.select(F.col("fp").alias(x), F.col("first").alias(f"{x}_name"))
+    across = near.join(first("a"), "a").join(first("b"), "b").select(F.col("a_name").alias("a"), F.col("b_name").alias("b"))
+    within = alike.join(same, "fp").where("name != first").select(F.col("first").alias("a"), F.col("name").alias("b"))
+    group = near_sets(alike, lambda wanted: shingle_sets(docs, id_col, text_col, words, wanted), least, across.union(within))
+    named = alike.select("name", "id").join(group.withColumnRenamed("node", "name"), "name", "left")
     kept = named.groupBy(F.coalesce("component", "name")).agg(F.min("id").alias("id")).select("id")
     # Ids are compared first and the rest written, so that texts needn't be shuffled where few ids go.
-    gone = written(fps.select("id").join(kept, "id", "left_anti").select(F.col("id").alias(id_col)).distinct(), "gone")
+    gone = written(found.select("id").join(kept, "id", "left_anti").select(F.col("id").alias(id_col)).distinct(), "gone")
     return docs.join(gone, id_col, "left_anti")
