@@ -154,15 +154,19 @@ def spans_of(docs: DataFrame, least: int, names: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, start int, words int, name long")
 
 
-def joined(spans: list[dict]) -> list[list[dict]]:
-    """The spans of a document in groups that overlap."""
-    groups, end = [], -1
-    for x in sorted(spans, key=lambda x: x["start"]):
-        if x["start"] >= end:
-            groups.append([])
-        groups[-1].append(x)
-        end = max(end, x["start"] + x["words"])
-    return groups
+def overlapping(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The number of the group of spans, in order of their starts, that each span overlaps with."""
+    order = np.argsort(start, kind="stable")
+    reach = np.maximum.accumulate(end[order])
+    out = np.zeros(len(start), np.int64)
+    out[order] = np.concatenate([[0], np.cumsum(start[order][1:] >= reach[:-1])])
+    return out
+
+
+def columns(spans: pa.Scalar) -> tuple[np.ndarray, ...]:
+    """start, end, class_id and n_places of a document's spans."""
+    start, words, class_id, n_places = (spans.values.field(k).to_numpy().astype(np.int64) for k in range(4))
+    return start, start + words, class_id, n_places
 
 
 def document_shingles(docs: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -179,47 +183,63 @@ def document_shingles(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "id long, item binary")
 
 
-def labelled(spans: list[dict], own: np.ndarray, others: dict[int, np.ndarray]) -> list[tuple[int, int, int, int]]:
+def labelled(spans: tuple[np.ndarray, ...], own: np.ndarray, others: dict[int, np.ndarray]) -> list[tuple[int, int, int, int]]:
     """(start, end, class, places) of the runs of words of one class. A word's class is the smallest of the spans that it lies in;
     where spans of several classes overlap it is the smallest of theirs whose document has the word in a shingle. Words that only
     such spans reach over which lie in that document to 0.8 are no repeats."""
+    start, end, class_id, n_places = spans
     none = np.iinfo(np.int64).max
-    cls, n = (np.full(max(x["start"] + x["words"] for x in spans) + 1, v) for v in (none, 0))
-    held = []
-    for group in joined(spans):
-        lowest = {c: np.isin(own, others[c]) for c in {x["class_id"] for x in group} if c in others}
-        for x in sorted(group, key=lambda x: -x["class_id"]):
-            lo, hi = x["start"], x["start"] + x["words"]
-            if not any(c < x["class_id"] and has[lo : hi - K + 1].mean() >= 0.8 for c, has in lowest.items()):
-                cls[lo:hi] = x["class_id"]
-                n[lo:hi] = np.maximum(n[lo:hi], x["n_places"])
-            held += [(lo + at, c, x["n_places"]) for c, has in lowest.items() if c < x["class_id"] for at in np.flatnonzero(has[lo : hi - K + 1]).tolist()]
-    for at, c, places_ in set(held):
-        cls[at : at + K] = np.minimum(cls[at : at + K], c)
-        n[at : at + K] = np.maximum(n[at : at + K], places_)
-    edges = np.append(0, np.flatnonzero(np.diff(cls)) + 1)
-    return [(i, j, int(cls[i]), int(n[i:j].max())) for i, j in zip(edges.tolist(), edges[1:].tolist()) if cls[i] != none]
+    size = int(end.max()) + 1
+    cls, n = np.full(size, none), np.zeros(size, np.int64)
+    held, held_n = np.full(size, none), np.zeros(size, np.int64)  # by the first word of a shingle
+    group = overlapping(start, end)
+    has = {c: np.isin(own, x) for c, x in others.items()}
+    order = np.lexsort([-class_id, group])
+    for lo_, hi_ in zip(*(np.searchsorted(group[order], np.unique(group), side) for side in ("left", "right"))):
+        here = order[lo_:hi_]
+        lower = [c for c in np.unique(class_id[here]).tolist()[:-1] if c in has]
+        for i in here.tolist():
+            lo, hi = start[i], end[i]
+            inside = False
+            for c in lower:
+                if c < class_id[i]:
+                    at = has[c][lo : hi - K + 1]
+                    inside |= at.mean() >= 0.8
+                    part = held[lo : lo + len(at)]
+                    np.minimum(part, np.where(at, c, none), out=part)
+                    part = held_n[lo : lo + len(at)]
+                    np.maximum(part, np.where(at, n_places[i], 0), out=part)
+            if not inside:
+                cls[lo:hi] = class_id[i]
+                n[lo:hi] = np.maximum(n[lo:hi], n_places[i])
+    for k in range(K):
+        cls[k:] = np.minimum(cls[k:], held[: size - k])
+        n[k:] = np.maximum(n[k:], held_n[: size - k])
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(cls)) + 1]).tolist()
+    return [(i, j, int(cls[i]), int(n[i:j].max())) for i, j in zip(edges, edges[1:]) if cls[i] != none]
 
 
 def passages(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """(id, start_word, end_word, class_id, n_places) of the labelled runs of words of the spans (id, start, words, class_id, n_places)."""
 
     def mixed(batches):
+        """(id, other): the documents of the classes that overlap with a larger one in a document."""
         for batch in batches:
-            a, b = [], []
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for doc, found in zip(batch.column(0).to_pylist(), batch.column(1)):
-                classes = [{x["class_id"] for x in group} for group in joined(found.as_py())]
-                others = set().union(*(c - {max(c)} for c in classes))
-                a += [doc] * len(others)
-                b += others
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["id", "other"])
+                start, end, class_id, _ = columns(found)
+                if class_id.min() < class_id.max():
+                    pair = np.unique(np.stack([overlapping(start, end), class_id]), axis=1)
+                    b.append(np.unique(pair[1, :-1][pair[0, :-1] == pair[0, 1:]]))
+                    a.append(np.full(len(b[-1]), doc))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], names=["id", "other"])
 
     def run(batches):
         for batch in batches:
             rows = []
             for doc, found, own, others in zip(batch.column(0).to_pylist(), *(batch.column(k) for k in (1, 2, 3))):
-                sets = {x["other"]: np.frombuffer(x["item"], np.int64) for x in others.as_py() or ()}
-                rows += [(doc, *r) for r in labelled(found.as_py(), np.frombuffer(own.as_py() or b"", np.int64), sets)]
+                sets = {x["other"].as_py(): np.frombuffer(x["item"].as_buffer(), np.int64) for x in others} if others.is_valid else {}
+                rows += [(doc, *r) for r in labelled(columns(found), np.frombuffer(own.as_py() or b"", np.int64), sets)]
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "start_word", "end_word", "class_id", "n_places"])
 
