@@ -47,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids with their byte spans; `exact` says whether they decode to the text."""
     import public_tokenizers
 
-    found = pieces.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = pieces.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"), forget=True)
     return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "starts", "ends", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
 
 
