@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import blocks
+
 LENGTH = 550
 
 
@@ -33,12 +35,22 @@ def statistics(series: DataFrame, keys: list[str], order: list[str], robust: boo
     return out.withColumn("median", F.percentile("value", 0.5).over(w)) if robust else out
 
 
+def middle(a: Column) -> Column:
+    """The median of a sorted array; null of an empty one."""
+    n = F.size(a)
+    return F.when(n > 0, (F.get(a, F.floor((n - 1) / 2).cast("int")) + F.get(a, F.floor(n / 2).cast("int"))) / 2)
+
+
+def middles(df: DataFrame, column: str, window, median: str, deviation: str) -> DataFrame:
+    """df with the median of the column's values in the window and their median absolute deviation (ANO-02). A frame's values are
+    gathered once per row, so that the window must be bounded."""
+    out = df.withColumn("_v", F.sort_array(F.collect_list(column).over(window))).withColumn(median, middle(F.col("_v")))
+    return out.withColumn(deviation, middle(F.sort_array(F.transform("_v", lambda x: F.abs(x - F.col(median)))))).drop("_v")
+
+
 def mad(series: DataFrame, keys: list[str], order: list[str], length: int) -> DataFrame:
-    """series with the median and the median absolute deviation of the last `length` values, which are gathered per row (ANO-02)."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(length - 1), 0)
-    middle = lambda a: F.when(F.size(a) % 2 == 1, F.element_at(a, (F.size(a) / 2 + 0.5).cast("int"))).otherwise((F.element_at(a, (F.size(a) / 2).cast("int")) + F.element_at(a, (F.size(a) / 2 + 1).cast("int"))) / 2)
-    out = series.withColumn("_v", F.array_sort(F.collect_list("value").over(w))).withColumn("median", middle(F.col("_v")))
-    return out.withColumn("_d", F.array_sort(F.transform("_v", lambda x: F.abs(x - F.col("median"))))).withColumn("mad", middle(F.col("_d"))).drop("_v", "_d")
+    """series with the median and the median absolute deviation of the last `length` values (ANO-02)."""
+    return middles(series, "value", Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(length - 1), 0), "median", "mad")
 
 
 def severity(x: Column, limits: tuple[float, float, float]) -> Column:
@@ -73,13 +85,16 @@ def discontinuities(series: DataFrame, keys: list[str], order: list[str], gap_s:
 
 
 def level_shifts(series: DataFrame, keys: list[str], order: list[str], half: int = 250, z: float = 3) -> DataFrame:
-    """Rows where the medians of the newer and the older half differ by more than z robust deviations of the older (ANO-10). The
-    deviation is half the distance of the older quartiles, which for symmetric values is the median absolute deviation."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """Rows where the medians of the newer and the older half differ by more than z robust deviations of the older, 1.4826 times its
+    median absolute deviation (ANO-10)."""
+    own = [*keys, "_block"]
+    s = blocks(series, keys, order[0], order, 2 * half)
+    w = Window.partitionBy(*own).orderBy("_n")
     new, old = w.rowsBetween(-(half - 1), 0), w.rowsBetween(-(2 * half - 1), -half)
-    s = series.withColumns({"n_old": F.count("value").over(old), "median_new": F.percentile("value", 0.5).over(new), "median_old": F.percentile("value", 0.5).over(old), "_q1": F.percentile("value", 0.25).over(old), "_q3": F.percentile("value", 0.75).over(old)})
-    spread = 1.4826 * (F.col("_q3") - F.col("_q1")) / 2
-    return s.where(F.col("n_old") == half).withColumn("shift", F.when(spread > 0, F.abs(F.col("median_new") - F.col("median_old")) / spread)).where(F.col("shift") > z).drop("_q1", "_q3")
+    s = s.withColumns({"n_old": F.count("value").over(old), "_new": F.sort_array(F.collect_list("value").over(new))})
+    s = middles(s, "value", old, "median_old", "_mad").where("_own").withColumn("median_new", middle(F.col("_new")))
+    spread = 1.4826 * F.col("_mad")
+    return s.where(F.col("n_old") == half).withColumn("shift", F.when(spread > 0, F.abs(F.col("median_new") - F.col("median_old")) / spread)).where(F.col("shift") > z).drop("_mad", "_new", "_n", "_block", "_own")
 
 
 def repeats(rows: DataFrame, row_hash: Column, within_s: float = 300) -> DataFrame:

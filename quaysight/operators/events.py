@@ -15,19 +15,29 @@ def correlation_key(kind: Column, title: Column) -> Column:
     return F.concat_ws(":", kind, F.concat_ws("-", F.slice(F.array_sort(words(title)), 1, 3)))
 
 
+def event_classes(events: DataFrame) -> DataFrame:
+    """events (id, kind, title, source, start) with key, w, s and class_id: events of one correlation key, words, source and second are
+    one class, named by its smallest id."""
+    e = events.withColumns({"key": correlation_key(F.col("kind"), F.col("title")), "w": F.array_sort(words(F.col("title"))), "s": F.unix_seconds(F.col("start").cast("timestamp"))})
+    return e.join(e.groupBy("key", "w", "source", "s").agg(F.min("id").alias("class_id")), ["key", "w", "source", "s"])
+
+
 def related(events: DataFrame, hours: float = 24, least: float = 0.7) -> DataFrame:
-    """Pairs of events of one correlation key less than the hours apart whose word similarity, with 0.3 more for one source, exceeds
-    the least (JOIN-10). events: id, kind, title, source, start. Joined on the key and the day, the neighbouring day too, so that a
-    large key is cut by time. Events of one key with the same words and source on one day are one class, whose members are named by
-    the smallest id, so that copies don't multiply."""
-    day = F.floor(F.unix_seconds(F.col("start").cast("timestamp")) / int(hours * 3600)).cast("long")
-    e = events.withColumns({"key": correlation_key(F.col("kind"), F.col("title")), "w": F.array_sort(words(F.col("title"))), "day": day, "s": F.unix_seconds(F.col("start").cast("timestamp"))})
-    c = e.groupBy("key", "w", "source", "s", "day").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    a = c.select("key", F.explode(F.array("day", F.col("day") + 1)).alias("day"), F.col("id").alias("a"), F.col("w").alias("wa"), F.col("source").alias("sa"), F.col("s").alias("ta"), F.col("day").alias("da"), F.col("copies").alias("copies_a"))
-    b = c.select("key", "day", F.col("id").alias("b"), F.col("w").alias("wb"), F.col("source").alias("sb"), F.col("s").alias("tb"), F.col("copies").alias("copies_b"))
+    """(a, b, similarity, copies_a, copies_b): pairs of events of one correlation key less than the hours apart whose word similarity,
+    with 0.3 more for one source, exceeds the least (JOIN-10). events: id, kind, title, source, start.
+
+    Pairs are between classes of event_classes(), whose members are alike in all that is compared; a class of several members is
+    also a pair of its own (a = b). Each time is joined with its own range of hours and the next, so that a large key is cut by
+    time. Null sources and titles pair with nothing.
+    """
+    c = event_classes(events).groupBy("key", "w", "source", "s").agg(F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("day", F.floor(F.col("s") / int(hours * 3600)).cast("long"))
+    side = lambda x: [F.col("id").alias(x), F.col("w").alias(f"w{x}"), F.col("source").alias(f"s{x}"), F.col("s").alias(f"t{x}"), F.col("copies").alias(f"copies_{x}")]
+    a = c.select("key", F.explode(F.array("day", F.col("day") + 1)).alias("day"), F.col("day").alias("da"), *side("a"))
+    b = c.select("key", "day", *side("b"))
     alike = F.size(F.array_intersect("wa", "wb")) / F.greatest(F.size(F.array_union("wa", "wb")), F.lit(1)) + F.when(F.col("sa") == F.col("sb"), 0.3).otherwise(0.0)
+    itself = (F.col("a") == F.col("b")) & (F.col("da") == F.col("day")) & (F.col("copies_a") > 1)
     near = (F.abs(F.col("ta") - F.col("tb")) < hours * 3600) & ((F.col("da") < F.col("day")) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b"))
-    return a.join(b, ["key", "day"]).where(near).withColumn("similarity", alike).where(F.col("similarity") > least).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity", "copies_a", "copies_b")
+    return a.join(b, ["key", "day"]).where(near | itself).withColumn("similarity", alike).where(F.col("similarity") > least).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity", F.when(F.col("a") <= F.col("b"), F.col("copies_a")).otherwise(F.col("copies_b")).alias("copies_a"), F.when(F.col("a") <= F.col("b"), F.col("copies_b")).otherwise(F.col("copies_a")).alias("copies_b"))
 
 
 def duplicate_rate(df: DataFrame, keys: list[str], identity: Column) -> DataFrame:

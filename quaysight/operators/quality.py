@@ -37,7 +37,7 @@ def with_controls(df: DataFrame, checks: dict[str, Column], sources: list[str],
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))
     out = df.withColumn("failed_checks", failed)
     n, kept = F.count("*"), F.count_if(F.size("failed_checks") == 0)
-    lineage = out.agg(n.alias("rows_in"), kept.alias("rows_out"), F.bit_xor(F.xxhash64(*df.columns)).alias("data_hash"))
+    lineage = out.agg(n.alias("rows_in"), kept.alias("rows_out"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).cast("string").alias("data_hash"))
     whole = F.concat_ws("|", F.lit(",".join(sorted(sources))), F.lit(transformation), F.lit(version), F.col("rows_in").cast("string"), F.col("rows_out").cast("string"))
     lineage = lineage.withColumn("filtered", F.greatest(F.lit(0), F.col("rows_in") - F.col("rows_out"))).withColumn("integrity", F.sha2(whole, 256))
     return out, lineage

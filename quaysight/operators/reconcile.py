@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .anomaly import middles
+from .blocks import blocks
+
 
 def equal(a: Column, b: Column, absolute: float = 1e-6, relative: float = 1e-9) -> Column:
     """Numbers that agree within a tolerance; nulls equal nulls (REC-01)."""
@@ -72,15 +75,17 @@ def ranks(df: DataFrame, order: list[str], key: str, buckets: int = 64) -> DataF
 
 
 def intervals(stream: DataFrame, key: str, length: int = 200) -> DataFrame:
-    """Per arrival the statistics of the gaps so far: mean and sample deviation of the last 100, median of the last `length` positive
-    ones, and whether the stream is armed (FRE-01, FRE-05)."""
-    w = Window.partitionBy(key).orderBy("ts", "id")
+    """Per arrival the statistics of the gaps so far: mean and sample deviation of the last 100, median and robust deviation (jitter) of
+    the positive ones among the last `length`, and whether the stream is armed (FRE-01, FRE-05)."""
+    w = Window.partitionBy(key, "_block").orderBy("_n")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    s = stream.withColumn("gap_s", (us - F.lag(us).over(w)) / 1000000).withColumn("positive", F.when(F.col("gap_s") > 0, F.col("gap_s")))
+    s = blocks(stream, [key], "ts", ["ts", "id"], max(length, 100) + 1)
+    s = s.withColumn("gap_s", (us - F.lag(us).over(w)) / 1000000).withColumn("positive", F.when(F.col("gap_s") > 0, F.col("gap_s")))
     last, long = w.rowsBetween(-99, 0), w.rowsBetween(-(length - 1), 0)
-    s = s.withColumns({"seen": F.count("*").over(w.rowsBetween(Window.unboundedPreceding, 0)), "mean_gap": F.avg("gap_s").over(last), "sd_gap": F.stddev_samp("gap_s").over(last), "bar": F.percentile("positive", 0.5).over(long), "q1": F.percentile("positive", 0.25).over(long), "q3": F.percentile("positive", 0.75).over(long)})
+    s = s.withColumns({"mean_gap": F.avg("gap_s").over(last), "sd_gap": F.stddev_samp("gap_s").over(last)})
+    s = middles(s, "positive", long, "bar", "_mad").where("_own").withColumn("seen", F.col("_n"))
     steady = (F.col("seen") >= 3) & (F.col("sd_gap") / F.col("mean_gap") < 0.2)
-    return s.withColumn("jitter", 1.4826 * (F.col("q3") - F.col("q1")) / 2).withColumn("armed", (F.col("seen") >= 10) | F.coalesce(steady, F.lit(False))).drop("q1", "q3", "positive")
+    return s.withColumn("jitter", 1.4826 * F.col("_mad")).withColumn("armed", (F.col("seen") >= 10) | F.coalesce(steady, F.lit(False))).drop("_mad", "_n", "_block", "_own", "positive")
 
 
 def threshold(bar: Column, jitter: Column, expected_s: Column, armed: Column) -> Column:

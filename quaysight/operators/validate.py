@@ -139,6 +139,29 @@ def totals(df: DataFrame) -> DataFrame:
     return df.agg(n.alias("rows"), ok.alias("passed"), F.round(ok / n, 6).alias("pass_rate"))
 
 
+def did_you_mean(values: DataFrame, valid: DataFrame, least: float = 0.85, most: int = 3) -> DataFrame:
+    """(value, valid, similarity): for each value the `most` valid ones of a similarity of at least `least`, 1 - edits / longer length
+    (JOIN-13). values has value, valid has valid; equal ones aren't proposed.
+
+    Of a valid text that is cut into one piece more than edits are allowed, one piece stays whole within as many places: pieces are
+    joined, so that no pair in reach is lost and few others are compared. Empty and null texts have no proposals.
+    """
+    edits = lambda n: F.floor((1 - least) / least * n + 1e-9).cast("int")  # noqa: E731  a text of n characters and one of n / least at most
+    start = lambda n, i: F.floor(i * n / (edits(n) + 1)).cast("int")
+    piece = lambda text, n, i, at: F.struct(n.alias("n"), i.alias("i"), F.substring(text, at + 1, start(n, i + 1) - start(n, i)).alias("piece"))
+    right = valid.select("valid").where("length(valid) > 0").distinct().withColumn("n", F.length("valid"))
+    right = right.select("valid", F.explode(F.transform(F.sequence(F.lit(0), edits(F.col("n"))), lambda i: piece(F.col("valid"), F.col("n"), i, start(F.col("n"), i)))).alias("k"))
+    m = F.length("value")
+    around = lambda n, i: F.sequence(F.greatest(F.lit(0), start(n, i) - edits(n)), start(n, i) + edits(n))
+    of_length = lambda n: F.flatten(F.transform(F.sequence(F.lit(0), edits(n)), lambda i: F.transform(around(n, i), lambda at: piece(F.col("value"), n, i, at))))
+    lengths = F.sequence(F.ceil(m * least - 1e-9).cast("int"), F.floor(m / least + 1e-9).cast("int"))
+    left = values.select("value").where("length(value) > 0").distinct().select("value", F.explode(F.array_distinct(F.flatten(F.transform(lengths, of_length)))).alias("k"))
+    met = left.join(right, "k").where("value != valid").select("value", "valid").distinct()
+    met = met.withColumn("similarity", F.round(1 - F.levenshtein("value", "valid") / F.greatest(F.length("value"), F.length("valid")), 6)).where(F.col("similarity") >= least)
+    w = Window.partitionBy("value").orderBy(F.desc("similarity"), "valid")
+    return met.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).drop("k")
+
+
 def duplicates(df: DataFrame, keys: list[str], order: list[str], id_col: str) -> DataFrame:
     """Second and later rows of a key, with the first row's id; rows with a null key part are skipped (QLT-06)."""
     w = Window.partitionBy(*keys).orderBy(*order)

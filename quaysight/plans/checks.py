@@ -29,10 +29,11 @@ def query(sql: str | None = None):
 # --- projections
 
 
-@query("SELECT o_orderkey, CASE WHEN v < 1000000000000 THEN v * 1000000 WHEN v < 1000000000000000 THEN v * 1000 WHEN v < 1000000000000000000 THEN v ELSE v // 1000 END AS us FROM (SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) * CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 1000000 ELSE 1000000000 END AS v FROM orders WHERE o_orderdate >= TIMESTAMP '2002-01-01' OR o_orderkey % 4 < 2)")
+@query("SELECT o_orderkey, CASE WHEN v < 1000000000000 THEN v * 1000000 WHEN v < 1000000000000000 THEN v * 1000 WHEN v < 1000000000000000000 THEN v ELSE v // 1000 END AS us FROM (SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) * CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 1000000 ELSE 1000000000 END AS v FROM orders)")
 def prj_epoch_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PRJ-04: seconds to nanoseconds told apart by size."""
-    o = table(spark, sf_dir, "orders").where((F.col("o_orderdate") >= F.lit("2002-01-01").cast("timestamp_ntz")) | (F.col("o_orderkey") % 4 < 2))
+    """PRJ-04: seconds to nanoseconds told apart by size. Micro- and nanoseconds before September 2001 lie in the band of the unit above
+    theirs and are read as such."""
+    o = table(spark, sf_dir, "orders")
     unit = F.when(F.col("o_orderkey") % 4 == 0, F.lit(1).cast("bigint")).when(F.col("o_orderkey") % 4 == 1, F.lit(1000).cast("bigint")).when(F.col("o_orderkey") % 4 == 2, F.lit(1000000).cast("bigint")).otherwise(F.lit(1000000000).cast("bigint"))
     return o.select("o_orderkey", normalize.epoch_us(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) * unit).alias("us"))
 
@@ -163,16 +164,14 @@ def join_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(refs, lines["l_suppkey"] == refs["s_suppkey"], "left_anti").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice")
 
 
-@query("SELECT value, valid, similarity FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY similarity DESC, valid) AS k FROM (SELECT v.value, b.valid, round(1 - levenshtein(v.value, b.valid) / greatest(length(v.value), length(b.valid)), 6) AS similarity FROM (SELECT DISTINCT p_name AS value FROM part) v JOIN (SELECT DISTINCT p_name AS valid FROM part WHERE p_partkey % 2 = 0) b ON left(v.value, 2) = left(b.valid, 2)) WHERE similarity >= 0.5 AND value <> valid) WHERE k <= 3")
-def join_did_you_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOIN-13: the three most similar valid values that begin alike."""
-    from pyspark.sql import Window
+_TYPO = "CASE p_partkey % 4 WHEN 0 THEN 'x' || substr(p_name, 2) WHEN 1 THEN p_name || 's' WHEN 2 THEN substr(p_name, 1, 3) || substr(p_name, 5) ELSE substr(p_name, 2, 1) || substr(p_name, 1, 1) || substr(p_name, 3) END"
+
 
+@query(f"WITH v AS (SELECT DISTINCT {_TYPO} AS value FROM part), b AS (SELECT DISTINCT p_name AS valid FROM part), j AS (SELECT value, valid, round(1 - levenshtein(value, valid) / greatest(length(value), length(valid)), 6) AS similarity FROM v, b WHERE value <> valid) SELECT value, valid, similarity FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY similarity DESC, valid) AS k FROM j WHERE similarity >= 0.85) WHERE k <= 3")
+def join_did_you_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN-13: the three most similar valid names of misspelt ones."""
     part = table(spark, sf_dir, "part")
-    v, b = part.select(F.col("p_name").alias("value")).distinct(), part.where("p_partkey % 2 = 0").select(F.col("p_name").alias("valid")).distinct()
-    j = v.join(b, (F.substring("value", 1, 2) == F.substring("valid", 1, 2)) & (F.col("value") != F.col("valid")))
-    j = j.withColumn("similarity", F.round(1 - F.levenshtein("value", "valid") / F.greatest(F.length("value"), F.length("valid")), 6)).where("similarity >= 0.5")
-    return j.withColumn("k", F.row_number().over(Window.partitionBy("value").orderBy(F.desc("similarity"), "valid"))).where("k <= 3").drop("k")
+    return validate.did_you_mean(part.select(F.expr(_TYPO).alias("value")), part.select(F.col("p_name").alias("valid")))
 
 
 @query(f"WITH {VIEWS['trades']}, t AS (SELECT *, date_trunc('hour', ts) AS h FROM trades), f AS (SELECT symbol, h, venue, arg_min(price, {{'a': ts, 'b': trade_id}}) AS price FROM t GROUP BY 1, 2, 3) SELECT a.symbol, a.h AS hour, a.venue AS venue_a, b.venue AS venue_b, round(a.price - b.price, 6) + 0.0 AS difference FROM f a JOIN f b ON a.symbol = b.symbol AND a.h = b.h AND a.venue < b.venue")
@@ -232,7 +231,7 @@ def ano_discontinuities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(anomaly.discontinuities(_series(spark, sf_dir), ["k"], ["ts", "id"], 60, 0.5).select("id", "k", "gap_s", "jump"))
 
 
-@query(f"WITH {_S}, t AS (SELECT *, count(value) OVER o AS n, quantile_cont(value, 0.5) OVER n AS mn, quantile_cont(value, 0.5) OVER o AS mo, quantile_cont(value, 0.25) OVER o AS q1, quantile_cont(value, 0.75) OVER o AS q3 FROM s WINDOW n AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), o AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 99 PRECEDING AND 50 PRECEDING)) SELECT id, k, round(mn, 6) AS median_new, round(mo, 6) AS median_old, round(abs(mn - mo) / (1.4826 * (q3 - q1) / 2), 6) AS shift FROM t WHERE n = 50 AND abs(mn - mo) / (1.4826 * (q3 - q1) / 2) > 0.8")
+@query(f"WITH {_S}, t AS (SELECT *, count(value) OVER o AS n, quantile_cont(value, 0.5) OVER n AS mn, quantile_cont(value, 0.5) OVER o AS mo, mad(value) OVER o AS d FROM s WINDOW n AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), o AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 99 PRECEDING AND 50 PRECEDING)) SELECT id, k, round(mn, 6) AS median_new, round(mo, 6) AS median_old, round(abs(mn - mo) / (1.4826 * d), 6) AS shift FROM t WHERE n = 50 AND abs(mn - mo) / (1.4826 * d) > 0.8")
 def ano_level_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ANO-10 with halves of 50 values."""
     return rounded(anomaly.level_shifts(_series(spark, sf_dir), ["k"], ["ts", "id"], 50, 0.8).select("id", "k", "median_new", "median_old", "shift"))
@@ -347,7 +346,7 @@ def rec_order_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.order_differences(a, b, "k", "at")
 
 
-@query(f"WITH {_S}, g AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY k ORDER BY ts, id))) / 1000000 AS gap_s FROM s), p AS (SELECT *, CASE WHEN gap_s > 0 THEN gap_s END AS pos FROM g), w AS (SELECT *, avg(gap_s) OVER a AS mean_gap, stddev_samp(gap_s) OVER a AS sd_gap, quantile_cont(pos, 0.5) OVER b AS bar, quantile_cont(pos, 0.25) OVER b AS q1, quantile_cont(pos, 0.75) OVER b AS q3 FROM p WINDOW a AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), b AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)), x AS (SELECT *, 1.4826 * (q3 - q1) / 2 AS jitter, rn >= 10 OR coalesce(rn >= 3 AND sd_gap / mean_gap < 0.2, false) AS armed FROM w) SELECT id, k, armed, round(mean_gap, 2) AS mean_gap, round(bar, 2) AS bar, round(jitter, 2) AS jitter, round(CASE WHEN NOT armed THEN 2 * 600 ELSE coalesce(greatest(10, least(3600, 1.5 * bar + 2 * jitter)), greatest(10, least(3600, 1.5 * 600))) END, 2) AS threshold_s FROM x")
+@query(f"WITH {_S}, g AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY k ORDER BY ts, id))) / 1000000 AS gap_s FROM s), p AS (SELECT *, CASE WHEN gap_s > 0 THEN gap_s END AS pos FROM g), w AS (SELECT *, avg(gap_s) OVER a AS mean_gap, stddev_samp(gap_s) OVER a AS sd_gap, quantile_cont(pos, 0.5) OVER b AS bar, mad(pos) OVER b AS d FROM p WINDOW a AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), b AS (PARTITION BY k ORDER BY ts, id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)), x AS (SELECT *, 1.4826 * d AS jitter, rn >= 10 OR coalesce(rn >= 3 AND sd_gap / mean_gap < 0.2, false) AS armed FROM w) SELECT id, k, armed, round(mean_gap, 2) AS mean_gap, round(bar, 2) AS bar, round(jitter, 2) AS jitter, round(CASE WHEN NOT armed THEN 2 * 600 ELSE coalesce(greatest(10, least(3600, 1.5 * bar + 2 * jitter)), greatest(10, least(3600, 1.5 * 600))) END, 2) AS threshold_s FROM x")
 def fre_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FRE-01, FRE-02, FRE-05."""
     s = reconcile.intervals(_series(spark, sf_dir), "k").withColumn("threshold_s", reconcile.threshold(F.col("bar"), F.col("jitter"), F.lit(600.0), F.col("armed")))

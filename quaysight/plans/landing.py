@@ -44,10 +44,10 @@ def prj_parsed_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.parsed_trades(raw).select("trade_id", "ts_us", F.col("price").cast("double").alias("price"), "error")
 
 
-@query("SELECT event_id, event_type AS kind, round(value * 2, 6) AS amount, 'extra,k' AS unexpected FROM events")
+@query("SELECT event_id, event_type AS kind, round(value * 2, 6) AS amount, CASE WHEN event_id % 3 = 0 THEN 'k' WHEN event_id % 3 = 1 THEN 'extra,k' ELSE 'k,other' END AS unexpected FROM events")
 def prj_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-26, VAL-02."""
-    e = table(spark, sf_dir, "events").withColumn("line", F.concat(F.lit('{"extra": 1, "known": 2, '), F.substring("props", 2, 1000)))
+    e = table(spark, sf_dir, "events").withColumn("line", F.concat(F.when(F.col("event_id") % 3 == 0, '{"known": 2, ').when(F.col("event_id") % 3 == 1, '{"extra": 1, "known": 2, ').otherwise('{"known": 2, "other": 3, '), F.expr("substr(props, 2)")))
     out = landing.renamed(e, {"event_type": "kind", "value": "amount"}, {"amount": lambda c: F.round(c * 2, 6)})
     return out.select("event_id", "kind", "amount", F.array_join(landing.unexpected(F.col("line"), ["known"]), ",").alias("unexpected"))
 

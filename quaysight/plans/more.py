@@ -52,17 +52,20 @@ def val_leaky_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumn("props7", F.regexp_replace("props", "7", "click")).select("event_id", ahead.alias("future"), ev.foreign_mentions(["props7"], F.col("event_type"), ["click"]).alias("foreign_mention"))
 
 
+_TITLE = "event_type || ' user' || CAST(user_id % 97 AS VARCHAR(9)) || CASE WHEN event_id % 2 = 0 THEN ' even' ELSE ' oddly' END || ' zone' || CAST(floor(value) % 3 AS INT)"
+
+
 @query(
-    """WITH e AS (SELECT event_id AS id, event_type || ' user' || CAST(user_id % 3 AS VARCHAR) || CASE WHEN event_id % 2 = 0 THEN ' even' ELSE ' oddly' END AS title, event_type AS kind, 'u' || CAST(user_id % 2 AS VARCHAR) AS source, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events WHERE event_id % 4 = 0),
-w AS (SELECT *, list_sort(list_distinct(list_filter(string_split_regex(lower(title), '[^a-z0-9]+'), lambda x: length(x) > 3))) AS w FROM e), k AS (SELECT *, kind || ':' || array_to_string(w[1:3], '-') AS key FROM w), c AS (SELECT key, w, source, s, min(id) AS id FROM k GROUP BY 1, 2, 3, 4)
-SELECT a, b, round(sim, 6) AS similarity FROM (SELECT x.id AS a, y.id AS b, len(list_intersect(x.w, y.w)) / greatest(len(list_distinct(list_concat(x.w, y.w))), 1) + CASE WHEN x.source = y.source THEN 0.3 ELSE 0 END AS sim FROM c x JOIN c y ON x.key = y.key AND x.id < y.id AND abs(x.s - y.s) < 7200) WHERE sim > 0.7"""
+    f"""WITH e AS (SELECT event_id AS id, {_TITLE} AS title, event_type AS kind, 'u' || CAST(user_id % 2 AS VARCHAR) AS source, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events),
+w AS (SELECT *, list_sort(list_distinct(list_filter(string_split_regex(lower(title), '[^a-z0-9]+'), lambda x: length(x) > 3))) AS w FROM e), k AS (SELECT *, kind || ':' || array_to_string(w[1:3], '-') AS key FROM w), c AS (SELECT *, min(id) OVER (PARTITION BY key, w, source, s) AS class FROM k),
+p AS (SELECT x.id AS a, y.id AS b, x.class AS ca, y.class AS cb, len(list_intersect(x.w, y.w)) / greatest(len(list_distinct(list_concat(x.w, y.w))), 1) + CASE WHEN x.source = y.source THEN 0.3 ELSE 0 END AS sim FROM c x JOIN c y ON x.key = y.key AND x.id <> y.id AND abs(x.s - y.s) < 86400)
+SELECT 'pair' AS kind, least(ca, cb) AS a, greatest(ca, cb) AS b, round(max(sim), 6) AS similarity FROM p WHERE sim > 0.7 GROUP BY 2, 3 UNION ALL SELECT 'member', class, id, NULL FROM c"""
 )
 def join_related_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOIN-10 within two hours."""
-    e = table(spark, sf_dir, "events").where("event_id % 4 = 0")
-    title = F.concat(F.col("event_type"), F.lit(" user"), (F.col("user_id") % 3).cast("string"), F.when(F.col("event_id") % 2 == 0, " even").otherwise(" oddly"))
-    rows = e.select(F.col("event_id").alias("id"), title.alias("title"), F.col("event_type").alias("kind"), F.concat(F.lit("u"), (F.col("user_id") % 2).cast("string")).alias("source"), F.col("ts").alias("start"))
-    return rounded(ev.related(rows, 2).select("a", "b", "similarity"))
+    """JOIN-10 within a day: pairs of classes, and the events of each class. The SQL compares all events, without classes."""
+    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.expr(_TITLE.replace("VARCHAR(9)", "STRING")).alias("title"), F.col("event_type").alias("kind"), F.concat(F.lit("u"), (F.col("user_id") % 2).cast("string")).alias("source"), F.col("ts").alias("start"))
+    pairs = ev.related(e).select(F.lit("pair").alias("kind"), "a", "b", "similarity")
+    return rounded(pairs.unionByName(ev.event_classes(e).select(F.lit("member").alias("kind"), F.col("class_id").alias("a"), F.col("id").alias("b"), F.lit(None).cast("double").alias("similarity"))))
 
 
 @query(f"WITH {VIEWS['trades']}, d AS (SELECT venue, symbol || ':' || CAST(floor(price) AS BIGINT) AS h, count(*) AS n FROM trades GROUP BY 1, 2) SELECT venue, CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) - count(*) AS BIGINT) AS duplicates, round((sum(n) - count(*)) / sum(n), 6) AS rate FROM d GROUP BY 1")
@@ -111,11 +114,11 @@ def qlt_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.select("rows_in", "rows_out", "filtered", "integrity")
 
 
-@query(f"WITH {VIEWS['flows']} SELECT flow_id, CASE WHEN flow_id % 5 = 0 THEN 'transfer' WHEN flow_id % 7 = 0 THEN 'dex_swap' WHEN flow_id % 11 = 0 THEN 'bridge' WHEN flow_id % 13 = 0 THEN 'cex_hot_wallet' WHEN flow_id % 17 = 0 THEN 'lst' ELSE 'erc20_transfer' END AS class, CASE WHEN contains(event_type, 'swap') THEN 5 ELSE 5 END AS priority FROM flows")
+@query(f"WITH {VIEWS['flows']} SELECT flow_id, CASE WHEN flow_id % 5 = 0 THEN 'transfer' WHEN flow_id % 7 = 0 THEN 'dex_swap' WHEN flow_id % 11 = 0 THEN 'bridge' WHEN flow_id % 13 = 0 THEN 'cex_hot_wallet' WHEN flow_id % 17 = 0 THEN 'lst' ELSE 'erc20_transfer' END AS class, CASE flow_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 5 END AS priority FROM flows")
 def prj_flow_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-17, PRJ-18."""
     f, by = adapters.flows(spark, sf_dir), lambda n: F.col("flow_id") % n == 0
-    return f.select("flow_id", normalize.flow_class(F.when(by(5), "transfer"), by(7), by(11), by(13), by(17)).alias("class"), normalize.event_priority(F.col("event_type")).alias("priority"))
+    return f.select("flow_id", normalize.flow_class(F.when(by(5), "transfer"), by(7), by(11), by(13), by(17)).alias("class"), normalize.event_priority(F.element_at(F.array(*[F.lit(x) for x in ("security", "upgrade", "release", "other")]), (F.col("flow_id") % 4 + 1).cast("int"))).alias("priority"))
 
 
 @query("SELECT p_partkey, CASE WHEN ends_with(s, 'USD') AND regexp_replace(s, 'USD$', '') NOT IN ('USDT', 'USDC', 'BUSD', 'DAI', 'TUSD') THEN s || 'T' ELSE s END AS plain, replace('BTC-' || upper(split_part(p_name, ' ', 1)), '-', '') AS venue_form FROM (SELECT p_partkey, p_name, replace(upper(CASE WHEN p_partkey % 2 = 0 THEN 'xbt' ELSE 'eth' END || CASE WHEN p_partkey % 3 = 0 THEN 'usd' ELSE 'eur' END), 'XBT', 'BTC') AS s FROM part)")

@@ -140,23 +140,30 @@ def src_entity_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 0.0::DOUBLE AS fee, 'clean.exchange_trades' AS dataset FROM events")
 def src_typed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-01, SRC-10, SRC-15 to SRC-17: JSON payloads as typed rows with defaults, and where they go."""
-    e = table(spark, sf_dir, "events").withColumn("line", F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(","), F.substring("props", 2, 1000)))
+    e = table(spark, sf_dir, "events").withColumn("line", F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(","), F.expr("substr(props, 2)")))
     rows = io.json_rows(e.select("line"), "line", io.schema_of({"event_id": "int64", "k": "int64"}))
     out = io.with_defaults(rows, io.schema_of({"event_id": "int64", "k": "int64", "fee": "double"}), {"fee": 0.0})
     return out.withColumn("dataset", io.route(F.lit("raw_data.trades"))[1])
 
 
-@query()
+@query(
+    """WITH RECURSIVE h AS (SELECT unnest(generate_series((SELECT date_trunc('hour', min(ts)) FROM events), (SELECT date_trunc('hour', max(ts)) FROM events), INTERVAL 1 HOUR)) AS tick), t AS (SELECT tick, k FROM h, (SELECT DISTINCT event_type AS k FROM events)),
+j AS (SELECT t.k, epoch_us(t.tick) AS us, (epoch_us(t.tick) - epoch_us(e.ts)) / 1000000 AS age FROM t ASOF JOIN (SELECT DISTINCT event_type AS k, ts FROM events) e ON t.k = e.k AND t.tick >= e.ts), o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY us) AS n FROM j),
+s AS (SELECT k, n, us, (age > 1200)::INT AS stale, (age < 600)::INT AS fresh, false AS raised, NULL::VARCHAR AS change FROM o WHERE n = 1
+UNION ALL SELECT k, n, us, stale, fresh, CASE WHEN NOT raised AND stale >= 2 THEN true WHEN raised AND fresh >= 2 THEN false ELSE raised END, CASE WHEN NOT raised AND stale >= 2 THEN 'raised' WHEN raised AND fresh >= 2 THEN 'cleared' END
+ FROM (SELECT o.k, o.n, o.us, CASE WHEN age > 1200 THEN s.stale + 1 WHEN age < 600 THEN 0 ELSE s.stale END AS stale, CASE WHEN age > 1200 THEN 0 WHEN age < 600 THEN s.fresh + 1 ELSE s.fresh END AS fresh, s.raised FROM s JOIN o ON o.k = s.k AND o.n = s.n + 1))
+SELECT k AS key, us // 3600000000 AS id, us, change FROM s WHERE change IS NOT NULL"""
+)
 def str_freshness_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-07, FRE-06: hourly checks of each event type against a threshold of 20 minutes, with hysteresis."""
     from ..operators.asof import asof
 
     obs = table(spark, sf_dir, "events").select(F.col("event_type").alias("k"), F.col("ts").alias("tick"), F.col("event_id").alias("e"))
     edge = obs.agg(F.min("tick").alias("a"), F.max("tick").alias("b"))
-    hours = edge.select(F.explode(F.sequence(F.date_trunc("hour", "a"), F.date_trunc("hour", "b"), F.expr("INTERVAL 1 HOUR"))).cast("timestamp_ntz").alias("tick"))
+    hours = edge.select(F.explode(F.sequence(F.date_trunc("hour", "a"), F.date_trunc("hour", "b"), F.expr("INTERVAL 1 HOUR"))).alias("tick")).select(F.col("tick").cast("timestamp_ntz").alias("tick"))
     j = asof(hours.join(obs.select("k").distinct()), obs, "tick", ["k"], ["e"]).where("matched_ts is not null")
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     path = io.scratch(spark, "ticks")
-    j.select("k", us("tick").alias("us"), (us("tick") / 3600000000).cast("long").alias("id"), ((us("tick") - us("matched_ts")) / 1000000).alias("age_s"), F.lit(1200.0).alias("limit_s")).write.parquet(path)
+    j.select("k", us("tick").alias("us"), F.call_function("div", us("tick"), F.lit(3600000000)).alias("id"), ((us("tick") - us("matched_ts")) / 1000000).alias("age_s"), F.lit(1200.0).alias("limit_s")).write.parquet(path)
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    return rounded(st.drained(st.hysteresis(stream, "k")))
+    return st.drained(st.hysteresis(stream, "k"))

@@ -22,11 +22,16 @@ def file_stream(spark: SparkSession, path: str, time_col: str, most_files: int =
 
 
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Everything that the query gives for the input that there is now, through the idempotent sink."""
+    """Everything that the query gives for the input that there is now, through the idempotent sink; no rows if there is no input. In
+    complete mode, what the last micro-batch gave."""
     spark = stream.sparkSession
     path, schema = scratch(spark, "stream"), stream.schema
-    sink = idempotent_sink(path)
-    q = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", scratch(spark, "progress")).trigger(availableNow=True).start()
+    spark.createDataFrame([], schema).write.parquet(f"{path}/batch=none")
+
+    def whole(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch=last")
+
+    q = stream.writeStream.outputMode(mode).foreachBatch(whole if mode == "complete" else idempotent_sink(path)).option("checkpointLocation", scratch(spark, "progress")).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 

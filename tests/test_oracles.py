@@ -49,3 +49,8 @@ def test_matches_sql(spark, sf_dir, duck, name):
 
 def test_all_named_alike():
     assert set(plans.oracle_sql()) <= set(plans.queries())
+
+
+@pytest.mark.parametrize("name", sorted(set(plans.queries()) - set(plans.oracle_sql())))
+def test_runs_without_sql(spark, sf_dir, name):
+    plans.queries()[name](spark, sf_dir).collect()
