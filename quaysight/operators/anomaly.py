@@ -19,20 +19,22 @@ def unpivoted(df: DataFrame, ids: list[str], fields: list[str], table: str) -> D
 
 
 def statistics(series: DataFrame, keys: list[str], order: list[str], robust: bool = False) -> DataFrame:
-    """series with n, mean, sd (of the sample), low and high, and the median if asked for (ANO-01, ANO-02)."""
-    whole = Window.partitionBy(*keys)
-    so_far = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    w = whole.orderBy(*order).rowsBetween(-(LENGTH - 1), 0)
+    """series with n, mean, sd (of the sample), low and high, and the median if asked for, of the last LENGTH rows (ANO-01, ANO-02).
+    Rows without a key give none. Keys are cut into blocks."""
+    whole = Window.partitionBy(*keys, "_block")
+    so_far = whole.orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    w = whole.orderBy("_n").rowsBetween(-(LENGTH - 1), 0)
     # Differences of running sums of the centred values: a row costs the same for any length of the frame.
-    out = series.withColumn("_centre", F.avg("value").over(whole)).withColumn("_c", F.col("value") - F.col("_centre"))
-    out = out.withColumns({"_n": F.count("_c").over(so_far), "_s": F.coalesce(F.sum("_c").over(so_far), F.lit(0.0)), "_q": F.coalesce(F.sum(F.col("_c") * F.col("_c")).over(so_far), F.lit(0.0))})
-    since = lambda c, zero: F.col(c) - F.lag(c, LENGTH, zero).over(whole.orderBy(*order))
-    out = out.withColumns({"n": since("_n", 0), "_ds": since("_s", 0.0), "_dq": since("_q", 0.0)})
+    out = blocks(series, keys, order[0], order, LENGTH).withColumn("_centre", F.avg("value").over(whole)).withColumn("_c", F.col("value") - F.col("_centre"))
+    out = out.withColumns({"_k": F.count("_c").over(so_far), "_s": F.coalesce(F.sum("_c").over(so_far), F.lit(0.0)), "_q": F.coalesce(F.sum(F.col("_c") * F.col("_c")).over(so_far), F.lit(0.0))})
+    since = lambda c, zero: F.col(c) - F.lag(c, LENGTH, zero).over(whole.orderBy("_n"))
+    out = out.withColumns({"n": since("_k", 0), "_ds": since("_s", 0.0), "_dq": since("_q", 0.0), "low": F.min("value").over(w), "high": F.max("value").over(w)})
     n = F.col("n")
     mean = F.col("_ds") / F.when(n > 0, n)
     sd = F.when(n > 1, F.sqrt(F.greatest((F.col("_dq") - n * mean * mean) / (n - 1), F.lit(0.0))))
-    out = out.withColumns({"mean": F.when(n > 0, F.col("_centre") + mean), "sd": sd, "low": F.min("value").over(w), "high": F.max("value").over(w)}).drop("_centre", "_c", "_n", "_s", "_q", "_ds", "_dq")
-    return out.withColumn("median", F.percentile("value", 0.5).over(w)) if robust else out
+    out = out.withColumns({"mean": F.when(n > 0, F.col("_centre") + mean), "sd": sd})
+    out = out.withColumn("median", F.percentile("value", 0.5).over(w)) if robust else out
+    return out.where("_own").drop("_centre", "_c", "_k", "_s", "_q", "_ds", "_dq", "_n", "_block", "_own")
 
 
 def middle(a: Column) -> Column:
@@ -127,19 +129,21 @@ def adaptive(series: DataFrame, keys: list[str], order: list[str], base: float =
         from collections import deque
         from math import sqrt
 
-        key, values, hits = None, deque(maxlen=length), deque(maxlen=recent)
+        key, values, hits, total, squares = None, deque(maxlen=length), deque(maxlen=recent), 0.0, 0.0
         for batch in batches:
             out = []
             for *k, i, _, v in zip(*(c.to_pylist() for c in batch.columns)):
                 if k != key:
-                    key, values, hits = k, deque(maxlen=length), deque(maxlen=recent)
+                    key, values, hits, total, squares = k, deque(maxlen=length), deque(maxlen=recent), 0.0, 0.0
                 if v is None:
                     continue
+                gone = values[0] if len(values) == length else 0.0
                 values.append(v)
+                total, squares = total + v - gone, squares + v * v - gone * gone
                 breach = False
                 if len(values) == length:
-                    mean = sum(values) / length
-                    sd = sqrt(sum((x - mean) ** 2 for x in values) / (length - 1))
+                    mean = total / length
+                    sd = sqrt(max((squares - length * mean * mean) / (length - 1), 0.0))
                     cv = min(sd / abs(mean), 1) if mean else 1.0
                     limit = base * (1 + sensitivity * cv) * (1 + sensitivity * min(sum(hits) / recent, 0.5))
                     breach = sd > 0 and abs(v - mean) / sd > limit

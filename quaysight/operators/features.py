@@ -1,6 +1,6 @@
 """Rolling features of bars (WIN-01 to WIN-12) and momentum (WIN-13 to WIN-20).
 
-Each feature is a Column over one window per key, so that all of them take one shuffle and one sort. A feature whose inputs don't
+Each feature is a Column over one window per block of a key, so that all of them take one shuffle and one sort. A feature whose inputs don't
 reach is 0. n returns need n + 1 bars.
 """
 
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import blocks
+
 YEAR_MINUTES = 525600
 
 
@@ -19,12 +21,13 @@ def finite(x: Column, default: float = 0.0) -> Column:
 def foundation(bars: DataFrame, key: str = "symbol", as_of: Column | None = None) -> DataFrame:
     """Returns, volatility, ratios, moments and flow features per bar; bars with fewer than 5 bars so far give no row.
 
-    bars: key, bar_start, high, low, close, volume, bid, ask, bid_volume, ask_volume.
+    bars: key, bar_start, high, low, close, volume, bid, ask, bid_volume, ask_volume. Rows without a key give none. Frames reach 61
+    bars back, so that long series are cut into blocks.
     """
-    w = Window.partitionBy(key).orderBy("bar_start")
+    w = Window.partitionBy(key, "_block").orderBy("_n")
     last = lambda n, skip=0: w.rowsBetween(-(n - 1) - skip, -skip)
     prev = F.lag("close").over(w)
-    b = bars.withColumn("bars", F.row_number().over(w)).withColumn("r", F.when(prev > 0, F.col("close") / prev - 1))
+    b = blocks(bars, [key], "bar_start", ["bar_start"], 61, 2048).withColumn("bars", F.col("_n").cast("int")).withColumn("r", F.when(prev > 0, F.col("close") / prev - 1))
     r, n, close, volume = F.col("r"), F.col("bars"), F.col("close"), F.col("volume")
     typical, traded = (F.col("high") + F.col("low") + close) / 3, F.when(volume > 0, volume)
     # Every window function is a column of its own first, so that none is planned twice.
@@ -35,7 +38,7 @@ def foundation(bars: DataFrame, key: str = "symbol", as_of: Column | None = None
     of = lambda name: F.col(f"_{name}")
     year = float(YEAR_MINUTES) ** 0.5
     ratio = lambda x, by: F.when(F.abs(by) > 1e-8, x / by).otherwise(0.0)
-    b = b.withColumns({f"return_{k}": F.when(of(f"past_{k}") != 0, (close / of(f"past_{k}") - 1) * 100).otherwise(0.0) for k in (1, 5, 15, 60)} | {f"volatility_{k}": F.when(n > k, finite(of(f"sd_{k}") * year)).otherwise(0.0) for k in (5, 15, 60)} | {"_vwap": of("pv") / of("v20")})
+    b = b.where("_own and bars >= 5").withColumns({f"return_{k}": F.when(of(f"past_{k}") != 0, (close / of(f"past_{k}") - 1) * 100).otherwise(0.0) for k in (1, 5, 15, 60)} | {f"volatility_{k}": F.when(n > k, finite(of(f"sd_{k}") * year)).otherwise(0.0) for k in (5, 15, 60)} | {"_vwap": of("pv") / of("v20")})
     mid, both = (F.col("bid") + F.col("ask")) / 2, F.col("bid_volume") + F.col("ask_volume")
     out = {name: F.col(name) for name in (*(f"return_{k}" for k in (1, 5, 15, 60)), *(f"volatility_{k}" for k in (5, 15, 60)))}
     out |= {f"sharpe_{k}": ratio(F.col(f"return_{k}"), F.col(f"volatility_{k}")) for k in (5, 15, 60)}
@@ -54,15 +57,15 @@ def foundation(bars: DataFrame, key: str = "symbol", as_of: Column | None = None
     cols = [c.alias(name) for name, c in out.items()]
     if as_of is not None:
         cols.append((F.unix_millis(as_of.cast("timestamp")) - F.unix_millis(F.col("bar_start").cast("timestamp"))).alias("data_age_ms"))
-    return b.select(key, "bar_start", "bars", *cols).where("bars >= 5")
+    return b.select(key, "bar_start", "bars", *cols)
 
 
 def momentum(bars: DataFrame, key: str = "symbol", history: int = 168) -> DataFrame:
     """Horizon momentum, trend, strength, acceleration, volume confirmation and divergences of hourly bars; rows from `history` bars
     on. bars: key, bar_start, close, volume."""
-    w = Window.partitionBy(key).orderBy("bar_start")
+    w = Window.partitionBy(key, "_block").orderBy("_n")
     last = lambda n, skip=0: w.rowsBetween(-(n - 1) - skip, -skip)
-    b = bars.withColumn("bars", F.row_number().over(w))
+    b = blocks(bars, [key], "bar_start", ["bar_start"], max(history, 168) + 1, 2048).withColumn("bars", F.col("_n").cast("int"))
     close, n = F.col("close"), F.col("bars")
     past = lambda k: F.lag("close", k).over(w)
     horizon = lambda k: F.when(past(k) > 0, (close / past(k) - 1) * 100).otherwise(0.0)
@@ -89,4 +92,4 @@ def momentum(bars: DataFrame, key: str = "symbol", history: int = 168) -> DataFr
         "horizon_divergence": F.when(F.abs(long) < 0.1, 0.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("momentum_1h") - long) / F.abs(long)))),
     })
     confidence = F.least(n / history, F.lit(1.0)) * (F.col("trend_confidence") + F.col("strength") + F.col("volume_confirmation")) / 3
-    return b.withColumn("confidence", confidence).where(n >= history).drop(*[c for c in bars.columns if c not in (key, "bar_start")])
+    return b.where((n >= history) & F.col("_own")).withColumn("confidence", confidence).drop("_n", "_block", "_own", *[c for c in bars.columns if c not in (key, "bar_start")])
