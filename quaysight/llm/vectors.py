@@ -1,7 +1,7 @@
 """Embedding near-duplicates by a forest of random-projection trees.
 
-Each tree splits the vectors at the median of a random projection, again and again; vectors near a split go down both sides (spill).
-Only vectors of one label that share a leaf of some tree are compared, in blocks inside tasks, by cosine in double precision. A pair
+Each tree splits the vectors at the median of a random projection, again and again, into small leaves; vectors near a split go down
+both sides (spill). Only vectors of one label that share a leaf of some tree are compared, in blocks inside tasks, by cosine in double precision. A pair
 that shares several leaves counts in the smallest one. Links are unioned into components.
 """
 
@@ -19,29 +19,43 @@ from .common import components, forest, written
 BLOCK = 768
 
 
-class Tree:
-    """directions, low and high bounds of the overlap, by node in heap order; leaves are the nodes of the last level."""
-
-    def __init__(self, sample: np.ndarray, depth: int, spill: float, seed: int):
-        rng = np.random.default_rng(seed)
-        self.depth = depth
-        self.directions = rng.standard_normal((2**depth - 1, sample.shape[1])).astype(np.float32)
-        self.low, self.high = np.zeros(2**depth - 1, np.float32), np.zeros(2**depth - 1, np.float32)
-        todo = {0: np.arange(len(sample))}
-        for node in range(2**depth - 1):
-            rows = todo.pop(node)
-            p = sample[rows] @ self.directions[node] if len(rows) else np.zeros(1, np.float32)
-            self.low[node], self.high[node] = np.quantile(p, [0.5 - spill, 0.5 + spill])
-            todo[2 * node + 1], todo[2 * node + 2] = (rows[p <= np.median(p)], rows[p > np.median(p)]) if len(rows) else (rows, rows)
+class Forest:
+    """Trees over n vectors, of leaves of about `leaf` vectors at every n. A tree has a random direction per level. The thresholds of the
+    upper levels are fitted node by node on the sample, until a node has 16 of its vectors; further down a node takes those of the
+    vectors of its fitted ancestor, on the level's direction."""
+
+    def __init__(self, sample: np.ndarray, n: float, trees: int, leaf: int, spill: float):
+        self.depth = max(0, math.ceil(math.log(max(n, 1) / leaf) / math.log(2 / (1 + 2 * spill))))
+        self.fitted = min(self.depth, max(0, math.floor(math.log2(max(len(sample), 16) / 16))))
+        self.trees = [self._fit(sample, spill, np.random.default_rng(seed)) for seed in range(trees)]
+
+    def _fit(self, sample: np.ndarray, spill: float, rng: np.random.Generator) -> tuple[np.ndarray, list[np.ndarray]]:
+        directions = rng.standard_normal((self.depth, sample.shape[1])).astype(np.float32)
+        p, node, bounds = sample @ directions.T, np.zeros(len(sample), np.int64), []
+        for level in range(self.depth):
+            size = 2 ** min(level, self.fitted)
+            found = np.zeros((size, 3), np.float32)
+            order = np.argsort(node, kind="stable")
+            for k, rows in enumerate(np.split(order, np.searchsorted(node[order], np.arange(1, size)))):
+                if len(rows):
+                    found[k] = np.quantile(p[rows, level], [0.5 - spill, 0.5, 0.5 + spill])
+            bounds.append(found)
+            if level < self.fitted:
+                node = 2 * node + (p[:, level] > found[node, 1])
+        return directions, bounds
 
     def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) of each vector and each leaf it belongs to."""
-        rows, nodes = np.arange(len(x)), np.zeros(len(x), np.int64)
-        for _ in range(self.depth):
-            p = np.einsum("ij,ij->i", x[rows], self.directions[nodes])
-            left, right = p <= self.high[nodes], p >= self.low[nodes]
-            rows, nodes = np.concatenate([rows[left], rows[right]]), np.concatenate([2 * nodes[left] + 1, 2 * nodes[right] + 2])
-        return rows, nodes - (2**self.depth - 1)
+        """(row, leaf) of each vector and each leaf it belongs to, of all trees. A vector near a split goes down both sides."""
+        out = []
+        for t, (directions, bounds) in enumerate(self.trees):
+            p, rows, nodes = x @ directions.T, np.arange(len(x)), np.zeros(len(x), np.int64)
+            for level in range(self.depth):
+                low, _, high = bounds[level][nodes >> max(0, level - self.fitted)].T
+                at = p[rows, level]
+                left, right = at <= high, at >= low
+                rows, nodes = np.concatenate([rows[left], rows[right]]), np.concatenate([2 * nodes[left], 2 * nodes[right] + 1])
+            out.append((rows, nodes | t << 48))
+        return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def padded(column: pa.Array, width: int) -> np.ndarray:
@@ -53,67 +67,66 @@ def padded(column: pa.Array, width: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def compare(cell: dict, width: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, links to other vectors that count here, smallest member reached) of the members of a cell."""
-    order = np.argsort(cell["id"])
-    ids, mult, block = (np.array(cell[k], np.int64)[order] for k in ("id", "mult", "bl"))
-    x = np.zeros((len(ids), width))
-    for row, i in enumerate(order):
-        x[row, : len(cell["vec"][i])] = cell["vec"][i]
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    deepest = max(map(len, cell["leaves"]))
-    leaves = np.full((len(ids), deepest), np.iinfo(np.int64).max)
-    for row, i in enumerate(order):
-        leaves[row, : len(cell["leaves"][i])] = sorted(cell["leaves"][i])
+def compare(leaf: int, whole: bool, ids: np.ndarray, block: np.ndarray, mult: np.ndarray, vec: pa.ListArray, leaves: pa.ListArray, width: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, links to other vectors that count here, smallest member reached) of the members of a cell: one block (whole) or two."""
+    order = np.argsort(ids)
+    ids, block, mult = ids[order], block[order], mult[order]
+    x = padded(vec.take(pa.array(order)), width)
     linked = x @ x.T >= least
     np.fill_diagonal(linked, False)
-    counted = linked & (block[:, None] != block[None, :]) if cell["i"] != cell["j"] else linked
+    counted = linked if whole else linked & (block[:, None] != block[None, :])
     a, b = np.nonzero(np.triu(counted))
     links = np.zeros(len(ids), np.int64)
-    for lo in range(0, len(a), 100_000):
-        p, q = a[lo : lo + 100_000], b[lo : lo + 100_000]
-        first = np.full(len(p), -1)
-        for s in range(deepest):  # the smallest leaf that both have
-            open_ = np.flatnonzero(first < 0)
-            if not len(open_):
-                break
-            value = leaves[p[open_], s]
-            same = (leaves[q[open_]] == value[:, None]).any(axis=1) & (value != np.iinfo(np.int64).max)
-            first[open_[same]] = value[same]
-        own = first == cell["leaf"]
-        np.add.at(links, p[own], mult[q[own]])
-        np.add.at(links, q[own], mult[p[own]])
+    if len(a):
+        sizes = leaves.value_lengths().to_numpy()
+        every = np.full((len(ids), int(sizes.max())), np.iinfo(np.int64).max)
+        every[np.arange(every.shape[1])[None, :] < sizes[:, None]] = leaves.flatten().to_numpy()
+        every = np.sort(every, axis=1)[order]
+        for lo in range(0, len(a), 100_000):
+            p, q = a[lo : lo + 100_000], b[lo : lo + 100_000]
+            first = np.full(len(p), -1)
+            for s in range(every.shape[1]):  # the smallest leaf that both have
+                open_ = np.flatnonzero(first < 0)
+                if not len(open_):
+                    break
+                value = every[p[open_], s]
+                same = (every[q[open_]] == value[:, None]).any(axis=1) & (value != np.iinfo(np.int64).max)
+                first[open_[same]] = value[same]
+            own = first == leaf
+            np.add.at(links, p[own], mult[q[own]])
+            np.add.at(links, q[own], mult[p[own]])
     return ids, links, ids[forest(linked)]
 
 
-def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", least: float = 0.93, trees: int = 10, spill: float = 0.08, leaf: int = 2000, sample: int = 20_000) -> DataFrame:
+def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", least: float = 0.93, trees: int = 4, spill: float = 0.06, leaf: int = 64, sample: int = 20_000) -> DataFrame:
     """(id_col, n_links, component_id, kept) of each vector.
 
     The trees are fitted on about `sample` vectors at most; every vector is indexed. Trees are so deep that a leaf has about
-    `leaf` vectors, and no deeper than leaves 8 vectors of the sample in one. Equal vectors of a label are one vector with its
-    number of copies. Vectors whose label is null, and null, empty or zero ones or ones with null or non-finite components, link
-    with nothing; so do vectors of different lengths. Each row counts as a vector, of repeated ids too.
+    `leaf` vectors of a label at every size of the table. Equal vectors of a label are one vector with its number of copies. Vectors whose
+    label is null, and null, empty or zero ones or ones with null or non-finite components, link with nothing; so do vectors of
+    different lengths. Each row counts as a vector, of repeated ids too. An empty table gives an empty one; other columns of the
+    table, whatever their names, are not read.
     """
     finite = F.forall(vec_col, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     fit_for = F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & finite & F.exists(vec_col, lambda v: v != 0)
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), F.col(label_col).alias("label"), F.coalesce(fit_for, F.lit(False)).alias("ok"))
     alike = written(rows.where("ok").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("mult")), "vectors")
-    found = alike.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("width")).first()
-    n, width = found["n"], found["width"] or 1
+    by_label = alike.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("width"))
+    found = by_label.agg(F.sum("n").alias("n"), F.max("width").alias("width"), F.sum(F.pow("n", F.lit(2)) / 1.0).alias("squares")).first()
+    n, width = found["n"] or 0, found["width"] or 1
+    rivals = (found["squares"] or 0) / max(n, 1)  # how many vectors have a vector's label, on the average
     share = min(1.0, sample / max(n, 1))
     chosen = alike.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int(share * (1 << 20))).select("vec").limit(2 * sample).toArrow()["vec"].combine_chunks()
     x = padded(chosen, width).astype(np.float32) if len(chosen) else np.zeros((0, width), np.float32)
-    depth = max(0, min(math.ceil(math.log2(max(n, 1) / leaf)), math.floor(math.log2(max(len(x), 8) / 8))))
-    shared = table.sparkSession.sparkContext.broadcast([Tree(x, depth, spill, seed) for seed in range(trees)])  # of the size of the bounded sample
+    shared = table.sparkSession.sparkContext.broadcast(Forest(x, rivals, trees, leaf, spill))  # of the size of the bounded sample
 
     def route(batches):
         for batch in batches:
             v = padded(batch.column(2), width).astype(np.float32)
-            lists: list[list[int]] = [[] for _ in range(len(v))]
-            for t, tree in enumerate(shared.value):
-                for row, node in zip(*(a.tolist() for a in tree.leaves(v))):
-                    lists[row].append(t << 32 | node)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int64()))], names=["label", "id", "vec", "mult", "leaves"])
+            rows, nodes = shared.value.leaves(v)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(v)))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(nodes[np.argsort(rows, kind="stable")]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["label", "id", "vec", "mult", "leaves"])
 
     label, vec = (alike.schema[c].dataType.simpleString() for c in ("label", "vec"))
     routed = alike.select("label", F.col("rep").alias("id"), "vec", "mult").mapInArrow(route, f"label {label}, id long, vec {vec}, mult long, leaves array<long>")
@@ -126,7 +139,9 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     def links(batches):
         for batch in batches:
             for cell in range(batch.num_rows):
-                ids, n_links, low = compare({name: batch.column(k)[cell].as_py() for k, name in enumerate(batch.schema.names)}, width, least)
+                leaf_, i, j = (batch.column(k)[cell].as_py() for k in range(3))
+                ids, block, vec, mult, leaves = (batch.column(k)[cell].values for k in range(3, 8))
+                ids, n_links, low = compare(leaf_, i == j, ids.to_numpy(), block.to_numpy(), mult.to_numpy(), vec, leaves, width, least)
                 hit = (n_links > 0) | (ids != low)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(n_links[hit]), pa.array(low[hit])], names=["id", "n", "low"])
 
