@@ -44,6 +44,9 @@ OPEN = {"mit", "apache-2.0", "apache-2", "isc", "bsd", "bsd-2-clause", "bsd-3-cl
 RANK = {"or": 1, "and": 2, "with": 3}
 TAG = "spdx-license-identifier:"
 _LINE_END = re.compile(r"[\r\n]")
+#: What tells an identifier from a word of prose: a digit, a hyphen, or the name of a licence family.
+_SHAPED = re.compile(r"[0-9-]|^(?:mit|isc|zlib|unlicense|wtfpl|beerware|bsd|gpl|lgpl|agpl|apache|python|ruby|perl|curl|ncsa|vim|x11|openssl|artistic|icu|ntp|tcl|json)$")
+_EXCEPTION = re.compile(r"\bwith\s+([a-z0-9.+-]+)")
 _TOKEN = re.compile(r"\(|\)|[a-z0-9.+-]+")
 
 
@@ -71,7 +74,7 @@ def evaluate(expression: str) -> tuple[set[str], bool] | None:
         values.append((a, a_open) if op == "with" else (a | b, a_open or b_open if op == "or" else a_open and b_open))
         return True
 
-    operand = True
+    operand, trailing = True, False
     for token in (m[0] for m in _TOKEN.finditer(expression.lower())):
         if operand and token == "(":
             stack.append(token)
@@ -90,7 +93,10 @@ def evaluate(expression: str) -> tuple[set[str], bool] | None:
                     return None
             stack.pop()
         else:
+            trailing = True
             break
+    if trailing and len(values) == 1 and not stack and not any(_SHAPED.search(name) for name in values[0][0]):
+        return None  # a sentence that begins with a word
     if operand and stack and stack[-1] in RANK:
         stack.pop()
     while stack:
@@ -130,24 +136,25 @@ def find(text: bytes) -> tuple[int, list[tuple[int, int, str, bool]], list[tuple
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_words, matches array<struct<first long, last long, label string, base boolean>> in order of their ends, and
-    expressions array<struct<text string, licenses array<string>, open boolean>>.
+    expressions array<struct<text string, licenses array<string>, exceptions array<string>, open boolean>>.
 
-    Null and empty texts have no words. Columns of docs are kept, save those of the added names.
+    Null and empty texts have no words. Columns of docs are kept, save those of the added names. A long text is scanned whole in one
+    task; rows are independent, so that repeated ones give equal results and an empty table an empty one.
     """
     added = ["n_words", "matches", "expressions"]
     kept = [c for c in docs.columns if c not in added]
     match = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("label", pa.string()), ("base", pa.bool_())]))
-    expression = pa.list_(pa.struct([("text", pa.string()), ("licenses", pa.list_(pa.string())), ("open", pa.bool_())]))
+    expression = pa.list_(pa.struct([("text", pa.string()), ("licenses", pa.list_(pa.string())), ("exceptions", pa.list_(pa.string())), ("open", pa.bool_())]))
 
     def run(batches):
         for batch in slices(batches, 0):
             rows = [find(t) for t in texts(batch, 0)]
             found = [[dict(zip(("first", "last", "label", "base"), m)) for m in r[1]] for r in rows]
-            terms = [[{"text": t, "licenses": sorted(names), "open": is_open} for t, names, is_open in r[2]] for r in rows]
+            terms = [[{"text": t, "licenses": sorted(names), "exceptions": _EXCEPTION.findall(t), "open": is_open} for t, names, is_open in r[2]] for r in rows]
             out = [*batch.columns[1:], pa.array([r[0] for r in rows], pa.int64()), pa.array(found, match), pa.array(terms, expression)]
             yield pa.RecordBatch.from_arrays(out, names=[f"k{i}" for i in range(len(kept))] + added)
 
     fields = [f"k{i} {docs.schema[k].dataType.simpleString()}" for i, k in enumerate(kept)]
-    schema = ", ".join([*fields, "n_words long, matches array<struct<first long, last long, label string, base boolean>>, expressions array<struct<text string, licenses array<string>, open boolean>>"])
+    schema = ", ".join([*fields, "n_words long, matches array<struct<first long, last long, label string, base boolean>>, expressions array<struct<text string, licenses array<string>, exceptions array<string>, open boolean>>"])
     out = docs.select(F.col(text_col).alias("source"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(kept)]).mapInArrow(run, schema)
     return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(kept)], *added)

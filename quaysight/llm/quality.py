@@ -151,7 +151,9 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, mos
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = 20_000) -> Additive:
-    """Fits the model on a bounded sample of the labelled documents: about `most` rows, of which the features come to the driver."""
+    """Fits the model on a bounded sample of the labelled documents: about `most` rows, of which the features come to the driver.
+    Repeated labels or documents count as often as they stand; null labels and ids don't. Without both labels every score is the base
+    rate."""
 
     def run(batches):
         for batch in slices(batches):
@@ -165,7 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Additive, text_col: str = "text") -> DataFrame:
-    """docs with the column score; null counts as empty. Columns of docs are kept, save one named score."""
+    """docs with the column score; null counts as empty. Columns of docs are kept, save one named score. A long text is scored whole in
+    one task; rows are independent, so that repeated ones score alike and an empty table gives an empty one."""
     kept = [c for c in docs.columns if c != "score"]
 
     def run(batches):

@@ -9,7 +9,10 @@ random string nearly as many as it has. Candidates whose marginal bytes per char
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -33,6 +36,20 @@ IDENTIFIERS = (
     "information localhost password_hash placeholder production public_key redirect_uri requirements response_type secret_manager secretsmanager "
     "session_token signature_version test_password tokenizer tokenization undefined username validate_token xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"
 )
+# Words that identifiers are made of; the dictionary has them as they stand in camel case and in snake case.
+WORDS = (
+    "access account action address admin application array async attribute authentication authorization backend base binary body buffer build button cache "
+    "call callback certificate change channel check client cloud code collection column command commit component config configuration connection container "
+    "content context control controller cookie counter create credential current custom data database date debug decode default delete description device "
+    "directory dispatcher document domain driver dynamic element email encode endpoint engine entity entry environment error event example execute export "
+    "external factory feature fetch field file filter find format frame function generate get global group handle handler hash header helper history host "
+    "image implementation import index info input insert instance integer interface internal item iterator job key label language layer library limit line "
+    "link list listener load local login manager map message method mode model module name network node number object option order output page parameter "
+    "parser path payload pool process property provider proxy query queue random read record reference register request resource response result route rule "
+    "schema script section select send server service session set signature source start state status storage store stream string system table target task "
+    "template test text thread time type update upload user validate value variable version view window worker write"
+).split()
+_PRIMER = (" ".join(w.title() for w in WORDS).replace(" ", "") + "_".join(WORDS)).encode()
 _HEX_TO_H = bytes(104 if 48 <= c <= 57 or 97 <= c <= 102 else 32 for c in range(256))
 _RUN = re.compile(rb"[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
 _PART = re.compile(rb"[A-Za-z0-9+/_=-]+")
@@ -43,7 +60,7 @@ _NOTHING = len(zstandard.ZstdCompressor(level=19, write_content_size=False, writ
 
 def marginal_bytes(candidate: bytes, around: bytes) -> int:
     """Bytes that the candidate adds, compressed after the identifiers and its surroundings."""
-    primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode() + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    primed = zstandard.ZstdCompressionDict(_PRIMER + b" " + IDENTIFIERS.encode() + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     compressor = zstandard.ZstdCompressor(level=9, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
     return len(compressor.compress(candidate)) - _NOTHING
 
@@ -58,10 +75,11 @@ def find(text: bytes, reach: int = 48, around: int = 512, least_novelty: float =
         spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text.translate(_HEX_TO_H))]
     if any(w in low for w in _SENSITIVE_WORDS):
-        known, done = sorted((s, e) for s, _, e in spans), 0
+        known, done = [(s, e) for s, _, e in spans], 0
 
         def novel(start: int, end: int) -> bool:
-            if end - start < LEAST_CANDIDATE or any(s <= start and end <= e for s, e in known):
+            before = bisect_right(starts, start)
+            if end - start < LEAST_CANDIDATE or before and reached[before - 1] >= end:
                 return False
             near = text[max(0, start - around) : start] + b" " + text[end : end + around]
             if marginal_bytes(text[start:end], near) < least_novelty * (end - start):
@@ -70,8 +88,11 @@ def find(text: bytes, reach: int = 48, around: int = 512, least_novelty: float =
             return True
 
         if b"PRIVATE KEY-----" in text:
+            starts, reached = [], []
             bodies = [(m.start(1), m.start(1) + len(m[1].rstrip())) for m in _PEM.finditer(text)]
             known += [body for body in bodies if novel(*body)]
+        known.sort()
+        starts, reached = [s for s, _ in known], list(accumulate((e for _, e in known), max))
         for word in _SENSITIVE.finditer(text):
             at, limit = max(done, word.end()), word.end() + reach
             while m := _RUN.search(text, at, limit):
@@ -89,7 +110,8 @@ def scan(docs: DataFrame, text_col: str = "text", redacted: bool = False) -> Dat
     """docs with spans array<struct<kind string, start long, end long>> in code points, sorted by start and kind.
 
     With `redacted`, also a column of the text whose spans are replaced by <secret>. Null and empty texts have no spans. Columns of
-    docs are kept, save those of the added names. Spans of different kinds may overlap; a text is scanned whole in one task.
+    docs are kept, save those of the added names. Spans of different kinds may overlap; a text is scanned whole in one task, in time
+    that grows with its length. Rows are independent, so that repeated ones give equal results and an empty table an empty one.
     """
     added = ["spans"] + ["redacted"] * redacted
     kept = [c for c in docs.columns if c not in added]
@@ -99,8 +121,9 @@ def scan(docs: DataFrame, text_col: str = "text", redacted: bool = False) -> Dat
             kinds, starts, ends, sizes, clean = [], [], [], [0], []
             for text in texts(batch, 0):
                 found = find(text)
-                plain = text.isascii()
-                point = (lambda at: at) if plain else (lambda at, t=text: sum(1 for _ in t[:at].decode()))
+                # The code points before each byte, if they aren't as many.
+                points = None if not found or text.isascii() else np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80).tolist()
+                point = (lambda at: at) if points is None else (lambda at, points=points: points[at] - 1)
                 for s, k, e in found:
                     kinds.append(KINDS[k])
                     starts.append(point(s))

@@ -216,7 +216,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with the column score; null counts as empty. Columns of docs are kept, save one named score."""
+    """docs with the column score; null counts as empty. Columns of docs are kept, save one named score. A long text is scored whole in
+    one task; rows are independent, so that repeated ones score alike and an empty table gives an empty one."""
     kept = [c for c in docs.columns if c != "score"]
 
     def run(batches):

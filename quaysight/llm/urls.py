@@ -98,7 +98,8 @@ def ratio(url: str, accept: Markov, reject: Markov) -> float:
 def judge(pages: DataFrame) -> DataFrame:
     """pages with host, path, rule, score (of every URL) and verdict: the rule's, else allow if the score reaches the threshold.
 
-    The counts cover all ruled URLs. Null URLs count as empty. If rules accept or reject nothing, the models are equal and all
+    The counts cover all ruled URLs, repeated ones as often as they stand. Null URLs count as empty. Input columns named host, path,
+    rule, score or verdict are replaced; an empty table gives an empty one; a long URL is scored whole. If rules accept or reject nothing, the models are equal and all
     scores 0, which is allowed. The threshold is the middle between the mean scores of both kinds of ruled URLs.
     """
     marked = ruled(pages)

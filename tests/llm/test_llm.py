@@ -468,3 +468,28 @@ def test_components(spark):
     loops = {a for a, b in edges if a == b}
     assert {n: c for n, c in got.items()} == {n: c for n, c in want.items() if n in got} and set(want) - set(got) <= loops
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_op2_prose_behind_a_tag():
+    found = lambda t: licenses.find(t.encode())[2]
+    assert not found("SPDX-License-Identifier: see the file") and found("SPDX-License-Identifier: MIT, see the file")[0][1] == {"mit"}
+    assert found("SPDX-License-Identifier: Foo-1.0 applies")[0][1] == {"foo-1.0"}
+
+
+def test_op3_identifiers_are_no_secrets_and_many_spans_take_linear_time():
+    for name in ("getUserAuthenticationConfiguration", "handleAsyncRequestQueueDispatcher", "createDatabaseConnectionFactory", "default_credential_file_format"):
+        assert not secrets.find(f"secret {name} end".encode()), name
+    rng = random.Random(7)
+    value = lambda: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(32))
+    assert sum(bool(secrets.find(f"secret {value()} end".encode())) for _ in range(100)) == 100
+    text = "é token: abcdefgh1 " * 20_000
+    assert len(secrets.find(text.encode())) == 20_000
+
+
+def test_survivors_leave_singles_alone(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(rng.choice([5, 40, 200])))) for i in range(300)]
+    assert {r.doc_id for r in simhash_survivors(docs_of(spark, rows)).collect()} == set(range(300))
+    odd = [*ODD, (4, "word"), (20, "x y z")]
+    assert sorted(r.doc_id for r in simhash_survivors(docs_of(spark, odd)).collect()) == [1, 4, 4, 6, 7, 8, 20]
+    assert simhash_survivors(docs_of(spark, ODD).limit(0)).count() == 0
