@@ -190,7 +190,7 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 30) -> n
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = 20_000) -> Model:
     """Learns from a bounded sample of about `most` labelled rows at most. Copies and near copies (one of four equal MinHash values
     of their five-word shingles) count once, else the words of a copied text would pass for toxic terms. The regression's few features per
-    sampled row come to the driver; without rows of both labels every score is the base rate."""
+    sampled row come to the driver; without rows of both labels every score is the base rate. Rows of one id stay or go together."""
 
     def keyed(batches):
         for batch in slices(batches, 2):
@@ -198,10 +198,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=["id", "label", "text", "keys"])
 
     rows = sampled(docs.select(id_col, text_col), labels, id_col, label_col, most).select(F.col(id_col).cast("long").alias("id"), "label", F.col(text_col).alias("text"))
-    rows = rows.mapInArrow(keyed, "id long, label int, text string, keys array<long>")
+    rows = written(rows.mapInArrow(keyed, "id long, label int, text string, keys array<long>"), "labelled")
+    first = rows.select("id", "keys")  # the texts needn't be dealt by their keys
     for k in range(4):
-        rows = rows.groupBy(F.col("keys")[k].alias("key")).agg(F.min(F.struct("id", "label", "text", "keys")).alias("r")).select("r.*")
-    rows = written(rows, "labelled")
+        first = first.groupBy(F.col("keys")[k].alias("key")).agg(F.min(F.struct("id", "keys")).alias("r")).select("r.*")
+    rows = written(rows.join(first.select("id").distinct(), "id", "left_semi"), "labelled")
     lexicon = learn_lexicon(rows)
 
     def run(batches):

@@ -89,13 +89,14 @@ def item_grams(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def doc_grams(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray, short: list[int]) -> DataFrame:
-    """(id, n_words, n, hash, at, words, places): what may meet an item. A row without hash only counts the words; places holds
-    the word indices of the k-grams (or of the whole short match) that have the same words around them."""
+    """(row, id, n_words, n, hash, at, words, places): what may meet an item. row tells the documents apart, of equal ids too. A row
+    without hash only counts the words; places holds the word indices of the k-grams (or of the whole short match) that have the
+    same words around them."""
 
     def run(batches):
         for batch in slices(batches):
             rows = []
-            ids = batch.column(0).to_pylist()
+            ids, numbers = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             all_words = [words_of(t) for t in texts(batch)]
             sizes = np.array([len(w) for w in all_words], np.int64)
             first = np.concatenate([[0], np.cumsum(sizes)])
@@ -113,12 +114,13 @@ def doc_grams(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray, sho
                     context = b" ".join(all_words[d][start : q + (n or SPAN)])
                     found.setdefault((d, n, int(grams[p]), q - start, context), []).append(q)
             for d, (i, size) in enumerate(zip(ids, sizes.tolist())):
-                rows.append((i, size, -1, None, None, None, None))
-            rows += [(ids[d], 0, n, h, at, context.decode(), places) for (d, n, h, at, context), places in found.items()]
-            kinds = (batch.column(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["id", "n_words", "n", "hash", "at", "words", "places"])
+                rows.append((numbers[d], i, size, -1, None, None, None, None))
+            rows += [(numbers[d], ids[d], 0, n, h, at, context.decode(), places) for (d, n, h, at, context), places in found.items()]
+            kinds = (pa.int64(), batch.column(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["row", "id", "n_words", "n", "hash", "at", "words", "places"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id long, n_words long, n int, hash long, at int, words string, places array<int>")
+    numbered = docs.select(F.col(id_col).cast("long"), text_col, F.monotonically_increasing_id())  # of one written table
+    return numbered.mapInArrow(run, "row long, id long, n_words long, n int, hash long, at int, words string, places array<int>")
 
 
 def extended() -> F.Column:
@@ -139,8 +141,9 @@ def extended() -> F.Column:
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per document: id_col, n_words, n_hit, items (sorted ids as strings of the items with occurring windows), contaminated.
 
-    Null and empty texts have no words. Repeated words, items and documents count each as they stand; documents are told apart
-    by id, so ids must differ. An empty benchmark leaves every document clean. Work is shuffled for what passes the filter only.
+    Null and empty texts have no words. Repeated words, items and documents, of equal or null ids too, count each as they stand. An
+    empty benchmark leaves every document clean; an empty table gives an empty one. Work is shuffled for what passes the filter only,
+    and what several items share is expanded once. A very long text is one task's work. Only the named columns are read.
     """
     grams = item_grams(items, item_col, item_text)
     bits = bit_filter(grams, "hash")
@@ -148,11 +151,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     found = written(doc_grams(docs, id_col, text_col, bits, sorted(short)), "grams")
     hits = found.where("n >= 0").alias("d").join(grams.alias("i"), (F.col("d.hash") == F.col("i.hash")) & (F.col("d.n") == F.col("i.n")))
     reach = F.when(F.col("d.n") > 0, F.when(F.col("d.words") == F.col("i.words"), F.struct(F.lit(0).alias("lo"), F.col("d.n").alias("hi")))).otherwise(extended())
-    hits = hits.select("d.id", F.col("i.item").alias("item"), "d.places", reach.alias("reach")).where("reach is not null")
-    per_item = hits.groupBy("id", "item").agg(F.collect_set(F.struct("places", "reach")).alias("spans"))
-    per_doc = per_item.groupBy("id").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
-    places = F.flatten(F.transform("spans", lambda s: F.flatten(F.transform(s["places"], lambda p: F.sequence(p + s["reach"]["lo"], p + s["reach"]["hi"] - 1)))))
-    hit = per_doc.select("id", "items", F.size(F.array_distinct(places)).cast("long").alias("n_hit"))
-    base = found.where("n < 0").select("id", "n_words")
-    out = base.join(hit, "id", "left")
+    hits = written(hits.select("d.row", F.col("i.item").alias("item"), "d.places", reach.alias("reach")).where("reach is not null"), "hits")
+    named = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
+    spans = hits.select("row", "places", "reach").distinct()
+    covered = F.flatten(F.transform("places", lambda p: F.sequence(p + F.col("reach.lo"), p + F.col("reach.hi") - 1)))
+    counted = spans.groupBy("row").agg(F.size(F.array_distinct(F.flatten(F.collect_list(covered)))).cast("long").alias("n_hit"))
+    out = found.where("n < 0").select("row", "id", "n_words").join(named.join(counted, "row"), "row", "left")
     return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))

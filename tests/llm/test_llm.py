@@ -493,3 +493,11 @@ def test_survivors_leave_singles_alone(spark):
     odd = [*ODD, (4, "word"), (20, "x y z")]
     assert sorted(r.doc_id for r in simhash_survivors(docs_of(spark, odd)).collect()) == [1, 4, 4, 6, 7, 8, 20]
     assert simhash_survivors(docs_of(spark, ODD).limit(0)).count() == 0
+
+
+def test_op5_repeated_ids(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, item), (1, "one"), (2, f"{item} more {item}"), (None, item)]
+    items = spark.createDataFrame([(k, item) for k in range(40)], "item_id long, text string")
+    got = sorted(((r.doc_id or 0), r.n_words, r.n_hit, len(r["items"])) for r in decontaminate(docs_of(spark, rows), items).collect())
+    assert got == [(0, 30, 30, 40), (1, 1, 0, 0), (1, 30, 30, 40), (2, 61, 60, 40)]
