@@ -61,3 +61,28 @@ def isbn(text: Column) -> Column:
     ten = clean.rlike("^[0-9]{9}[0-9X]$") & (weighted(lambda i: 10 - i) % 11 == 0)
     thirteen = clean.rlike("^[0-9]{13}$") & (weighted(lambda i: F.when(i % 2 == 0, 1).otherwise(3)) % 10 == 0)
     return ten | thirteen
+
+
+def content_hash(identity: list[Column], **values: Column) -> Column:
+    """SHA-256 of the identity's parts and then name=value of what is set: it changes with the values, joined_hash(*identity) doesn't
+    (PRJ-20)."""
+    named = [F.concat(F.lit(f"{name}="), v.cast("string")) for name, v in values.items()]
+    return joined_hash(*identity, *named)
+
+
+def flow_hash(chain: Column, kind: Column, tx: Column, index: Column, ends: tuple[Column, Column], token: Column, amount: Column, decimals: Column) -> Column:
+    """Identity of a transfer (PRJ-21): by its index in the transaction, else by addresses, token and the amount quantised half even to
+    the token's decimals (18 if unknown). Null parts are empty, a null or zero amount is 0."""
+    text = F.lit(None).cast("string")
+    d = F.when(decimals.between(0, 18), decimals).otherwise(18)
+    for k in range(19):
+        text = F.when(d == k, F.bround(amount, k).cast(f"decimal(38,{k})").cast("string")).otherwise(text)
+    low = lambda c: F.lower(F.coalesce(c, F.lit("")))
+    parts = F.concat_ws(":", *map(low, ends), low(token), F.when(F.coalesce(amount, F.lit(0)) == 0, "0").otherwise(text))
+    return F.sha2(F.concat_ws(":", chain, kind, tx, F.coalesce(index.cast("string"), parts)), 256)
+
+
+def window_hash(source: Column, us: Column, total: Column, window_s: int = 300) -> Column:
+    """Identity of a metric within a window of seconds (PRJ-22): its source, the window's start and the total in whole units."""
+    step = window_s * 1000000
+    return joined_hash(source, F.floor(us / step).cast("bigint") * step, F.bround(total, 0).cast("bigint"))

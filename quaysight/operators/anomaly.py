@@ -5,6 +5,8 @@ series has the key columns, ts, an id that makes the order total, and value. Win
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,17 +39,22 @@ def statistics(series: DataFrame, keys: list[str], order: list[str], robust: boo
     return out.where("_own").drop("_centre", "_c", "_k", "_s", "_q", "_ds", "_dq", "_n", "_block", "_own")
 
 
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), where x is computed once, however often f names it and wherever a filter on the result is pushed to."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def middle(a: Column) -> Column:
     """The median of a sorted array; null of an empty one."""
-    n = F.size(a)
-    return F.when(n > 0, (F.get(a, F.floor((n - 1) / 2).cast("int")) + F.get(a, F.floor(n / 2).cast("int"))) / 2)
+    at = lambda v, i: F.get(v, F.floor(i).cast("int"))
+    return let(a, lambda v: F.when(F.size(v) > 0, (at(v, (F.size(v) - 1) / 2) + at(v, F.size(v) / 2)) / 2))
 
 
 def middles(df: DataFrame, column: str, window, median: str, deviation: str) -> DataFrame:
     """df with the median of the column's values in the window and their median absolute deviation (ANO-02). A frame's values are
     gathered once per row, so that the window must be bounded."""
     out = df.withColumn("_v", F.sort_array(F.collect_list(column).over(window))).withColumn(median, middle(F.col("_v")))
-    return out.withColumn(deviation, middle(F.sort_array(F.transform("_v", lambda x: F.abs(x - F.col(median)))))).drop("_v")
+    return out.withColumn(deviation, let(F.col(median), lambda m: middle(F.sort_array(F.transform("_v", lambda x: F.abs(x - m)))))).drop("_v")
 
 
 def mad(series: DataFrame, keys: list[str], order: list[str], length: int) -> DataFrame:
@@ -154,3 +161,29 @@ def adaptive(series: DataFrame, keys: list[str], order: list[str], base: float =
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string()] * len(names) + [pa.int64(), pa.float64(), pa.float64(), pa.float64()])], names=[*names, "id", "value", "z", "threshold"])
 
     return rows.mapInArrow(walk, ", ".join([*(f"{n} string" for n in names), "id long, value double, z double, threshold double"])).withColumnsRenamed(dict(zip(names, keys)))
+
+
+def analysed(rows: DataFrame, table: str, id_col: str, ts: str, fields: list[str], row_hash: Column, z: float = 3.0, least: int = 100, expected_s: float = 600.0, slope: float = 0.5) -> DataFrame:
+    """Every check on a batch of rows in order of (ts, id): spikes, jumps, flat runs and non-finite values of each field, repeated rows
+    and gaps (ANO-17). (kind, table, field, id, measure, threshold, method, evidence): evidence is a map of the field's figures at that
+    row (ANO-16); checks of whole rows have no field and no figures."""
+    base = rows.withColumns({"_id": F.col(id_col), "_ts": F.col(ts)})
+    long = unpivoted(base, ["_id", "_ts"], fields, table).withColumnsRenamed({"_id": "id", "_ts": "ts"})
+    odd = long.where(F.isnan("value") | (F.abs("value") == float("inf")))
+    good = long.join(odd.select("id", "field"), ["id", "field"], "left_anti").where("value is not null")
+    stats = statistics(good, ["table", "field"], ["ts", "id"])
+    figures = F.create_map(*[x for c in ("n", "mean", "sd", "low", "high") for x in (F.lit(c), F.col(c).cast("double"))])
+    none = F.lit(None).cast("map<string,double>")
+
+    def found(df: DataFrame, kind: str, field: Column, measure: str, threshold: float, method: str, evidence: Column) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), F.lit(table).alias("table"), field.alias("field"), F.col("id").cast("long").alias("id"), F.col(measure).cast("double").alias("measure"), F.lit(float(threshold)).alias("threshold"), F.lit(method).alias("method"), evidence.alias("evidence"))
+
+    series = base.select(F.lit(table).alias("table"), F.col("_id").alias("id"), F.col("_ts").alias("ts"))
+    field, whole = F.col("field"), F.lit(None).cast("string")
+    runs = flatlines(good.withColumn("_last", F.struct("ts", "id")), ["table", "field"], ["ts", "id"])
+    out = found(spikes(stats, z, least), "spike", field, "z", z, "rolling_z", figures)
+    out = out.unionByName(found(discontinuities(good, ["table", "field"], ["ts", "id"], 60, slope), "jump", field, "jump", slope, "slope", none))
+    out = out.unionByName(found(runs.withColumn("id", F.lit(None).cast("long")), "flatline", field, "length", 10, "islands", none))
+    out = out.unionByName(found(odd, "non_finite", field, "value", 0, "finite", none))
+    out = out.unionByName(found(repeats(base.withColumnsRenamed({"_id": "id_", "_ts": "ts_"}).select(F.col("id_").alias("id"), F.col("ts_").alias("ts"), row_hash.alias("_h")), F.col("_h")), "repeated_row", whole, "since_s", 300, "row_hash", none))
+    return out.unionByName(found(gaps(series, ["table"], ["ts", "id"], expected_s), "gap", whole, "gap_s", 1.5 * expected_s, "interval", none))

@@ -93,3 +93,12 @@ def momentum(bars: DataFrame, key: str = "symbol", history: int = 168) -> DataFr
     })
     confidence = F.least(n / history, F.lit(1.0)) * (F.col("trend_confidence") + F.col("strength") + F.col("volume_confirmation")) / 3
     return b.where((n >= history) & F.col("_own")).withColumn("confidence", confidence).drop("_n", "_block", "_own", *[c for c in bars.columns if c not in (key, "bar_start")])
+
+
+def short_momentum(bars: DataFrame, key: str = "symbol") -> DataFrame:
+    """(key, bar_start, momentum_5m, momentum_15m) of five-minute bars, 0 where the past doesn't reach (WIN-13)."""
+    w = Window.partitionBy(key, "_block").orderBy("_n")
+    past = lambda k: F.lag("close", k).over(w)
+    b = blocks(bars, [key], "bar_start", ["bar_start"], 3)
+    b = b.withColumns({f"momentum_{5 * k}m": F.when(past(k) > 0, (F.col("close") / past(k) - 1) * 100).otherwise(0.0) for k in (1, 3)})
+    return b.where("_own").select(key, "bar_start", "momentum_5m", "momentum_15m")

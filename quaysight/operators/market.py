@@ -115,3 +115,8 @@ def finalized(flows: DataFrame, depth: int = 12) -> DataFrame:
     j = flows.join(tip, "chain").join(reorg, "chain", "left")
     stale = F.coalesce((F.col("block_number") >= F.col("reorg_block")) & (F.col("captured") < F.col("reorg_seen")), F.lit(False))
     return j.where((F.col("block_number") <= F.col("tip") - depth) & ~stale).withColumn("depth", F.col("tip") - F.col("block_number")).drop("tip", "reorg_block", "reorg_seen")
+
+
+def on_spine(features: DataFrame, spine: DataFrame, keys: list[str]) -> DataFrame:
+    """A row of features for each row of the spine (key columns), of zeros where nothing happened (AGG-25)."""
+    return spine.join(features, keys, "left").na.fill(0)

@@ -125,3 +125,19 @@ def outside_pauses(rows: DataFrame, pauses: DataFrame, key: str, ts: str, grace_
 def weekly(incidents: DataFrame, false_positive: Column, target: int) -> DataFrame:
     """Per ISO week and stream: incidents, false positives and whether they reach the target (FRE-09, FRE-12)."""
     return incidents.groupBy(F.weekofyear("ts").alias("week"), "stream").agg(F.count("*").alias("n"), F.count_if(false_positive).alias("false_positives")).withColumn("over_budget", F.col("false_positives") >= target)
+
+
+def alarm_confidence(ratio: Column, n: Column, cv: Column, fp_rate: Column, weekly: Column, target: float) -> Column:
+    """How sure a staleness is, from 0.1 to 1 (FRE-07): by its ratio to the threshold, the number and the coefficient of variation of
+    the intervals, the stream's false positives and how near the week's false positives come to their target."""
+    distance = F.when(ratio < 1.5, 0.6).when(ratio > 3.0, 1.1).otherwise(1.0)
+    seen = F.when(n < 5, 0.7).when(n > 20, 1.05).otherwise(1.0)
+    steady = F.when(n < 3, 1.0).when(cv < 0.1, 1.1).when(cv > 0.5, 0.8).otherwise(1.0)
+    past = F.when(fp_rate > 0.1, 1.0 - F.least(F.lit(0.3), fp_rate)).otherwise(1.0)
+    pressed = F.when(weekly >= 0.8 * target, 0.7).otherwise(1.0)
+    return F.greatest(F.lit(0.1), F.least(F.lit(1.0), distance * seen * steady * past * pressed))
+
+
+def alarm_gate(level_: Column, sure: Column, weekly: Column, target: float) -> Column:
+    """Whether an incident is opened (FRE-12): critical ones always, others above a confidence of 0.9 once the week's target is met."""
+    return (level_ == "critical") | (weekly < target) | (sure > 0.9)

@@ -19,6 +19,21 @@ class Rule:
     severity: str = "error"
 
 
+#: What a text of each kind looks like; of a phone number only digits and plus signs count.
+SEMANTICS = {
+    "email": r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}",
+    "url": r"https?://[^\s/$.?#].[^\s]*",
+    "phone": r"\+?[1-9][0-9]{1,14}",
+    "country_code": r"[A-Z]{2}",
+    "currency_code": r"[A-Z]{3}",
+}
+
+
+def semantic(text: Column, kind: str) -> Column:
+    """Whether a text is an e-mail address, URL, phone number, country code or currency code (VAL-15); null of null."""
+    return (F.regexp_replace(text, "[^0-9+]", "") if kind == "phone" else text).rlike(f"^(?:{SEMANTICS[kind]})$")
+
+
 @dataclass(frozen=True)
 class Field:
     """What a column must be. Only what is set is checked."""
@@ -37,7 +52,10 @@ class Field:
     before: str | None = None
     business_hours: bool = False
     item_low: float | None = None
+    item_kind: str | None = None
     key_pattern: str | None = None
+    value_kind: str | None = None
+    semantic: str | None = None
     custom: Callable[[Column], Column] | None = None
 
     def rules(self) -> list[Rule]:
@@ -69,6 +87,12 @@ class Field:
             add("outside_business_hours", lambda: (F.weekday(c()) >= 5) | ~F.hour(c()).between(9, 16), "warning")
         if self.item_low is not None:
             add("item_below_minimum", lambda: F.exists(c(), lambda x: x < self.item_low))
+        if self.item_kind is not None:
+            add("item_mismatch", lambda: F.exists(c(), lambda x: x.isNotNull() & x.try_cast(self.item_kind).isNull()))
+        if self.value_kind is not None:
+            add("value_mismatch", lambda: F.exists(F.map_values(c()), lambda x: x.isNotNull() & x.try_cast(self.value_kind).isNull()))
+        if self.semantic is not None:
+            add("semantic_mismatch", lambda: ~semantic(c(), self.semantic))
         if self.key_pattern is not None:
             add("key_mismatch", lambda: F.exists(F.map_keys(c()), lambda k: ~k.rlike(f"^(?:{self.key_pattern})$")))
         if self.custom is not None:

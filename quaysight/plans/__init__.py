@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("market", "ops", "checks", "streams", "more", "landing")
+MODULES = ("market", "ops", "checks", "streams", "more", "landing", "extra")
 
 
 def _all(attribute: str) -> dict:

@@ -5,7 +5,7 @@ A stream is a DataFrame of readStream whose time column is a TIMESTAMP. drained(
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -133,3 +133,30 @@ def hysteresis(ticks: DataFrame, key: str) -> DataFrame:
 def latest(stream: DataFrame, key: str, value: str, order: list[str]) -> DataFrame:
     """The last known value of each key, for update mode (STR-13)."""
     return stream.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(value), F.max("ts").alias("ts"))
+
+
+def finality(stream: DataFrame, depth: int) -> DataFrame:
+    """Rows (chain, id, block) once their block lies `depth` below the chain's tip (STR-09). State is what is still pending of a chain,
+    that is the rows of its last blocks."""
+
+    def step(k: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        tip, blocks, ids = state.get if state.exists else (-1, [], [])
+        pending = pd.concat([pd.DataFrame({"block": blocks, "id": ids}, dtype="int64"), *(f[["block", "id"]] for f in frames)])
+        tip = max(tip, int(pending["block"].max()) if len(pending) else -1)
+        done = pending["block"] <= tip - depth
+        state.update((tip, pending["block"][~done].tolist(), pending["id"][~done].tolist()))
+        yield pending[done].assign(chain=k[0])[["chain", "id", "block"]]
+
+    return stream.groupBy("chain").applyInPandasWithState(step, "chain string, id long, block long", "tip long, blocks array<long>, ids array<long>", "append", "NoTimeout")
+
+
+def alerted(stream: DataFrame, alert: Callable[[DataFrame, int], None]):
+    """Calls alert(rows, number) for each micro-batch that has rows, for what there is now (UDF-06, STR-10); returns the ended query."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            alert(batch, batch_id)
+
+    q = stream.writeStream.foreachBatch(each).option("checkpointLocation", scratch(stream.sparkSession, "progress")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
