@@ -25,4 +25,6 @@ def blocks(df: DataFrame, keys: list[str], ts: str, order: list[str], halo: int,
     block = F.floor((F.col("_n") - 1) / rows).cast("long")
     here = F.struct(block.alias("_block"), F.lit(True).alias("_own"))
     after = F.when((F.col("_n") - 1) % rows >= rows - halo, F.struct((block + 1).alias("_block"), F.lit(False).alias("_own")))
-    return n.withColumn("_x", F.explode(F.array_compact(F.array(here, after)))).select(*n.columns, "_x.*")
+    out = n.withColumn("_x", F.explode(F.array_compact(F.array(here, after)))).select(*n.columns, "_x.*")
+    # Windows over few bytes may take long: the number of partitions is given, so that adaptive execution doesn't put blocks together.
+    return out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_block")
