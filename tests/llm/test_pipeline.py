@@ -52,3 +52,20 @@ def test_round_trip(stages):
 
 def test_run_gives_the_last_stage(spark, stages):
     assert {(r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, SF).collect()} == {(r.doc_id, r.n_tokens) for r in stages[4].collect()}
+
+
+def test_odd_columns(spark):
+    """Columns named as the stages' own, without n_chars; null, empty and repeated rows."""
+    rows = [(1, None, 2.5, "a", "b"), (2, "", 2.5, "a", "b"), (3, "password = abcdefgh1 é", 2.5, "a", "b"), (3, "password = abcdefgh1 é", 2.5, "a", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, spans string, redacted string")
+    small = "/root/testdata/sf0.001"
+    kept = corpus_pipeline.keep_quality(spark, docs, small)
+    assert kept.columns == docs.columns and all(r.score == 2.5 for r in kept.collect())
+    clean = corpus_pipeline.redact_secrets(spark, docs, small)
+    assert clean.columns == docs.columns and sorted((r.doc_id, r.text, r.spans, r.redacted) for r in clean.where("doc_id > 1").collect()) == [(2, "", "a", "b"), (3, "<secret> é", "a", "b"), (3, "<secret> é", "a", "b")]
+    assert clean.where("doc_id = 1 and text is null").count() == 1
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, small)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 3]
+    assert corpus_pipeline.drop_contaminated(spark, docs, small).count() == 4
+    assert [(r.n_tokens > 0, r.exact) for r in corpus_pipeline.encode(spark, docs.orderBy("doc_id"), small).collect()] == [(False, True), (False, True), (True, True), (True, True)]
+    assert corpus_pipeline.redact_secrets(spark, docs.limit(0), small).count() == 0
