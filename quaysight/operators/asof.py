@@ -1,4 +1,4 @@
-"""As-of joins by union and a carried last value (JOIN-07 to JOIN-09): one shuffle on the key, no range join."""
+"""As-of joins by union and a carried last value (JOIN-07 to JOIN-09): one shuffle on the key and range of time, no range join."""
 
 from __future__ import annotations
 
@@ -6,25 +6,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof(left: DataFrame, right: DataFrame, on: str, by: list[str], values: list[str], direction: str = "backward", tolerance_us: int | None = None, strict: bool = False) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, on: str, by: list[str], values: list[str], direction: str = "backward", tolerance_us: int | None = None, strict: bool = False, step_s: int = 86400) -> DataFrame:
     """left with the values of the right row of the same key nearest in time at or before (backward) or at or after (forward).
 
     A matched row's time is in `matched_ts`; without one in reach the values are null. Of right rows of one time the one whose values
-    sort last counts. With strict, a row of the same time doesn't match. Both times have one type. Null keys match null keys.
+    sort last counts. With strict, a row of the same time doesn't match. Both times have one type. Null keys match null keys, rows
+    without a time match nothing. A key's rows are cut into ranges of step_s seconds; each range begins with the value that the
+    ranges before it leave, one row per range, so that a hot key is many tasks.
     """
     keys = by or []
+    backward = direction == "backward"
+    us = F.unix_micros(F.col("_ts").cast("timestamp"))
     row = F.struct(F.col(on).alias("ts"), *[F.col(v) for v in values])
-    marked = left.select(*keys, F.col(on).alias("_ts"), F.struct(*left.columns).alias("_l"), F.lit(None).cast(right.select(row.alias("x")).schema["x"].dataType).alias("_r"))
-    other = right.select(*keys, F.col(on).alias("_ts"), F.lit(None).cast(marked.schema["_l"].dataType).alias("_l"), row.alias("_r"))
-    both = marked.unionByName(other)
+    none = lambda kind: F.lit(None).cast(kind)
+    rights = right.where(F.col(on).isNotNull()).select(*keys, F.col(on).alias("_ts"), row.alias("_r"))
+    lefts = left.select(*keys, F.col(on).alias("_ts"), F.struct(*left.columns).alias("_l"))
+    ranged = lambda df: df.withColumn("_range", F.floor(us / (step_s * 1000000)).cast("long"))
+    rights, lefts = ranged(rights), ranged(lefts)
+    nearer = F.struct(us if backward else -us, "_r")
+    ends = rights.groupBy(*keys, "_range").agg(F.max_by("_r", nearer).alias("_r")).unionByName(lefts.select(*keys, "_range").distinct().withColumn("_r", none(rights.schema["_r"].dataType)))
+    order = F.col("_range") if backward else F.col("_range").desc()
+    carried = ends.groupBy(*keys, "_range").agg(F.max("_r").alias("_r"))  # one row per range, with or without right rows
+    carried = carried.withColumn("_r", F.last("_r", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)))
+    kind = lefts.schema["_l"].dataType
+    both = lefts.withColumn("_r", none(rights.schema["_r"].dataType)).withColumn("_first", F.lit(1))
+    both = both.unionByName(rights.withColumn("_l", none(kind)).withColumn("_first", F.lit(1)))
+    both = both.unionByName(carried.where("_r IS NOT NULL AND _range IS NOT NULL").withColumn("_ts", none(lefts.schema["_ts"].dataType)).withColumn("_l", none(kind)).withColumn("_first", F.lit(0)))
     is_left = F.col("_l").isNotNull().cast("int")
-    if direction == "backward":
-        w = Window.partitionBy(*keys).orderBy("_ts", -is_left if strict else is_left, F.col("_r").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    else:
-        w = Window.partitionBy(*keys).orderBy(F.col("_ts").desc(), -is_left if strict else is_left, F.col("_r").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).where(F.col("_l").isNotNull())
+    w = Window.partitionBy(*keys, "_range").orderBy("_first", F.col("_ts").asc() if backward else F.col("_ts").desc(), -is_left if strict else is_left, F.col("_r").asc_nulls_last())
+    out = both.withColumn("_m", F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("_l").isNotNull())
     if tolerance_us is not None:
-        gap = F.abs(F.unix_micros(F.col("_ts").cast("timestamp")) - F.unix_micros(F.col("_m.ts").cast("timestamp")))
+        gap = F.abs(us - F.unix_micros(F.col("_m.ts").cast("timestamp")))
         out = out.withColumn("_m", F.when(gap <= tolerance_us, F.col("_m")))
     return out.select("_l.*", F.col("_m.ts").alias("matched_ts"), *[F.col(f"_m.{v}").alias(f"{v}_asof") for v in values])
 

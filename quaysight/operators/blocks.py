@@ -28,3 +28,14 @@ def blocks(df: DataFrame, keys: list[str], ts: str, order: list[str], halo: int,
     out = n.withColumn("_x", F.explode(F.array_compact(F.array(here, after)))).select(*n.columns, "_x.*")
     # Windows over few bytes may take long: the number of partitions is given, so that adaptive execution doesn't put blocks together.
     return out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_block")
+
+
+def spans(df: DataFrame, ts: str, back_us: int, ahead_us: int, step_s: int = 86400) -> DataFrame:
+    """df with _us, its time in microseconds, and with _span and _own: rows in ranges of step_s seconds, a range also with the rows up to
+    back_us before and ahead_us after it (_own is false for these). A window over (keys, _span) in the order of _us whose frame is a
+    range within these bounds gives the rows with _own what a window over the keys would. Rows without a time have one range."""
+    step = max(step_s * 1000000, back_us, ahead_us)
+    at = lambda c: F.floor(c / F.lit(step)).cast("long")
+    timed = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    reached = F.when(F.col("_us").isNotNull(), F.sequence(at(F.col("_us") - ahead_us), at(F.col("_us") + back_us)))
+    return timed.withColumn("_span", F.explode_outer(reached)).withColumn("_own", F.col("_span").eqNullSafe(at(F.col("_us"))))

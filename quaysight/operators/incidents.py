@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import spans
+
 
 def rate(incidents: DataFrame, unit: str) -> DataFrame:
     """Incidents per time unit and class, by severity (AGG-28, AGG-31)."""
@@ -47,8 +52,9 @@ def latest_state(df: DataFrame, keys: list[str], columns: list[str], order: list
 
 def spikes(incidents: DataFrame, seconds: int, least: int) -> DataFrame:
     """Incidents with at least so many of their class and agent in the trailing seconds (AGG-36)."""
-    w = Window.partitionBy("incident_class", "agent").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-seconds * 1000000, 0)
-    return incidents.withColumn("recent", F.count("*").over(w)).where(F.col("recent") >= least)
+    back = seconds * 1000000
+    w = Window.partitionBy("incident_class", "agent", "_span").orderBy("_us").rangeBetween(-back, 0)
+    return spans(incidents, "ts", back, 0).withColumn("recent", F.count("*").over(w)).where(F.col("_own") & (F.col("recent") >= least)).drop("_us", "_span", "_own")
 
 
 def cascades(incidents: DataFrame, length: str, slide: str, agents: int, each: int) -> DataFrame:
@@ -62,21 +68,42 @@ def breaches(df: DataFrame, breach: Column, least: int) -> DataFrame:
     return df.groupBy(F.to_date("ts").alias("day"), "incident_class").agg(F.count_if(breach).alias("breaches"), F.count("*").alias("n")).where(F.col("breaches") >= least)
 
 
-def latency(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """p50, p95 and p99 as the element int(n * q) of the sorted values (AGG-41), by ranks over a window so that no group is gathered."""
-    w = Window.partitionBy(*keys)
-    ranked = df.withColumn("_r", F.row_number().over(w.orderBy(value)) - 1).withColumn("_n", F.count("*").over(w))
-    at = lambda q: F.max(F.when(F.col("_r") == F.floor(F.col("_n") * q), F.col(value)))
-    return ranked.groupBy(*keys).agg(at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"), F.count("*").alias("n"))
+def latency(df: DataFrame, keys: list[str], value: str, buckets: int = 64) -> DataFrame:
+    """p50, p95 and p99 as the element int(n * q) of the sorted values, nulls first (AGG-41). A key's values are dealt to quantile
+    buckets, which are counted; only those that hold such an element are sorted, equal values as one, so that no key is gathered."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).alias("_v"))
+    edges = rows.groupBy(*names).agg(F.percentile_approx("_v", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 10000).alias("_e"))
+
+    def joined(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+        other = b.withColumnsRenamed({n: f"{n}_r" for n in on})
+        return a.join(other, [a[n].eqNullSafe(other[f"{n}_r"]) for n in on]).drop(*[f"{n}_r" for n in on])
+
+    bucket = F.coalesce(F.size(F.filter("_e", lambda x: x < F.col("_v"))), F.lit(0))
+    counts = joined(rows, edges, names).withColumn("_b", bucket).groupBy(*names, "_b", "_v").agg(F.count("*").alias("_c"))
+    whole = Window.partitionBy(*names)  # a row per bucket
+    sizes = counts.groupBy(*names, "_b").agg(F.sum("_c").alias("_s")).withColumn("_n", F.sum("_s").over(whole))
+    sizes = sizes.withColumn("_before", F.sum("_s").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_s"))
+    places = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    holds = lambda q, start, size: (F.floor(F.col("_n") * q) >= start) & (F.floor(F.col("_n") * q) < start + size)
+    wanted = sizes.where(reduce(or_, [holds(q, F.col("_before"), F.col("_s")) for q in places.values()]))
+    here = joined(counts, wanted, [*names, "_b"])
+    start = F.col("_before") + F.sum("_c").over(Window.partitionBy(*names, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")
+    found = here.withColumn("_start", start).groupBy(*names).agg(
+        *[F.max(F.when(holds(q, F.col("_start"), F.col("_c")), F.col("_v"))).alias(p) for p, q in places.items()], F.max("_n").alias("n"),
+    )
+    return found.withColumnsRenamed(dict(zip(names, keys)))
 
 
 def root_causes(incidents: DataFrame, minutes: int = 30, most: int = 50) -> DataFrame:
     """Per incident its neighbours of the same agent within the minutes: number (of the nearest `most`), and whether it stands alone
     or in a burst of more than five (JOIN-11). Counted over a range of times, without a self-join."""
     reach = minutes * 60 * 1000000
-    w = Window.partitionBy("agent").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-reach, reach)
+    w = Window.partitionBy("agent", "_span").orderBy("_us").rangeBetween(-reach, reach)
     n = F.count("*").over(w) - 1
-    return incidents.withColumn("related", F.least(n, F.lit(most))).withColumn("isolated", n == 0).withColumn("burst", n > 5)
+    found = spans(incidents, "ts", reach, reach).withColumn("_near", n).where("_own")
+    near = F.col("_near")
+    return found.withColumn("related", F.least(near, F.lit(most))).withColumn("isolated", near == 0).withColumn("burst", near > 5).drop("_near", "_us", "_span", "_own")
 
 
 def first_of_batch(incidents: DataFrame, keys: list[str]) -> DataFrame:
