@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import blocks
+from .blocks import blocks, lagged, summed
 
 LENGTH = 550
 
@@ -27,7 +27,7 @@ def statistics(series: DataFrame, keys: list[str], order: list[str], robust: boo
     so_far = whole.orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
     w = whole.orderBy("_n").rowsBetween(-(LENGTH - 1), 0)
     # Differences of running sums of the centred values: a row costs the same for any length of the frame.
-    out = blocks(series, keys, order[0], order, LENGTH).withColumn("_centre", F.avg("value").over(whole)).withColumn("_c", F.col("value") - F.col("_centre"))
+    out = blocks(series.dropna(subset=keys), keys, order[0], order, LENGTH).withColumn("_centre", F.avg("value").over(whole)).withColumn("_c", F.col("value") - F.col("_centre"))
     out = out.withColumns({"_k": F.count("_c").over(so_far), "_s": F.coalesce(F.sum("_c").over(so_far), F.lit(0.0)), "_q": F.coalesce(F.sum(F.col("_c") * F.col("_c")).over(so_far), F.lit(0.0))})
     since = lambda c, zero: F.col(c) - F.lag(c, LENGTH, zero).over(whole.orderBy("_n"))
     out = out.withColumns({"n": since("_k", 0), "_ds": since("_s", 0.0), "_dq": since("_q", 0.0), "low": F.min("value").over(w), "high": F.max("value").over(w)})
@@ -58,8 +58,15 @@ def middles(df: DataFrame, column: str, window, median: str, deviation: str) ->
 
 
 def mad(series: DataFrame, keys: list[str], order: list[str], length: int) -> DataFrame:
-    """series with the median and the median absolute deviation of the last `length` values (ANO-02)."""
-    return middles(series, "value", Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(length - 1), 0), "median", "mad")
+    """series with the median and the median absolute deviation of the last `length` values (ANO-02). Keys are cut into blocks."""
+    w = Window.partitionBy(*keys, "_block").orderBy("_n").rowsBetween(-(length - 1), 0)
+    return middles(blocks(series, keys, order[0], order, length), "value", w, "median", "mad").where("_own").drop("_n", "_block", "_own")
+
+
+def since(before: str) -> Column:
+    """Seconds from the time in a column to ts."""
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    return (us("ts") - us(before)) / 1000000
 
 
 def severity(x: Column, limits: tuple[float, float, float]) -> Column:
@@ -71,25 +78,24 @@ def spikes(stats: DataFrame, z: float, least: int, run: int = 1, keys: list[str]
     score = F.when((F.col("n") >= least) & (F.col("sd") > 0), F.abs(F.col("value") - F.col("mean")) / F.col("sd"))
     out = stats.withColumn("z", score).withColumn("breach", F.coalesce(F.col("z") > z, F.lit(False)))
     if run > 1:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(run - 1), 0)
-        out = out.withColumn("breach", (F.min(F.col("breach").cast("int")).over(w) == 1) & (F.count("*").over(w) == run))
+        w = Window.partitionBy(*keys, "_block").orderBy("_n").rowsBetween(-(run - 1), 0)
+        out = blocks(out, keys, order[0], order, run).withColumn("breach", (F.min(F.col("breach").cast("int")).over(w) == 1) & (F.count("*").over(w) == run))
+        out = out.where("_own").drop("_n", "_block", "_own")
     return out.where("breach").withColumn("severity", severity(F.col("z"), (4, 6, 10))).drop("breach")
 
 
 def flatlines(series: DataFrame, keys: list[str], order: list[str], least: int = 10) -> DataFrame:
     """Runs of at least so many equal values, by islands between changes (ANO-08)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    before = F.lag("value").over(w)
+    before = F.col("_before.value")
     change = F.when(before.isNull() | (F.abs(F.col("value") - before) > 1e-6 + 1e-9 * F.abs(before)), 1).otherwise(0)
-    s = series.withColumn("_c", change).withColumn("_g", F.sum("_c").over(w))
+    s = summed(lagged(series, keys, order[0], order, ["value"]).withColumn("_c", change.cast("long")), keys, order[0], order, "_c", "_g")
     return s.groupBy(*keys, "_g").agg(F.count("*").alias("length"), F.min("ts").alias("start"), F.max("ts").alias("end")).where(F.col("length") >= least).drop("_g").withColumn("severity", severity(F.col("length"), (25, 50, 100)))
 
 
 def discontinuities(series: DataFrame, keys: list[str], order: list[str], gap_s: float = 60, slope: float = 5) -> DataFrame:
     """Jumps of value per second above the slope after gaps of at least gap_s (ANO-09)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    s = series.withColumn("gap_s", (us - F.lag(us).over(w)) / 1000000).withColumn("jump", F.abs(F.col("value") - F.lag("value").over(w)))
+    s = lagged(series, keys, order[0], order, ["ts", "value"])
+    s = s.withColumn("gap_s", since("_before.ts")).withColumn("jump", F.abs(F.col("value") - F.col("_before.value"))).drop("_before")
     return s.where((F.col("gap_s") >= gap_s) & (F.col("jump") / F.col("gap_s") > slope))
 
 
@@ -108,17 +114,13 @@ def level_shifts(series: DataFrame, keys: list[str], order: list[str], half: int
 
 def repeats(rows: DataFrame, row_hash: Column, within_s: float = 300) -> DataFrame:
     """Rows whose hash occurred within the seconds before (ANO-12)."""
-    w = Window.partitionBy("row_hash").orderBy("ts", "id")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    s = rows.withColumn("row_hash", row_hash).withColumn("since_s", (us - F.lag(us).over(w)) / 1000000)
+    s = lagged(rows.withColumn("row_hash", row_hash), ["row_hash"], "ts", ["ts", "id"], ["ts"]).withColumn("since_s", since("_before.ts")).drop("_before")
     return s.where(F.col("since_s") <= within_s)
 
 
 def gaps(series: DataFrame, keys: list[str], order: list[str], expected_s: float) -> DataFrame:
     """Gaps above one and a half times the expected interval (ANO-13)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    s = series.withColumn("gap_s", (us - F.lag(us).over(w)) / 1000000).where(F.col("gap_s") > 1.5 * expected_s)
+    s = lagged(series, keys, order[0], order, ["ts"]).withColumn("gap_s", since("_before.ts")).drop("_before").where(F.col("gap_s") > 1.5 * expected_s)
     return s.withColumn("multiple", F.col("gap_s") / expected_s).withColumn("severity", severity(F.col("multiple"), (5, 10, 20)))
 
 

@@ -6,14 +6,43 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def ranged(df: DataFrame, column: str, step_s: int = 86400) -> DataFrame:
+    """df with _range, the number of the range of step_s seconds that the time in the column lies in; of a number, of step_s units."""
+    of = F.col(column)
+    if df.select(of.alias("x")).schema["x"].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
+        of = F.unix_micros(of.cast("timestamp")) / 1000000
+    return df.withColumn("_range", F.floor(of / step_s).cast("long"))
+
+
 def numbered(df: DataFrame, keys: list[str], ts: str, order: list[str], step_s: int = 86400) -> DataFrame:
-    """df with _n, the number from 1 of each row of its key in order, whose first column is the time `ts`. Rows are numbered within
-    ranges of step_s seconds, and the ranges' sizes (few rows) are summed up before them. Keys must not be null."""
-    r = df.withColumn("_range", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (step_s * 1000000)).cast("long"))
-    sizes = r.groupBy(*keys, "_range").agg(F.count("*").alias("_size"))
-    before = F.coalesce(F.sum("_size").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    within = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order))
-    return r.withColumn("_n", within).join(sizes.withColumn("_before", before).drop("_size"), [*keys, "_range"]).withColumn("_n", F.col("_n") + F.col("_before")).drop("_range", "_before")
+    """df with _n, the number from 1 of each row of its key in order, whose first column is `ts`, a time or a number."""
+    return summed(df.withColumn("_one", F.lit(1).cast("long")), keys, ts, order, "_one", "_n", step_s).drop("_one")
+
+
+def summed(df: DataFrame, keys: list[str], ts: str, order: list[str], column: str, name: str, step_s: int = 86400) -> DataFrame:
+    """df with the sum of the column over its key's rows up to each, in order, whose first column is `ts`. Ranges of rows are summed up
+    one by one, after a row that carries the sum of the ranges before. Null keys are one key, rows without `ts` come first."""
+    r = ranged(df, ts, step_s)
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    carried = r.groupBy(*keys, "_range").agg(F.sum(column).alias(column)).withColumn(column, F.sum(column).over(before).cast(df.schema[column].dataType))
+    return _after(r, carried, keys).withColumn(name, F.sum(column).over(_within(keys, order).rowsBetween(Window.unboundedPreceding, 0))).where("_own_row").drop("_range", "_own_row")
+
+
+def lagged(df: DataFrame, keys: list[str], ts: str, order: list[str], columns: list[str], name: str = "_before", step_s: int = 86400) -> DataFrame:
+    """df with a struct of the columns of its key's row before each, null at the first, in order, whose first column is `ts`. A range of
+    rows begins with a row that carries the last one of the ranges before. Null keys are one key, rows without `ts` come first."""
+    r = ranged(df, ts, step_s).withColumn("_now", F.struct(*columns))
+    ends = r.groupBy(*keys, "_range").agg(F.max_by("_now", F.struct(*order)).alias("_now"))
+    carried = ends.withColumn("_now", F.lag("_now").over(Window.partitionBy(*keys).orderBy("_range"))).where("_now IS NOT NULL")
+    return _after(r, carried, keys).withColumn(name, F.lag("_now").over(_within(keys, order))).where("_own_row").drop("_range", "_own_row", "_now")
+
+
+def _after(rows: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.withColumn("_own_row", F.lit(True)).unionByName(carried.withColumn("_own_row", F.lit(False)), allowMissingColumns=True)
+
+
+def _within(keys: list[str], order: list[str]):
+    return Window.partitionBy(*keys, "_range").orderBy("_own_row", *order)
 
 
 def blocks(df: DataFrame, keys: list[str], ts: str, order: list[str], halo: int, rows: int = 4096, step_s: int = 86400) -> DataFrame:

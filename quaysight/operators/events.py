@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .incidents import elements
+
 
 def words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda w: F.length(w) > 3))
@@ -67,10 +69,10 @@ def status(breaches: DataFrame, key: str, success: str, least: float) -> DataFra
 
 def health(ops: DataFrame, keys: list[str], failed: Column, latency: str) -> DataFrame:
     """Uptime and error rate in percent, and the p95 latency as element ceil(0.95 n) of the sorted values (AGG-47)."""
-    w = Window.partitionBy(*keys)
-    r = ops.withColumn("_f", failed.cast("int")).withColumn("_r", F.row_number().over(w.orderBy(latency))).withColumn("_n", F.count("*").over(w))
-    bad, n = F.sum("_f"), F.count("*")
-    return r.groupBy(*keys).agg((100 - bad / n * 100).alias("uptime_pct"), (bad / n * 100).alias("error_pct"), F.max(F.when(F.col("_r") == F.ceil(F.col("_n") * 0.95), F.col(latency))).alias("p95"))
+    bad, n = F.count_if(failed), F.count("*")
+    sums = ops.groupBy(*keys).agg((100 - bad / n * 100).alias("uptime_pct"), (bad / n * 100).alias("error_pct"))
+    p95 = elements(ops, keys, latency, {"p95": lambda n: F.ceil(n * 0.95) - 1}).select(*[F.col(k).alias(f"_{k}") for k in keys], "p95")
+    return sums.join(p95, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys])
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:

@@ -27,7 +27,7 @@ def foundation(bars: DataFrame, key: str = "symbol", as_of: Column | None = None
     w = Window.partitionBy(key, "_block").orderBy("_n")
     last = lambda n, skip=0: w.rowsBetween(-(n - 1) - skip, -skip)
     prev = F.lag("close").over(w)
-    b = blocks(bars, [key], "bar_start", ["bar_start"], 61, 2048).withColumn("bars", F.col("_n").cast("int")).withColumn("r", F.when(prev > 0, F.col("close") / prev - 1))
+    b = blocks(bars.dropna(subset=[key]), [key], "bar_start", ["bar_start"], 61, 2048).withColumn("bars", F.col("_n").cast("int")).withColumn("r", F.when(prev > 0, F.col("close") / prev - 1))
     r, n, close, volume = F.col("r"), F.col("bars"), F.col("close"), F.col("volume")
     typical, traded = (F.col("high") + F.col("low") + close) / 3, F.when(volume > 0, volume)
     # Every window function is a column of its own first, so that none is planned twice.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -68,9 +69,16 @@ def breaches(df: DataFrame, breach: Column, least: int) -> DataFrame:
     return df.groupBy(F.to_date("ts").alias("day"), "incident_class").agg(F.count_if(breach).alias("breaches"), F.count("*").alias("n")).where(F.col("breaches") >= least)
 
 
-def latency(df: DataFrame, keys: list[str], value: str, buckets: int = 64) -> DataFrame:
-    """p50, p95 and p99 as the element int(n * q) of the sorted values, nulls first (AGG-41). A key's values are dealt to quantile
-    buckets, which are counted; only those that hold such an element are sorted, equal values as one, so that no key is gathered."""
+def latency(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """p50, p95 and p99 as the element int(n * q) of the sorted values, nulls first (AGG-41)."""
+    place = lambda q: lambda n: F.floor(n * q)
+    return elements(df, keys, value, {"p50": place(0.5), "p95": place(0.95), "p99": place(0.99)})
+
+
+def elements(df: DataFrame, keys: list[str], value: str, places: dict[str, Callable[[Column], Column]], buckets: int = 64) -> DataFrame:
+    """Per key the number n of its rows and elements of the sorted values, nulls first, at places (from 0) that depend on n. A key's values
+    are dealt to quantile buckets, which are counted; only those that hold such an element are sorted, equal values as one, so that
+    no key is gathered. Null keys are one key."""
     names = [f"_k{i}" for i in range(len(keys))]
     rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).alias("_v"))
     edges = rows.groupBy(*names).agg(F.percentile_approx("_v", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 10000).alias("_e"))
@@ -84,24 +92,24 @@ def latency(df: DataFrame, keys: list[str], value: str, buckets: int = 64) -> Da
     whole = Window.partitionBy(*names)  # a row per bucket
     sizes = counts.groupBy(*names, "_b").agg(F.sum("_c").alias("_s")).withColumn("_n", F.sum("_s").over(whole))
     sizes = sizes.withColumn("_before", F.sum("_s").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_s"))
-    places = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    holds = lambda q, start, size: (F.floor(F.col("_n") * q) >= start) & (F.floor(F.col("_n") * q) < start + size)
-    wanted = sizes.where(reduce(or_, [holds(q, F.col("_before"), F.col("_s")) for q in places.values()]))
+    holds = lambda at, start, size: (at(F.col("_n")) >= start) & (at(F.col("_n")) < start + size)
+    wanted = sizes.where(reduce(or_, [holds(at, F.col("_before"), F.col("_s")) for at in places.values()]))
     here = joined(counts, wanted, [*names, "_b"])
     start = F.col("_before") + F.sum("_c").over(Window.partitionBy(*names, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")
     found = here.withColumn("_start", start).groupBy(*names).agg(
-        *[F.max(F.when(holds(q, F.col("_start"), F.col("_c")), F.col("_v"))).alias(p) for p, q in places.items()], F.max("_n").alias("n"),
+        *[F.max(F.when(holds(at, F.col("_start"), F.col("_c")), F.col("_v"))).alias(p) for p, at in places.items()], F.max("_n").alias("n"),
     )
     return found.withColumnsRenamed(dict(zip(names, keys)))
 
 
-def root_causes(incidents: DataFrame, minutes: int = 30, most: int = 50) -> DataFrame:
+def root_causes(incidents: DataFrame, minutes: int = 30, most: int = 50, step_s: int = 86400) -> DataFrame:
     """Per incident its neighbours of the same agent within the minutes: number (of the nearest `most`), and whether it stands alone
-    or in a burst of more than five (JOIN-11). Counted over a range of times, without a self-join."""
+    or in a burst of more than five (JOIN-11). Counted over a range of times, without a self-join, by ranges of step_s seconds or the
+    minutes, whichever is longer; rows without a time are neighbours of each other."""
     reach = minutes * 60 * 1000000
     w = Window.partitionBy("agent", "_span").orderBy("_us").rangeBetween(-reach, reach)
     n = F.count("*").over(w) - 1
-    found = spans(incidents, "ts", reach, reach).withColumn("_near", n).where("_own")
+    found = spans(incidents, "ts", reach, reach, step_s).withColumn("_near", n).where("_own")
     near = F.col("_near")
     return found.withColumn("related", F.least(near, F.lit(most))).withColumn("isolated", near == 0).withColumn("burst", near > 5).drop("_near", "_us", "_span", "_own")
 

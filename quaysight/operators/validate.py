@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import blocks, lagged
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -209,18 +211,18 @@ def sums_to_zero(df: DataFrame, group: list[str], amount: str, tolerance: float
 
 def sequence_breaks(df: DataFrame, group: list[str], seq: str, order: list[str]) -> DataFrame:
     """Rows whose sequence doesn't follow its predecessor's by one, with the step (QLT-08, QLT-09, ANO-11)."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("previous", F.lag(seq).over(w)).withColumn("step", F.col(seq) - F.col("previous")).where("step != 1")
+    out = lagged(df, group, order[0], order, [seq]).withColumn("previous", F.col(f"_before.{seq}")).drop("_before")
+    return out.withColumn("step", F.col(seq) - F.col("previous")).where("step != 1")
 
 
 def temporal_jumps(df: DataFrame, group: list[str], ts: str, order: list[str]) -> DataFrame:
     """Rows after a gap above an hour, a step back above a minute, or a gap above five times the median of the last 50 positive ones
     once there are ten (VAL-24, VAL-25)."""
-    w = Window.partitionBy(*group).orderBy(*order)
+    w = Window.partitionBy(*group, "_block").orderBy("_n")
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    out = df.withColumn("gap_s", (us - F.lag(us).over(w)) / 1000000)
+    out = blocks(df, group, order[0], order, 51).withColumn("gap_s", (us - F.lag(us).over(w)) / 1000000)
     before = w.rowsBetween(-50, -1)
     out = out.withColumn("_positive", F.when(F.col("gap_s") > 0, F.col("gap_s")))
-    out = out.withColumn("median_gap", F.percentile("_positive", 0.5).over(before)).withColumn("_n", F.count("_positive").over(before))
-    kind = F.when(F.col("gap_s") > 3600, "jump").when(F.col("gap_s") < -60, "backwards").when((F.col("_n") >= 10) & (F.col("gap_s") > 5 * F.col("median_gap")), "irregular")
-    return out.withColumn("kind", kind).where("kind is not null").drop("_positive", "_n")
+    out = out.withColumn("median_gap", F.percentile("_positive", 0.5).over(before)).withColumn("_seen", F.count("_positive").over(before))
+    kind = F.when(F.col("gap_s") > 3600, "jump").when(F.col("gap_s") < -60, "backwards").when((F.col("_seen") >= 10) & (F.col("gap_s") > 5 * F.col("median_gap")), "irregular")
+    return out.withColumn("kind", kind).where("_own AND kind IS NOT NULL").drop("_positive", "_seen", "_n", "_block", "_own")

@@ -43,12 +43,12 @@ def json_rows(lines: DataFrame, column: str, schema: T.StructType) -> DataFrame:
 
 def with_headers(df: DataFrame, source: Column, order: Column, version: str = "1.0") -> DataFrame:
     """df with the payload as JSON in name order, its SHA-256, the source, a sequence per source by `order` and the schema version
-    (SRC-02)."""
-    from pyspark.sql import Window
+    (SRC-02). Sequences are counted by ranges of the order, so that a source is many tasks."""
+    from ..operators.blocks import numbered
 
     body = F.to_json(F.struct(*sorted(df.columns)))
     out = df.withColumn("source_id", source).withColumn("payload", body).withColumn("content_hash", F.sha2("payload", 256)).withColumn("schema_version", F.lit(version))
-    return out.withColumn("sequence", F.row_number().over(Window.partitionBy("source_id").orderBy(order)))
+    return numbered(out.withColumn("_order", order), ["source_id"], "_order", ["_order"]).withColumnRenamed("_n", "sequence").drop("_order")
 
 
 def header_errors(df: DataFrame) -> Column:

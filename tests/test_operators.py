@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaysight.functions import hashes
-from quaysight.operators import anomaly, incidents, leakage, market, normalize, quality, reconcile, validate
+from quaysight.operators import anomaly, events, incidents, leakage, market, normalize, quality, reconcile, validate
 from quaysight.operators.asof import asof, nearest
 from quaysight.operators.bars import bars
+from quaysight.operators.blocks import lagged, numbered, spans, summed
 from quaysight.operators.features import foundation, momentum
 from quaysight.sources import io
 from quaysight.streaming import bars as streams
@@ -200,3 +201,61 @@ def test_custom_rules_are_columns(spark):
     d = spark.createDataFrame([(1,), (4,)], "x long")
     s = validate.Schema("t", (validate.Field("x", custom=lambda c: c % 2 == 0),))
     assert [len(r.violations) for r in validate.violations(d, s).collect()] == [1, 0]
+
+
+def _series(spark, n=400):
+    """Rows of a hot key, a small one and a null one over many ranges of 100 s, with ties, null times and null values."""
+    rows = [(i, ("a", "b", None)[(i % 7 == 0) + (i % 11 == 0)], None if i % 97 == 5 else at((i * 37 % 400) * 5), None if i % 13 == 0 else float(i * 17 % 23)) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "id long, k string, ts timestamp, value double")
+
+
+def test_ranges_give_what_whole_keys_would(spark):
+    rows, d = _series(spark)
+    whole = {}
+    for k in ("a", "b", None):
+        mine = sorted((r for r in rows if r[1] == k), key=lambda r: (r[2] is not None, r[2] or T0, r[0]))
+        total = 0
+        for n, r in enumerate(mine):
+            total += r[0]
+            whole[r[0]] = (n + 1, total, mine[n - 1][0] if n else None)
+    order = ["ts", "id"]
+    out = numbered(d.withColumn("x", F.col("id")), ["k"], "ts", order, 100)
+    out = lagged(summed(out, ["k"], "ts", order, "x", "total", 100), ["k"], "ts", order, ["id"], step_s=100)
+    assert {r.id: (r._n, r.total, r._before.id if r._before else None) for r in out.collect()} == whole
+    assert numbered(d.where("id < 0"), ["k"], "ts", order).count() == 0
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+@pytest.mark.parametrize("strict", [False, True])
+def test_asof_over_ranges(spark, direction, strict):
+    rows, d = _series(spark)
+    right = [r for r in rows if r[0] % 5 == 0]
+    want = {}
+    for i, k, ts, _ in rows:
+        near = [(r[2], r[0]) for r in right if r[1] == k and ts is not None and r[2] is not None and (r[2] < ts or not strict and r[2] == ts if direction == "backward" else r[2] > ts or not strict and r[2] == ts)]
+        best = (max if direction == "backward" else min)(near, key=lambda x: x[0], default=None)
+        want[i] = best and max(x for x in near if x[0] == best[0])
+    got = asof(d, d.where("id % 5 = 0").select("k", "ts", F.col("id").alias("v")), "ts", ["k"], ["v"], direction, strict=strict, step_s=100)
+    assert {r.id: (r.matched_ts, r.v_asof) if r.matched_ts else None for r in got.collect()} == want
+
+
+def test_near_rows_over_ranges(spark):
+    rows, d = _series(spark)
+    reach = dt.timedelta(minutes=2)
+    out = spans(d, "ts", 90 * 1000000, 90 * 1000000, 100).where("_own")
+    assert sorted(r.id for r in out.collect()) == [r[0] for r in rows]
+    found = incidents.root_causes(d.withColumnsRenamed({"k": "agent"}), minutes=2, step_s=100)
+    want = {i: sum(k == r[1] and r[0] != i and (ts is None and r[2] is None or None not in (ts, r[2]) and abs(r[2] - ts) <= reach) for r in rows) for i, k, ts, _ in rows}
+    assert {r.id: r.related for r in found.collect()} == {i: min(n, 50) for i, n in want.items()}
+
+
+def test_elements_of_a_hot_key(spark):
+    rows, d = _series(spark)
+    want = {}
+    for k in ("a", "b", None):
+        v = sorted((r[3] for r in rows if r[1] == k), key=lambda x: (x is not None, x or 0))
+        want[k] = (len(v), *(v[int(len(v) * q)] for q in (0.5, 0.95, 0.99)))
+    assert {r.k: (r.n, r.p50, r.p95, r.p99) for r in incidents.latency(d, ["k"], "value").collect()} == want
+    health = events.health(d.withColumn("bad", F.col("id") % 2 == 0), ["k"], F.col("bad"), "value").collect()
+    assert {r.k for r in health} == {"a", "b", None} and all(abs(r.uptime_pct + r.error_pct - 100) < 1e-9 for r in health)
+    assert incidents.latency(d.where("id < 0"), ["k"], "value").count() == 0
