@@ -48,7 +48,8 @@ def delete(df: DataFrame) -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 1_500_000) -> Iterator[pa.RecordBatch]:
-    """Cuts record batches so that a slice holds about `most` bytes of the given text column, or one row."""
+    """Cuts record batches so that a slice holds about `most` bytes of the given text column, or one row. After the last one, memory
+    that Arrow keeps goes back, since workers outlive their tasks."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -59,6 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 1_500
             end = max(start + 1, int(np.searchsorted(size, base + most, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()
 
 
 def texts(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
