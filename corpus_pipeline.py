@@ -65,7 +65,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
-    found = pieces.encode(docs.select(*kept, "text"), public_tokenizers.path("piece_bpe_32k.model"), forget=True)
+    found = pieces.encode(docs.select(*kept, "text"), public_tokenizers.path("piece_bpe_32k.model"), forget=True, remembered=50_000)
     return found.select(*kept, F.size("ids").cast("long").alias("n_tokens"), "ids", "starts", "ends", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
 
 
