@@ -10,6 +10,7 @@ in the reversed array. Only texts in which some stretch reaches its sample are s
 
 from __future__ import annotations
 
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -94,8 +95,8 @@ def compared(words: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarra
     return equal, equal == steps
 
 
-def extents(words: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The equal words from i and j on. part: the text that each place belongs to."""
+def extents(words: np.ndarray, part: np.ndarray, gap: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The equal words from i and j on. part: the text that each place belongs to; gap: the smallest number of a separator."""
     equal, reached = compared(words, i, j)
     deep = np.flatnonzero(reached)
     if len(deep):
@@ -104,7 +105,7 @@ def extents(words: np.ndarray, part: np.ndarray, i: np.ndarray, j: np.ndarray) -
         x, y = i[deep] + equal[deep], j[deep] + equal[deep]
         wanted[part[x]] = wanted[part[y]] = True
         inside = wanted[part]
-        inside[1:] |= inside[:-1]  # and the separator behind each text
+        inside[1:] |= inside[:-1] & (words[1:] >= gap)  # and the separator behind each text, so that all suffixes differ
         equal[deep] += Samples(words, inside).common(x, y)
     return equal
 
@@ -125,10 +126,10 @@ def grid(n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def find_runs(words: np.ndarray, part: np.ndarray, longest: int) -> np.ndarray:
-    """(start, end, period) of all runs, by start and period. words: numbers of the words, with separators that occur once before,
-    between and behind the texts; part: a number of the text for each place, ascending; longest: the words of the longest text."""
+    """(start, end, period) of all runs, by start and period. words: numbers of the words, with separators before, between and behind
+    the texts, which are larger than all words and ascend; part: a number of the text for each place, ascending; longest: the words of the longest text."""
     found, size = [np.zeros((0, 3), np.int64)], len(words)
-    back, back_part = words[::-1], part[-1] - part[::-1]
+    back, back_part, gap = words[::-1], part[-1] - part[::-1], int(words[0])
     for i, p in grid(size, longest // TIMES):
         same = words[i] == words[i + p]
         i, p = i[same], p[same]
@@ -138,8 +139,8 @@ def find_runs(words: np.ndarray, part: np.ndarray, longest: int) -> np.ndarray:
         some = far | far_back | (ahead + behind + p >= np.maximum(LEAST, TIMES * p))
         i, p, ahead, behind, far, far_back = (x[some] for x in (i, p, ahead, behind, far, far_back))
         if len(i):
-            ahead[far] = extents(words, part, i[far], i[far] + p[far])
-            behind[far_back] = extents(back, back_part, size - i[far_back] - p[far_back], size - i[far_back])
+            ahead[far] = extents(words, part, gap, i[far], i[far] + p[far])
+            behind[far_back] = extents(back, back_part, gap, size - i[far_back] - p[far_back], size - i[far_back])
             ok = ahead + behind + p >= np.maximum(LEAST, TIMES * p)
             found.append(np.unique(np.stack([(i - behind)[ok], (i + p + ahead)[ok], p[ok]], axis=1), axis=0))
     every = np.concatenate(found)
@@ -206,13 +207,17 @@ def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def planted(docs: DataFrame) -> DataFrame:
     """(doc_id, text): of every tenth document, by the CRC-32 h of its id, the words from place a on go round the p words there; g is
     h / 10, a is g % n and p is 1 + (n - a) / (3 + g % 8), rounded down. Texts without words and rows without id stay."""
-    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).alias("w"))
-    g, n = F.floor(F.col("h") / 10), F.size("w")
-    chosen = chosen.withColumn("n", n).withColumn("a", F.when(n > 0, g % n).cast("int"))
-    chosen = chosen.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
-    rest = F.col("n") - F.col("a")
-    cycle = F.slice("w", F.col("a") + 1, F.col("p"))
-    turns = F.flatten(F.array_repeat(cycle, F.ceil(rest / F.col("p")).cast("int")))
-    text = F.array_join(F.concat(F.slice("w", 1, F.col("a")), F.slice(turns, 1, rest)), " ")
-    return chosen.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+    def run(batches):
+        for batch in slices(batches):
+            ids, out = batch.column(0).to_pylist(), texts(batch)
+            for k, i in enumerate(ids):
+                g, tenth = divmod(zlib.crc32(str(i).encode()), 10)
+                if i is not None and tenth == 0 and (words := out[k].split()):
+                    a = g % len(words)
+                    rest = len(words) - a
+                    p = 1 + rest // (3 + g % 8)
+                    out[k] = b" ".join(words[:a] + (words[a : a + p] * -(-rest // p))[:rest])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()).cast(pa.string())], names=["doc_id", "text"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text string")
