@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,13 +21,14 @@ def numbered(df: DataFrame, keys: list[str], ts: str, order: list[str], step_s:
     return summed(df.withColumn("_one", F.lit(1).cast("long")), keys, ts, order, "_one", "_n", step_s).drop("_one")
 
 
-def summed(df: DataFrame, keys: list[str], ts: str, order: list[str], column: str, name: str, step_s: int = 86400) -> DataFrame:
-    """df with the sum of the column over its key's rows up to each, in order, whose first column is `ts`. Ranges of rows are summed up
-    one by one, after a row that carries the sum of the ranges before. Null keys are one key, rows without `ts` come first."""
+def summed(df: DataFrame, keys: list[str], ts: str, order: list[str], column: str, name: str, step_s: int = 86400, of: Callable[[str], Column] = F.sum) -> DataFrame:
+    """df with the sum (or another such aggregate, as the largest) of the column over its key's rows up to each, in order, whose first
+    column is `ts`. Ranges of rows are summed up one by one, after a row that carries the sum of the ranges before. Null keys are one
+    key, rows without `ts` come first."""
     r = ranged(df, ts, step_s)
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
-    carried = r.groupBy(*keys, "_range").agg(F.sum(column).alias(column)).withColumn(column, F.sum(column).over(before).cast(df.schema[column].dataType))
-    return _after(r, carried, keys).withColumn(name, F.sum(column).over(_within(keys, order).rowsBetween(Window.unboundedPreceding, 0))).where("_own_row").drop("_range", "_own_row")
+    carried = r.groupBy(*keys, "_range").agg(of(column).alias(column)).withColumn(column, of(column).over(before).cast(df.schema[column].dataType))
+    return _after(r, carried, keys).withColumn(name, of(column).over(_within(keys, order).rowsBetween(Window.unboundedPreceding, 0))).where("_own_row").drop("_range", "_own_row")
 
 
 def lagged(df: DataFrame, keys: list[str], ts: str, order: list[str], columns: list[str], name: str = "_before", step_s: int = 86400) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import summed
+
 BPS = (10, 50, 100, 500, 1000)
 
 
@@ -117,6 +119,37 @@ def finalized(flows: DataFrame, depth: int = 12) -> DataFrame:
     return j.where((F.col("block_number") <= F.col("tip") - depth) & ~stale).withColumn("depth", F.col("tip") - F.col("block_number")).drop("tip", "reorg_block", "reorg_seen")
 
 
+def settled(rows: DataFrame, depth: int = 12, state: dict[str, DataFrame] | None = None, step: int = 86400) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(rows that become final, state): rows (chain, id, block, hash, captured) become final once their chain's tip lies `depth` above
+    their block. A row that brings a block that isn't final yet another hash is a reorganisation: of its block and all above it the
+    rows captured before are dropped, save final ones (STR-09).
+
+    Rows come in the order of (captured, id). state holds what the rows so far leave: `pending` rows, `tips` by chain, and the last
+    `hashes` of blocks that aren't final. Rows in several portions, each with the state of the ones before, give what they give at once.
+    Work is dealt by chain and block, and by chain and range of `step` captured units for the tips, so that a chain is many tasks.
+    """
+    columns = ("chain", "id", "block", "hash", "captured")
+    new, state = rows.select(*columns), state or {}
+    tips, hashes = state.get("tips"), state.get("hashes")
+    known = new.withColumn("_new", F.lit(True))
+    if hashes is not None:
+        known = known.unionByName(hashes.withColumn("id", F.lit(None).cast(new.schema["id"].dataType)).withColumn("_new", F.lit(False)))
+    before = F.lag("hash").over(Window.partitionBy("chain", "block").orderBy("captured", "id"))
+    known = summed(known.withColumn("_was", before), ["chain"], "captured", ["captured", "id"], "block", "_tip", step, F.max)
+    if tips is not None:
+        known = known.join(tips.select("chain", F.col("tip").alias("_old")), "chain", "left").withColumn("_tip", F.greatest("_tip", "_old")).drop("_old")
+    turned = known.where(F.col("_new") & (F.col("hash") != F.col("_was")) & (F.col("block") > F.col("_tip") - depth))
+    cuts = turned.select("chain", F.explode(F.sequence("block", "_tip")).alias("block"), F.struct("captured", "id").alias("_cut"))  # `depth` blocks at most
+    cuts = cuts.groupBy("chain", "block").agg(F.max("_cut").alias("_cut"))
+    pending = new.unionByName(state["pending"]) if "pending" in state else new
+    tip = new.groupBy("chain").agg(F.max("block").alias("tip"))
+    tip = tip if tips is None else tip.unionByName(tips).groupBy("chain").agg(F.max("tip").alias("tip"))
+    kept = pending.join(cuts, ["chain", "block"], "left").where("_cut IS NULL OR NOT struct(captured, id) < _cut").join(tip, "chain")
+    final = F.col("block") <= F.col("tip") - depth
+    last = known.groupBy("chain", "block").agg(F.max_by(F.struct("hash", "captured"), F.struct("captured", "id")).alias("h")).join(tip, "chain").where(~final)
+    return kept.where(final).select(*columns), {"pending": kept.where(~final).select(*columns), "tips": tip, "hashes": last.select("chain", "block", "h.hash", "h.captured")}
+
+
 def on_spine(features: DataFrame, spine: DataFrame, keys: list[str]) -> DataFrame:
     """A row of features for each row of the spine (key columns), of zeros where nothing happened (AGG-25)."""
     return spine.join(features, keys, "left").na.fill(0)
