@@ -25,12 +25,22 @@ STEMS = range(4, 9)
 #: Kinds of a word: none, a lexicon word, a word that begins with a stem, a misspelt lexicon word.
 NONE, EXACT, STEM, FUZZY = range(4)
 # What marks a quotation or report, and what addresses a reader.
-_QUOTED = re.compile(rb"\"|\xe2\x80\x9c|\xe2\x80\x9d|\xc2\xab|\xc2\xbb|\b(?:said|says|wrote|called|quote[sd]?|term|word|slur|reported|dijo|dit|sagte)\b")
+_MARKS = ((b'"', b'"'), (b"\xe2\x80\x9c", b"\xe2\x80\x9d"), (b"\xe2\x80\x9e", b"\xe2\x80\x9c"), (b"\xc2\xab", b"\xc2\xbb"))
+_REPORTED = re.compile(rb"\b(?:said|says|wrote|called|quote[sd]?|term|word|slur|reported|dijo|dit|sagte)\b")
 _DIRECTED = re.compile(rb"\b(?:you|your|youre|ur|du|dich|dein|vous|toi|tu|te|usted|eres)\b")
 REACH = 60
 REMEMBERED = 250_000
 
 
+def in_quotation(before: bytes, after: bytes) -> bool:
+    """Whether what stands between is quoted: a mark opened before it that is closed behind it only, or a word of reporting before it."""
+    for start, end in _MARKS:
+        opened = before.count(start) % 2 == 1 if start == end else before.rfind(start) > before.rfind(end)
+        if opened and end in after:
+            return True
+    return bool(_REPORTED.search(before))
+
+
 class Automaton:
     """Accepts what is within `most` edits of a word; a state is a tuple of (letters of the word used, edits)."""
 
@@ -124,7 +134,7 @@ class Lexicon:
             for m in re.finditer(rb"(?<![0-9a-z\x80-\xff])(?:" + b"|".join(re.escape(w) for w in sorted(hits)) + rb")(?![0-9a-z\x80-\xff])", low):
                 counts[hits[m[0]]] += 1
                 before, after = low[max(0, m.start() - REACH) : m.start()], low[m.end() : m.end() + REACH]
-                quoted += bool(_QUOTED.search(before)) and bool(_QUOTED.search(after) or _QUOTED.search(before))
+                quoted += in_quotation(before, after)
                 directed += bool(_DIRECTED.search(before) or _DIRECTED.search(after))
                 n += 1
         x = [*counts[1:], quoted, directed]

@@ -2,7 +2,7 @@
 
 URLs that a rule accepts or rejects train two variable-order Markov models: counts of each character after its last 0 to ORDER
 characters, smoothed by interpolation from the shortest context to the longest. The difference of the two log-likelihoods per
-character, set against the value that separates the ruled URLs best, judges the others.
+character, set against the middle between the means of the accepted and of the rejected URLs, judges the others.
 """
 
 from __future__ import annotations
@@ -119,8 +119,12 @@ def judge(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(s, pa.float64())], names=[*(f"k{i}" for i in range(len(kept))), "score"])
 
     schema = ", ".join([*(f"k{i} {marked.schema[k].dataType.simpleString()}" for i, k in enumerate(kept)), "score double"])
-    scored = marked.select(F.col("url").alias("source"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(kept)]).mapInArrow(score, schema)
-    scored = scored.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(kept)], "score")
-    middle = scored.where("rule_verdict is not null").groupBy("rule_verdict").agg(F.avg("score").alias("m")).collect()  # two rows
+
+    def scored(rows: DataFrame) -> DataFrame:
+        found = rows.select(F.col("url").alias("source"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(kept)]).mapInArrow(score, schema)
+        return found.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(kept)], "score")
+
+    # Only the ruled URLs are scored for the threshold: a filter behind the scoring would score all.
+    middle = scored(marked.where("rule_verdict is not null")).groupBy("rule_verdict").agg(F.avg("score").alias("m")).collect()  # two rows
     threshold = sum(r["m"] for r in middle) / len(middle) if len(middle) == 2 else 0.0
-    return scored.withColumn("verdict", F.coalesce("rule_verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block"))).drop("rule_verdict")
+    return scored(marked).withColumn("verdict", F.coalesce("rule_verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block"))).drop("rule_verdict")

@@ -2,9 +2,9 @@
 
 Texts become words, words 64-bit hashes, K consecutive words a k-gram hash. Of each W consecutive k-grams the smallest hash is
 kept, ties included. Two texts that share W + K - 1 consecutive words share the k-grams of that span and so a kept one: with
-K = 5 and W = 6 no shared span of ten words is missed. Kept k-grams of documents that pass a bit filter of the benchmark's
-(fixed size) are joined with the benchmark's, each with the words around it, and a hit is extended word by word; it counts if
-the span reaches ten words. Items of fewer words are looked up whole.
+K = 5 and W = 6 no shared span of ten words is missed. Kept k-grams of documents that pass a bit filter of the benchmark's (of a size
+that follows from its k-grams, 16 MB at most) are joined with the benchmark's, each with the words around it, and a hit is extended
+word by word; it counts if the span reaches ten words. Items of fewer words are looked up whole.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, slices, texts, written
+from .common import bit_filter, bits_for, in_filter, slices, texts, written
 
 SPAN, K = 10, 5
 W = SPAN - K + 1
@@ -145,8 +145,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     empty benchmark leaves every document clean; an empty table gives an empty one. Work is shuffled for what passes the filter only,
     and what several items share is expanded once. A very long text is one task's work. Only the named columns are read.
     """
-    grams = item_grams(items, item_col, item_text)
-    bits = bit_filter(grams, "hash")
+    grams = written(item_grams(items, item_col, item_text), "items")
+    bits = bit_filter(grams, "hash", bits_for(grams.count()))
     short = [r["n"] for r in grams.select("n").distinct().where("n > 0").collect()]  # at most SPAN - 1 numbers
     found = written(doc_grams(docs, id_col, text_col, bits, sorted(short)), "grams")
     hits = found.where("n >= 0").alias("d").join(grams.alias("i"), (F.col("d.hash") == F.col("i.hash")) & (F.col("d.n") == F.col("i.n")))
