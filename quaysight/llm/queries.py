@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language, licenses, manifest, periodic, pieces, quality, secrets, toxicity, urls
-from .passages import LEAST, repeated
+from .passages import repeated
 from .simhash import simhash_components
 from .vectors import near_vectors
 from .winnow import decontaminate
@@ -68,8 +68,9 @@ def op8_markov_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraphs of at least LEAST words and what else repeats over so many, so that headings and stock lines don't count."""
-    return repeated(table(spark, sf_dir, "documents"), least=LEAST)
+    """All paragraphs and runs are compared; stretches of fewer than 24 repeated words aren't named, which leaves out documents that only
+    have headings and stock lines in common with others."""
+    return repeated(table(spark, sf_dir, "documents"), shortest=24)
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:

@@ -271,3 +271,115 @@ def test_op8_error_on_ruled_urls_left_out(spark, sf_dir):
     left = [(urls.ratio(u, accept, reject) >= middle, y == 1) for i, u, y in rows if i % 2 == 0]
     right = np.mean([a == b for a, b in left])
     assert right > max(np.mean([y for _, y in left]), 1 - np.mean([y for _, y in left])) and right >= 0.9, right
+
+
+# 9
+
+
+def brute_passages(rows, least=5, span=50):
+    """{(row, word): the smallest row that has a window or a similar paragraph around the word}; rows: texts in order."""
+    split = [[w for w in line.lower().split() if w] for t in rows for line in [t.replace("\n", " ")]]
+    has, owner = {}, {}
+    for r, w in enumerate(split):
+        for k in range(len(w) - span + 1):
+            has.setdefault(tuple(w[k : k + span]), set()).add(r)
+    for r, w in enumerate(split):
+        for k in range(len(w) - span + 1):
+            holders = has[tuple(w[k : k + span])]
+            if len(holders) > 1:
+                for x in range(k, k + span):
+                    owner[r, x] = min(owner.get((r, x), r), *holders)
+    paras = []
+    for r, t in enumerate(rows):
+        at = 0
+        for line in t.lower().split("\n"):
+            w = line.split()
+            if len(w) >= least:
+                paras.append((r, at, len(w), {tuple(w[k : k + 5]) for k in range(len(w) - 4)}))
+            at += len(w)
+    parent = list(range(len(paras)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    by = {}
+    for k, p in enumerate(paras):
+        for g in p[3]:
+            by.setdefault(g, []).append(k)
+    for a, b in {(a, b) for of in by.values() for a in of for b in of if a < b}:
+        if len(paras[a][3] & paras[b][3]) >= 0.8 * len(paras[a][3] | paras[b][3]) - 1e-9:
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+    groups = {}
+    for k in range(len(paras)):
+        groups.setdefault(find(k), []).append(k)
+    for of in groups.values():
+        members = {paras[k][0] for k in of}
+        if len(members) > 1:
+            for r, at, n, _ in (paras[k] for k in of):
+                for x in range(at, at + n):
+                    owner[r, x] = min(owner.get((r, x), r), min(members))
+    return owner
+
+
+def test_op9_equals_brute_force_word_by_word(spark):
+    """300 documents with repeated ids and rows, long and short shared passages, stock lines and near copies of paragraphs."""
+    from quaysight.llm.passages import repeated
+
+    rng = random.Random(31)
+    text = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    pool, stock, texts = [text(rng.choice([30, 48, 49, 50, 51, 60, 75, 140])) for _ in range(30)], [" ".join(text(9)) for _ in range(3)], []
+    for _ in range(300):
+        w = []
+        for _ in range(rng.randrange(1, 5)):
+            w += text(rng.randrange(0, 30))
+            p = rng.choice(pool)
+            cut = rng.randrange(0, 12)
+            w += rng.choice([p, p, p[cut:], p[: len(p) - cut], [*p[:20], *text(1), *p[21:]]])
+        lines, at = [], 0
+        while at < len(w):
+            n = rng.choice([7, 25, 60, 200])
+            lines.append(" ".join(w[at : at + n]))
+            at += n
+        if rng.random() < 0.3:
+            lines.insert(rng.randrange(len(lines) + 1), rng.choice(stock))
+        texts.append("\n".join(lines))
+    texts[200:210] = texts[100:110]
+    ids = [rng.randrange(250) for _ in texts]
+    texts[299], ids[299] = texts[0], ids[0]  # a row that stands twice
+    got = repeated(docs_of(spark, list(zip(ids, texts)))).collect()
+    order_ = {}
+    for i, t in zip(ids, texts):
+        order_.setdefault(i, []).append(t)
+    by_id = {i: sorted({r.part for r in got if r.doc_id == i}) for i in set(ids)}
+    assert all(max(p, default=0) < len(order_[i]) for i, p in by_id.items())
+    # Rows of one id have an order of their own: by the hash of their texts.
+    hashed = {r.text: r.h for r in spark.createDataFrame([(t,) for t in set(texts)], "text string").select("text", F.xxhash64("text").alias("h")).collect()}
+    rows = sorted(zip(ids, texts), key=lambda r: (r[0], hashed[r[1]], r[1]))
+    number, seen = {}, {}
+    for k, (i, _) in enumerate(rows):
+        number[i, seen.setdefault(i, 0)] = k
+        seen[i] += 1
+    want = brute_passages([t for _, t in rows])
+    found = {}
+    for r in got:
+        for x in range(r.start_word, r.end_word):
+            assert (r.doc_id, r.part, x) not in found
+            found[r.doc_id, r.part, x] = (r.class_id, r.kept)
+    assert {(number[i, p], x) for i, p, x in found} == {*want}
+    for (i, p, x), (cls, kept) in found.items():
+        own = want[number[i, p], x]
+        assert cls == rows[own][0] and kept == (own == number[i, p])
+    long = repeated(docs_of(spark, list(zip(ids, texts))), shortest=24).collect()
+    assert {(r.doc_id, r.part, r.start_word) for r in long} < {(r.doc_id, r.part, r.start_word) for r in got}
+
+
+def test_op9_rows_of_one_id(spark):
+    from quaysight.llm.passages import repeated
+
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    got = sorted((r.doc_id, r.start_word, r.end_word, r.class_id, r.kept) for r in repeated(docs_of(spark, [(1, a), (1, b), (2, f"x y {a} {b} z")])).collect())
+    assert [g for g in got if g[0] == 1] == [(1, 0, 60, 1, True)] * 2
+    assert sorted({x for g in got if g[0] == 2 for x in range(g[1], g[2])}) == list(range(2, 122)) and {g[3:] for g in got if g[0] == 2} == {(1, False)}
+    assert repeated(docs_of(spark, ODD)).count() == 0 and repeated(docs_of(spark, [])).count() == 0
