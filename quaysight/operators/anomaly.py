@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.ledger import Step
 from .blocks import blocks, lagged, summed
 
 LENGTH = 550
@@ -99,17 +100,21 @@ def discontinuities(series: DataFrame, keys: list[str], order: list[str], gap_s:
     return s.where((F.col("gap_s") >= gap_s) & (F.col("jump") / F.col("gap_s") > slope))
 
 
-def level_shifts(series: DataFrame, keys: list[str], order: list[str], half: int = 250, z: float = 3) -> DataFrame:
+def level_shifts(series: DataFrame, keys: list[str], order: list[str], half: int = 250, z: float = 3, absolute: float = 0.01, relative: float = 0.1) -> DataFrame:
     """Rows where the medians of the newer and the older half differ by more than z robust deviations of the older, 1.4826 times its
-    median absolute deviation (ANO-10)."""
+    median absolute deviation (ANO-10). Where the older half is flat (a deviation below 1e-10) they differ by more than `absolute`, or
+    by more than `relative` of the older median if that isn't 0; shift is the difference in units of `absolute` then."""
     own = [*keys, "_block"]
     s = blocks(series, keys, order[0], order, 2 * half)
     w = Window.partitionBy(*own).orderBy("_n")
     new, old = w.rowsBetween(-(half - 1), 0), w.rowsBetween(-(2 * half - 1), -half)
     s = s.withColumns({"n_old": F.count("value").over(old), "_new": F.sort_array(F.collect_list("value").over(new))})
     s = middles(s, "value", old, "median_old", "_mad").where("_own").withColumn("median_new", middle(F.col("_new")))
-    spread = 1.4826 * F.col("_mad")
-    return s.where(F.col("n_old") == half).withColumn("shift", F.when(spread > 0, F.abs(F.col("median_new") - F.col("median_old")) / spread)).where(F.col("shift") > z).drop("_mad", "_new", "_n", "_block", "_own")
+    apart, base = F.abs(F.col("median_new") - F.col("median_old")), F.abs("median_old")
+    moved = (apart > absolute) | ((base > 1e-10) & (apart > relative * base))
+    flat = F.col("_mad") < 1e-10
+    shift = F.when(flat, F.when(moved, apart / absolute)).otherwise(F.when(apart / (1.4826 * F.col("_mad")) > z, apart / (1.4826 * F.col("_mad"))))
+    return s.where(F.col("n_old") == half).withColumns({"shift": shift, "flat": flat}).where("shift IS NOT NULL").drop("_mad", "_new", "_n", "_block", "_own")
 
 
 def repeats(rows: DataFrame, row_hash: Column, within_s: float = 300) -> DataFrame:
@@ -124,6 +129,22 @@ def gaps(series: DataFrame, keys: list[str], order: list[str], expected_s: float
     return s.withColumn("multiple", F.col("gap_s") / expected_s).withColumn("severity", severity(F.col("multiple"), (5, 10, 20)))
 
 
+def gaps_step(keys: list[str], id_col: str, expected_s: float) -> Step:
+    """A step for a ledger: table `gaps` of each batch, and the state `last`, the newest row of each series so far, after which the next
+    batch's rows come (ANO-13). Rows that aren't newer than it give no gap; each batch reads a row per series besides its own."""
+
+    def step(rows: DataFrame, state: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+        new = rows.select(*keys, F.col(id_col).alias("id"), "ts").where("ts IS NOT NULL")
+        both = new.withColumn("_old", F.lit(False))
+        if "last" in state:
+            both = both.unionByName(state["last"].withColumn("_old", F.lit(True)))
+        found = gaps(both, keys, ["ts", "id"], expected_s).where("NOT _old").drop("_old")
+        newest = F.max_by(F.struct("id", "ts"), F.struct("ts", "id")).alias("_r")
+        return {"gaps": found}, {"last": both.groupBy(*keys).agg(newest).select(*keys, "_r.id", "_r.ts")}
+
+    return step
+
+
 def adaptive(series: DataFrame, keys: list[str], order: list[str], base: float = 3.0, sensitivity: float = 0.5, length: int = 100, recent: int = 20) -> DataFrame:
     """Spikes against a threshold that grows with the coefficient of variation and with the share of breaches among the last `recent`
     rows (ANO-04). The threshold depends on earlier breaches, so each series is walked once in order, in batches; it keeps the
@@ -171,8 +192,8 @@ def analysed(rows: DataFrame, table: str, id_col: str, ts: str, fields: list[str
     row (ANO-16); checks of whole rows have no field and no figures."""
     base = rows.withColumns({"_id": F.col(id_col), "_ts": F.col(ts)})
     long = unpivoted(base, ["_id", "_ts"], fields, table).withColumnsRenamed({"_id": "id", "_ts": "ts"})
-    odd = long.where(F.isnan("value") | (F.abs("value") == float("inf")))
-    good = long.join(odd.select("id", "field"), ["id", "field"], "left_anti").where("value is not null")
+    finite = ~F.isnan("value") & (F.abs("value") < float("inf"))
+    odd, good = long.where(~finite), long.where(finite)  # neither has nulls
     stats = statistics(good, ["table", "field"], ["ts", "id"])
     figures = F.create_map(*[x for c in ("n", "mean", "sd", "low", "high") for x in (F.lit(c), F.col(c).cast("double"))])
     none = F.lit(None).cast("map<string,double>")

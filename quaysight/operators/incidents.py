@@ -114,6 +114,32 @@ def root_causes(incidents: DataFrame, minutes: int = 30, most: int = 50, step_s:
     return found.withColumn("related", F.least(near, F.lit(most))).withColumn("isolated", near == 0).withColumn("burst", near > 5).drop("_near", "_us", "_span", "_own")
 
 
+def related_ids(incidents: DataFrame, minutes: int = 30, most: int = 50, step_s: int = 86400, run: int = 64) -> DataFrame:
+    """incidents with related, the ids of the first `most` other incidents of the same agent within the minutes, in order of (ts,
+    incident_id), and related_count, the number of all (JOIN-11). Rows without a time have none.
+
+    In the order of a range of times the wanted ids stand together, from the first row in reach on. So rows are numbered, `run` of them
+    make one row of a list, and an incident is joined with the two lists that hold its ids: no row ever holds more than these.
+    """
+    reach, run = minutes * 60 * 1000000, max(run, most + 1)
+    part = Window.partitionBy("agent", "_span")
+    timed = spans(incidents.where("ts IS NOT NULL"), "ts", reach, reach, step_s)
+    timed = timed.withColumn("_n", F.row_number().over(part.orderBy("_us", "incident_id")) - 1)
+    near = part.orderBy("_us")
+    timed = timed.withColumn("_from", F.count("*").over(near.rangeBetween(Window.unboundedPreceding, -reach - 1)))
+    timed = timed.withColumn("related_count", F.count("*").over(near.rangeBetween(-reach, reach)) - 1)
+    lists = timed.groupBy("agent", "_span", F.floor(F.col("_n") / run).alias("_list")).agg(F.array_sort(F.collect_list(F.struct("_us", "incident_id"))).alias("_ids"))
+    own = timed.where("_own")
+    for name, list_ in (("_a", F.floor(F.col("_from") / run)), ("_b", F.floor(F.col("_from") / run) + 1)):
+        right = lists.select(F.col("agent").alias("_agent"), F.col("_span").alias("_s"), F.col("_list").alias("_l"), F.col("_ids").alias(name))
+        own = own.join(right, F.col("agent").eqNullSafe(F.col("_agent")) & (F.col("_span") == F.col("_s")) & (list_ == F.col("_l")), "left").drop("_agent", "_s", "_l")
+    both = F.slice(F.concat(F.col("_a"), F.coalesce("_b", F.array().cast(lists.schema["_ids"].dataType))), (F.col("_from") % run + 1).cast("int"), most + 1)
+    others = F.filter(both, lambda x: (x["_us"] <= F.col("_us") + reach) & (x["incident_id"] != F.col("incident_id")))
+    found = own.withColumn("related", F.slice(others["incident_id"], 1, most)).select(*incidents.columns, "related", "related_count")
+    timeless = incidents.where("ts IS NULL").withColumn("related", F.array().cast(found.schema["related"].dataType)).withColumn("related_count", F.lit(0).cast("long"))
+    return found.unionByName(timeless)
+
+
 def first_of_batch(incidents: DataFrame, keys: list[str]) -> DataFrame:
     """The first incident of each identity with the number of repeats (JOIN-14)."""
     return incidents.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in incidents.columns if c not in keys]), F.struct("ts", "incident_id")).alias("_r"), F.count("*").alias("repeats")).select(*keys, "_r.*", "repeats")

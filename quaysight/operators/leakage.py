@@ -75,6 +75,108 @@ def incident_id(kind: Column, scope: Column) -> Column:
     return F.concat(F.lit("leak_"), F.substring(F.sha2(F.concat_ws("|", kind, scope), 256), 1, 12))
 
 
+def with_examples(rows: DataFrame, k: int = 5) -> DataFrame:
+    """(scope, n, violations, worst, examples) of rows (scope, measure, example): a row violates if its measure isn't null; worst is the
+    largest measure and examples the examples of the k largest, ties by their text. One pass: each task keeps k rows per scope at
+    most and its counts, and only these are shuffled."""
+
+    def run(batches):
+        import heapq
+
+        import pyarrow as pa
+
+        kept: dict = {}
+        for batch in batches:
+            for scope, measure, example in zip(*(c.to_pylist() for c in batch.columns)):
+                one = kept.setdefault(scope, [0, 0, []])
+                one[0] += 1
+                if measure is not None:
+                    one[1] += 1
+                    one[2].append((-measure, example or ""))
+                    if len(one[2]) >= 64 * k:
+                        one[2] = heapq.nsmallest(k, one[2])
+        for scope, (n, violations, worst) in kept.items():
+            listed = [{"by": by, "example": example} for by, example in heapq.nsmallest(k, worst)]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.struct([("by", pa.float64()), ("example", pa.string())])))
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((scope, n, violations, listed), kinds)], names=["scope", "n", "violations", "worst"])
+
+    each = rows.select(F.col("scope").cast("string"), F.col("measure").cast("double"), F.col("example").cast("string")).mapInArrow(run, "scope string, n long, violations long, worst array<struct<by: double, example: string>>")
+    out = each.groupBy("scope").agg(F.sum("n").alias("n"), F.sum("violations").alias("violations"), F.slice(F.array_sort(F.flatten(F.collect_list("worst"))), 1, k).alias("w"))  # k rows per task
+    return out.select("scope", "n", "violations", F.when(F.size("w") > 0, -F.col("w")[0]["by"]).alias("worst"), F.col("w.example").alias("examples"))
+
+
+def _of_edges(rows: DataFrame, id_col: str, delay_ms: Column, limit_ms: float) -> DataFrame:
+    d = rows.where(delay_ms >= 0).select(F.lit("").alias("scope"), F.when(delay_ms < limit_ms, limit_ms - delay_ms).alias("measure"), F.col(id_col).alias("example"))
+    return with_examples(d)
+
+
+def _of_shared(rows: DataFrame, group: str, item: str) -> DataFrame:
+    """Pairs of groups: n is the number of items of the smaller one, violations those that both have."""
+    sets = rows.where(F.col(item).isNotNull()).select(F.col(group).cast("string").alias("g"), F.col(item).cast("string").alias("i")).groupBy("i").agg(F.array_sort(F.collect_set("g")).alias("gs"))
+    pair = F.explode(F.flatten(F.transform("gs", lambda a: F.transform(F.filter("gs", lambda b: a < b), lambda b: F.struct(a.alias("a"), b.alias("b"))))))
+    pairs = sets.where("size(gs) > 1").select("i", pair.alias("p"))
+    found = with_examples(pairs.select(F.concat_ws("|", "p.a", "p.b").alias("scope"), F.lit(0).alias("measure"), F.col("i").alias("example"))).drop("n", "worst")
+    size = sets.select(F.explode("gs").alias("g")).groupBy("g").agg(F.count("*").alias("size"))
+    of = F.split("scope", "\\|")
+    both = found.withColumns({"a": of[0], "b": of[1]}).join(size.select(F.col("g").alias("a"), F.col("size").alias("_a")), "a").join(size.select(F.col("g").alias("b"), F.col("size").alias("_b")), "b")
+    return both.select("scope", F.least("_a", "_b").alias("n"), "violations", F.lit(None).cast("double").alias("worst"), "examples")
+
+
+#: What each analyzer needs, in the order of analyze(): inputs by name, and what is made of them.
+ANALYZERS = {
+    "temporal_ordering": ("features", "labels"),
+    "split_contamination": ("splits",),
+    "mempool_edge": ("mempool",),
+    "fold_entities": ("folds",),
+    "fold_embargo": ("folds",),
+    "target_copies": ("numbers",),
+    "execution_edge": ("execution",),
+    "bridge_edge": ("bridge",),
+}
+
+
+def analyze(inputs: dict[str, DataFrame], horizon_s: float = 0, tolerance_s: float = 0.05, edge_ms: float = 100, embargo_h: float = 24, most: int = 1000) -> DataFrame:
+    """The findings of every analyzer whose inputs are given, the gravest first, `most` at most (LEAK-09): (incident_id, analyzer, scope,
+    columns, n, violations, worst, examples, ratio, confidence, severity). An incident is one analyzer's, of one scope and its columns.
+
+    Inputs: features (id, ts) and labels (id, ts); splits (split, item); folds (fold, entity, ts); mempool, execution and bridge
+    (id, delay_ms); numbers (target and features, all numeric). Nulls never violate; at most five examples each (LEAK-01).
+    """
+    unknown = {*inputs} - {x for needs in ANALYZERS.values() for x in needs}
+    if unknown:
+        raise ValueError(f"not an input: {sorted(unknown)}")
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    reports: dict[str, tuple[DataFrame, str]] = {}
+    for name, needs in ANALYZERS.items():
+        if not all(x in inputs for x in needs):
+            continue
+        df = inputs[needs[0]]
+        if name == "temporal_ordering":
+            j = df.select("id", F.col("ts").alias("_f")).join(inputs["labels"].select("id", F.col("ts").alias("_l")), "id")
+            late = (us("_f") - us("_l") + int((horizon_s + tolerance_s) * 1e6)) / 1000
+            reports[name] = with_examples(j.select(F.lit("").alias("scope"), F.when(late > 0, late).alias("measure"), F.col("id").alias("example"))), "feature_ts,label_ts"
+        elif name in ("split_contamination", "fold_entities"):
+            group, item = ("split", "item") if name == "split_contamination" else ("fold", "entity")
+            reports[name] = _of_shared(df, group, item), item
+        elif name == "fold_embargo":
+            e = embargo(df, "fold", "ts", embargo_h).where("violation")
+            reports[name] = e.select(F.concat_ws("|", "a", "b").alias("scope"), F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("violations"), (embargo_h - F.col("gap_hours")).alias("worst"), F.array().cast("array<string>").alias("examples")), "ts"
+        elif name == "target_copies":
+            t = target_copies(df, [c for c in df.columns if c != "target"], "target").where("leak")
+            reports[name] = t.select(F.col("feature").alias("scope"), F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("violations"), F.greatest("equal_rate", "correlation").alias("worst"), F.array().cast("array<string>").alias("examples")), "target"
+        else:
+            reports[name] = _of_edges(df, "id", F.col("delay_ms"), edge_ms), "delay_ms"
+    out = None
+    for name, (df, columns) in reports.items():
+        one = _rated(df.where("violations > 0"), "violations", "n").withColumns({"analyzer": F.lit(name), "columns": F.lit(columns)})
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no analyzer has its inputs")
+    out = out.withColumn("incident_id", incident_id(F.col("analyzer"), F.concat_ws("|", "scope", "columns")))
+    names = ("incident_id", "analyzer", "scope", "columns", "n", "violations", "worst", "examples", "ratio", "confidence", "severity")
+    return out.select(*names).orderBy(F.desc(F.col("ratio") * F.col("confidence")), "incident_id").limit(most)
+
+
 def combined(reports: dict[str, DataFrame], most: int = 1000) -> DataFrame:
     """The findings of several analyzers by identity, the gravest first, at most `most` (LEAK-09, JOIN-14). Each report has ratio,
     confidence and severity."""

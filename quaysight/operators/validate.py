@@ -160,6 +160,12 @@ def summary(df: DataFrame, id_col: str) -> DataFrame:
     return v.groupBy("v.kind", "v.field").agg(F.count("*").alias("violations"), F.min(id_col).alias("first_row"))
 
 
+def top_fields(df: DataFrame, most: int = 10) -> DataFrame:
+    """The `most` fields with most violations, ties by name (AGG-45)."""
+    found = df.select(F.explode("violations").alias("v")).where("v.field IS NOT NULL").groupBy("v.field").agg(F.count("*").alias("violations"), F.count_distinct("v.kind").alias("kinds"))
+    return found.orderBy(F.desc("violations"), "field").limit(most)
+
+
 def totals(df: DataFrame) -> DataFrame:
     n, ok = F.count("*"), F.sum(passes().cast("long"))
     return df.agg(n.alias("rows"), ok.alias("passed"), F.round(ok / n, 6).alias("pass_rate"))
@@ -167,25 +173,39 @@ def totals(df: DataFrame) -> DataFrame:
 
 def did_you_mean(values: DataFrame, valid: DataFrame, least: float = 0.85, most: int = 3) -> DataFrame:
     """(value, valid, similarity): for each value the `most` valid ones of a similarity of at least `least`, 1 - edits / longer length
-    (JOIN-13). values has value, valid has valid; equal ones aren't proposed.
+    (JOIN-13). values has value, valid has valid; equal ones aren't proposed. Empty and null texts have no proposals.
 
-    Of a valid text that is cut into one piece more than edits are allowed, one piece stays whole within as many places: pieces are
-    joined, so that no pair in reach is lost and few others are compared. Empty and null texts have no proposals.
+    Texts one edit apart share a text from which one character at most is left out: such texts are joined, which takes rows in proportion
+    to the characters, whatever texts have in common. One edit is nearer than two or more, so that values with `most` of these are
+    done. The others are met by pieces: of a valid text that is cut into one piece more than edits are allowed, one piece stays
+    whole within as many places.
     """
+    goods = valid.select("valid").where("length(valid) > 0").distinct()
+    asked = values.select("value").where("length(value) > 0").distinct()
+    rated = F.round(1 - F.levenshtein("value", "valid") / F.greatest(F.length("value"), F.length("valid")), 6)
+    without = lambda c: F.array_distinct(F.concat(F.array(F.col(c)), F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(F.col(c), i + 1, F.length(c))))))
+    close = asked.select("value", F.explode(without("value")).alias("k")).join(goods.select("valid", F.explode(without("valid")).alias("k")), "k").where("value != valid AND levenshtein(value, valid) = 1")
+    close = close.select("value", "valid").distinct().withColumn("similarity", rated).where(F.col("similarity") >= least)
+    w = Window.partitionBy("value").orderBy(F.desc("similarity"), "valid")
+    first = close.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).drop("k")
+    done = first.groupBy("value").count().where(F.col("count") >= most).select("value")
+    far = _by_pieces(asked.join(done, "value", "left_anti"), goods, least).withColumn("similarity", rated).where(F.col("similarity") >= least)
+    return first.join(done, "value", "left_semi").unionByName(far.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).drop("k"))
+
+
+def _by_pieces(values: DataFrame, valid: DataFrame, least: float) -> DataFrame:
+    """(value, valid) that share a piece near its place, among them all pairs of a similarity of at least `least`."""
     edits = lambda n: F.floor((1 - least) / least * n + 1e-9).cast("int")  # noqa: E731  a text of n characters and one of n / least at most
     start = lambda n, i: F.floor(i * n / (edits(n) + 1)).cast("int")
     piece = lambda text, n, i, at: F.struct(n.alias("n"), i.alias("i"), F.substring(text, at + 1, start(n, i + 1) - start(n, i)).alias("piece"))
-    right = valid.select("valid").where("length(valid) > 0").distinct().withColumn("n", F.length("valid"))
+    right = valid.withColumn("n", F.length("valid"))
     right = right.select("valid", F.explode(F.transform(F.sequence(F.lit(0), edits(F.col("n"))), lambda i: piece(F.col("valid"), F.col("n"), i, start(F.col("n"), i)))).alias("k"))
     m = F.length("value")
     around = lambda n, i: F.sequence(F.greatest(F.lit(0), start(n, i) - edits(n)), start(n, i) + edits(n))
     of_length = lambda n: F.flatten(F.transform(F.sequence(F.lit(0), edits(n)), lambda i: F.transform(around(n, i), lambda at: piece(F.col("value"), n, i, at))))
     lengths = F.sequence(F.ceil(m * least - 1e-9).cast("int"), F.floor(m / least + 1e-9).cast("int"))
-    left = values.select("value").where("length(value) > 0").distinct().select("value", F.explode(F.array_distinct(F.flatten(F.transform(lengths, of_length)))).alias("k"))
-    met = left.join(right, "k").where("value != valid").select("value", "valid").distinct()
-    met = met.withColumn("similarity", F.round(1 - F.levenshtein("value", "valid") / F.greatest(F.length("value"), F.length("valid")), 6)).where(F.col("similarity") >= least)
-    w = Window.partitionBy("value").orderBy(F.desc("similarity"), "valid")
-    return met.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).drop("k")
+    left = values.select("value", F.explode(F.array_distinct(F.flatten(F.transform(lengths, of_length)))).alias("k"))
+    return left.join(right, "k").where("value != valid").select("value", "valid").distinct()
 
 
 def duplicates(df: DataFrame, keys: list[str], order: list[str], id_col: str) -> DataFrame:
