@@ -2,7 +2,7 @@
 
 Phrases are matched on the words of a text, tags on the text itself, by one automaton. A tag `SPDX-License-Identifier:` is followed,
 up to the end of its line, by an expression of identifiers, and, or, with and parentheses, which becomes the set of licences it
-names and whether all of them are open.
+names and whether all of them are open. Identifiers are taken in their usual spellings: a family and a version make one name.
 """
 
 from __future__ import annotations
@@ -40,7 +40,17 @@ NOTICES = {
     "creative commons attribution": "cc-by",
     "all rights reserved": "proprietary",
 }
-OPEN = {"mit", "apache-2.0", "apache-2", "isc", "bsd", "bsd-2-clause", "bsd-3-clause", "cc0-1.0", "unlicense", "cc-by", "cc-by-4.0", "zlib", "bsl-1.0", "mpl-2.0", "epl-2.0"}
+# Families of identifiers with the parts of their versions (as 2.0) or a form of their own, those of them that are open, and
+# names that stand for others.
+VERSIONED = {
+    "afl": 2, "agpl": 2, "apache": 2, "apsl": 2, "artistic": 2, "bsl": 2, "cc-by": 2, "cc-by-nc": 2, "cc-by-nc-nd": 2, "cc-by-nc-sa": 2, "cc-by-nd": 2, "cc-by-sa": 2, "cc0": 2, "cddl": 2, "cecill": 2, "cpl": 2, "ecl": 2, "efl": 1, "epl": 2, "eupl": 2,
+    "frameworx": 2, "gfdl": 2, "gpl": 2, "ijg": 0, "ipl": 2, "lgpl": 2, "lppl": 2, "lpl": 2, "mpl": 2, "ms-lpl": 0, "npl": 2, "odbl": 2, "ofl": 2, "osl": 2, "php": 2, "postgresql": 0, "psf": 2, "python": 2, "qpl": 2, "rpl": 2, "sgi-b": 2, "sissl": 2, "spl": 2, "sspl": 2, "upl": 2, "vsl": 2, "w3c": 0, "zpl": 2,
+}
+OPEN_FAMILIES = {"apache", "bsl", "cc-by", "cc0", "cddl", "ecl", "epl", "mpl", "ofl", "php", "psf", "python", "upl", "zpl", "artistic"}
+OPEN = {"mit", "apache-2", "isc", "bsd", "bsd-2-clause", "bsd-3-clause", "0bsd", "mit-0", "unlicense", "zlib", "cc-by", "postgresql", "ncsa", "x11", "curl", "icu", "ntp", "blueoak-1.0.0", "wtfpl"}
+ALIASES = {"expat": "mit", "asl": "apache", "gplv": "gpl", "lgplv": "lgpl", "agplv": "agpl", "mplv": "mpl", "new-bsd": "bsd-3-clause", "simplified-bsd": "bsd-2-clause", "freebsd": "bsd-2-clause", "boost": "bsl-1.0", "public-domain": "unlicense", "cc-zero": "cc0-1.0"}
+_VERSION = re.compile(r"^([a-z0-9-]*?[a-z0-9])[-_]?v?(\d+(?:\.\d+)*)(\+|-or-later|-only)?$")
+_BSD = re.compile(r"^bsd[-_]?([0-4])(?:[-_]?clause)?$")
 RANK = {"or": 1, "and": 2, "with": 3}
 TAG = "spdx-license-identifier:"
 _LINE_END = re.compile(r"[\r\n]")
@@ -50,6 +60,27 @@ _EXCEPTION = re.compile(r"\bwith\s+([a-z0-9.+-]+)")
 _TOKEN = re.compile(r"\(|\)|[a-z0-9.+-]+")
 
 
+@lru_cache(100_000)
+def canonical(name: str) -> str:
+    """The usual name of an identifier in small letters: gplv2+ and gpl-2.0-or-later are one. Unknown ones stay as they are."""
+    name = ALIASES.get(name, name)
+    if m := _BSD.match(name):
+        return "0bsd" if m[1] == "0" else f"bsd-{m[1]}-clause"
+    m = _VERSION.match(name)
+    family = m and ALIASES.get(m[1], m[1])
+    if family == "cc" or not m or family not in VERSIONED:
+        return name
+    parts = m[2].split(".")
+    version = ".".join(parts + ["0"] * (VERSIONED[family] - len(parts)))
+    return f"{family}-{version}" + {"+": "-or-later", None: ""}.get(m[3], m[3])
+
+
+def is_open(name: str) -> bool:
+    """Whether a canonical name is that of an open licence without conditions on derived works as a whole."""
+    m = _VERSION.match(name)
+    return name in OPEN or bool(m and m[1].rstrip("-") in OPEN_FAMILIES)
+
+
 @lru_cache(1)
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
@@ -79,7 +110,8 @@ def evaluate(expression: str) -> tuple[set[str], bool] | None:
         if operand and token == "(":
             stack.append(token)
         elif operand and token not in RANK and token != ")":
-            values.append(({token}, token in OPEN))
+            named = token if stack and stack[-1] == "with" else canonical(token)
+            values.append(({named}, is_open(named)))
             operand = False
         elif not operand and token in RANK:
             while stack and stack[-1] != "(" and RANK[stack[-1]] >= RANK[token]:

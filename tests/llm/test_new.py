@@ -383,3 +383,43 @@ def test_op9_rows_of_one_id(spark):
     assert [g for g in got if g[0] == 1] == [(1, 0, 60, 1, True)] * 2
     assert sorted({x for g in got if g[0] == 2 for x in range(g[1], g[2])}) == list(range(2, 122)) and {g[3:] for g in got if g[0] == 2} == {(1, False)}
     assert repeated(docs_of(spark, ODD)).count() == 0 and repeated(docs_of(spark, [])).count() == 0
+
+
+# 2 and 3
+
+
+def test_op2_spellings_of_identifiers():
+    from quaysight.llm import licenses
+
+    for name, want in (
+        ("gplv2+", "gpl-2.0-or-later"), ("gpl-2.0-or-later", "gpl-2.0-or-later"), ("gpl2", "gpl-2.0"), ("gpl-2.0-only", "gpl-2.0-only"), ("lgplv2.1", "lgpl-2.1"), ("apache2", "apache-2.0"), ("apache-2.0", "apache-2.0"), ("asl2", "apache-2.0"), ("cc-by-sa-4", "cc-by-sa-4.0"), ("cc0", "cc0"), ("cc0-1", "cc0-1.0"),
+        ("bsd3", "bsd-3-clause"), ("bsd-2-clause", "bsd-2-clause"), ("0bsd", "0bsd"), ("expat", "mit"), ("mit", "mit"), ("mit-0", "mit-0"), ("lib-7-license", "lib-7-license"), ("foo-1.0", "foo-1.0"), ("ofl-1.1", "ofl-1.1"), ("mpl-2", "mpl-2.0"),
+    ):
+        assert licenses.canonical(name) == want, name
+    assert licenses.evaluate("GPLv2+ OR Apache2") == ({"gpl-2.0-or-later", "apache-2.0"}, True) and licenses.evaluate("cc-by-nc-4.0 or gpl3") == ({"cc-by-nc-4.0", "gpl-3.0"}, False)
+    assert licenses.evaluate("gpl2 with bison-exception-2") == ({"gpl-2.0"}, False)
+
+
+def test_op3_precision_and_recall_on_planted_values(spark, sf_dir):
+    """Random values of 16 to 64 characters of four alphabets, and as many names made of words, behind sensitive words in real texts."""
+    from quaysight.llm import secrets
+
+    rng = random.Random(17)
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").where("n_chars > 500").limit(60).collect()]
+    alphabets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyz0123456789-_"]
+    hit, wrong, total = 0, 0, 400
+    for k in range(total):
+        text = rng.choice(texts)
+        at = text.find(" ", rng.randrange(len(text) - 100)) + 1
+        word = rng.choice(["credential ", "authorization: Bearer ", "private key ", "signature is ", "the access key "])
+        value = "".join(rng.choice(alphabets[k % 4]) for _ in range(rng.randrange(16, 65)))
+        if value[0] in "-_":
+            value = "a" + value[1:]
+        found = secrets.find(f"{text[:at]}{word}{value} {text[at:]}".encode())
+        start = len((text[:at] + word).encode())
+        hit += any(s <= start and e >= start + len(value) for s, _, e in found)
+        name = rng.choice(["_", "", "-"]).join(w.title() if k % 2 else w for w in rng.sample(secrets.WORDS, rng.randrange(3, 6)))
+        found = secrets.find(f"{text[:at]}{word}{name} {text[at:]}".encode())
+        wrong += any(s < start + len(name) and e > start for s, _, e in found)
+    recall, precision = hit / total, hit / max(hit + wrong, 1)
+    assert recall >= 0.95 and precision >= 0.95, (recall, precision)
