@@ -37,9 +37,10 @@ def _near(side: str, bps: int, sign: int) -> Column:
 
 
 def book_order_violations(books: DataFrame, depth: int = 10) -> DataFrame:
-    """Whether the first levels of each side are out of order as they stand (VAL-29), and whether the book is crossed (VAL-28)."""
+    """Whether the first levels of each side are out of order as they stand (VAL-29), and whether the book is crossed: its best bid above its
+    best ask (VAL-28)."""
     wrong = lambda side, bad: F.exists(F.zip_with(F.slice(side, 1, depth - 1), F.slice(side, 2, depth - 1), lambda a, b: F.coalesce(bad(a["price"], b["price"]), F.lit(False))), lambda x: x)
-    crossed = F.array_max(F.transform("bids", lambda x: x["price"])) >= F.array_min(F.transform("asks", lambda x: x["price"]))
+    crossed = F.array_max(F.transform("bids", lambda x: x["price"])) > F.array_min(F.transform("asks", lambda x: x["price"]))
     return books.withColumns({"bids_unordered": wrong("bids", lambda a, b: a < b), "asks_unordered": wrong("asks", lambda a, b: a > b), "crossed": F.coalesce(crossed, F.lit(False))})
 
 

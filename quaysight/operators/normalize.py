@@ -43,6 +43,19 @@ def levels(raw: Column) -> Column:
     return F.filter(raw, lambda x: (x["price"] > 0) & (x["quantity"] > 0))
 
 
+def level_pairs(raw: Column) -> Column:
+    """Book levels written as [price, quantity], texts or numbers, as structs with both above 0 (PRJ-03); what isn't a number goes."""
+    number = lambda x: x.try_cast("double")
+    pairs = F.transform(raw, lambda x: F.struct(number(F.get(x, F.lit(0))).alias("price"), number(F.get(x, F.lit(1))).alias("quantity")))
+    return levels(pairs)
+
+
+def level_maps(raw: Column) -> Column:
+    """As level_pairs, of an array of maps with price and quantity."""
+    number = lambda x, k: F.try_element_at(x, F.lit(k)).try_cast("double").alias(k)
+    return levels(F.transform(raw, lambda x: F.struct(number(x, "price"), number(x, "quantity"))))
+
+
 def canonical_symbol(venue: Column, symbol: Column) -> tuple[Column, Column]:
     """(BASE-QUOTE, confidence) inferred from a venue's symbol; null without a match (PRJ-07)."""
     s = F.upper(F.trim(symbol))
@@ -81,8 +94,11 @@ def symbol_registry(trades: DataFrame, as_of: Column) -> DataFrame:
     return out.withColumn("staleness", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (age - 5) / 55)))
 
 
-def market_structure(df: DataFrame) -> DataFrame:
-    """Alt dominance and volume to market cap ratios (PRJ-12). Columns: btc_dominance, eth_dominance, volume, market_cap."""
+def market_structure(df: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Alt dominance and volume to market cap ratios (PRJ-12). Columns: btc_dominance, eth_dominance, volume, market_cap; with as_of also
+    age_s, the seconds since ts."""
+    if as_of is not None:
+        df = df.withColumn("age_s", (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / 1000000)
     return df.withColumn("alt_dominance", 100 - F.col("btc_dominance") - F.col("eth_dominance")).withColumn("volume_ratio", F.when(F.col("market_cap") > 0, F.col("volume") / F.col("market_cap")).otherwise(0.0))
 
 

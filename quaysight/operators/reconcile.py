@@ -88,6 +88,24 @@ def intervals(stream: DataFrame, key: str, length: int = 200) -> DataFrame:
     return s.withColumn("jitter", 1.4826 * F.col("_mad")).withColumn("armed", (F.col("seen") >= 10) | F.coalesce(steady, F.lit(False))).drop("_mad", "_n", "_block", "_own", "positive")
 
 
+def percentile_gap(stream: DataFrame, key: str, share: float = 0.95, length: int = 100) -> DataFrame:
+    """Per arrival the gap before it, and that of rank share * n (rounded down, from 0) of the last `length` gaps in order of size (FRE-01);
+    null before the first gap."""
+    w = Window.partitionBy(key, "_block").orderBy("_n")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    s = blocks(stream, [key], "ts", ["ts", "id"], length + 1).withColumn("gap_s", (us - F.lag(us).over(w)) / 1000000)
+    gaps = F.array_sort(F.collect_list("gap_s").over(w.rowsBetween(-(length - 1), 0)))  # `length` values at most
+    return s.withColumn("p_gap_s", F.get(gaps, F.least(F.floor(F.size(gaps) * share), F.size(gaps) - 1).cast("int"))).where("_own").drop("_n", "_block", "_own")
+
+
+def slo_report(checks: DataFrame, stream: str, ts: str, age_s: Column, limit_s: Column) -> DataFrame:
+    """Per stream and ISO week: checks, violations (age above the limit), their compliance and the longest age (FRE-09). Checks without an
+    age are violations."""
+    late = F.coalesce(age_s > limit_s, F.lit(True))
+    out = checks.groupBy(F.col(stream).alias("stream"), F.extract(F.lit("YEAROFWEEK"), F.col(ts)).alias("year"), F.weekofyear(ts).alias("week")).agg(F.count("*").alias("checks"), F.count_if(late).alias("violations"), F.max(age_s).alias("longest_s"))
+    return out.withColumn("compliance", 1 - F.col("violations") / F.col("checks"))
+
+
 def threshold(bar: Column, jitter: Column, expected_s: Column, armed: Column) -> Column:
     """Seconds after which a stream is stale (FRE-02)."""
     held = lambda x: F.greatest(F.lit(10.0), F.least(F.lit(3600.0), x))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("market", "ops", "checks", "streams", "more", "landing", "extra", "timed", "found")
+MODULES = ("market", "ops", "checks", "streams", "more", "landing", "extra", "timed", "found", "rest")
 
 
 def _all(attribute: str) -> dict:

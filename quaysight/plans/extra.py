@@ -88,7 +88,7 @@ def prj_metric_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {VIEWS['levels']}, b AS (SELECT symbol, list_sort(list(price) FILTER (bid)) AS bids, list_sort(list(price) FILTER (NOT bid)) AS asks FROM levels GROUP BY 1)
-SELECT symbol, CASE WHEN symbol % 2 = 0 THEN len(list_distinct(bids[1:10])) > 1 ELSE false END AS bids_unordered, CASE WHEN symbol % 2 = 1 THEN len(list_distinct(list_reverse(asks)[1:10])) > 1 ELSE false END AS asks_unordered, coalesce(bids[len(bids)] >= asks[1], false) AS crossed FROM (SELECT symbol, coalesce(bids, []) AS bids, coalesce(asks, []) AS asks FROM b)"""
+SELECT symbol, CASE WHEN symbol % 2 = 0 THEN len(list_distinct(bids[1:10])) > 1 ELSE false END AS bids_unordered, CASE WHEN symbol % 2 = 1 THEN len(list_distinct(list_reverse(asks)[1:10])) > 1 ELSE false END AS asks_unordered, coalesce(bids[len(bids)] > asks[1], false) AS crossed FROM (SELECT symbol, coalesce(bids, []) AS bids, coalesce(asks, []) AS asks FROM b)"""
 )
 def val_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-28, VAL-29: books of even symbols have rising, of odd ones falling prices on both sides."""
