@@ -85,7 +85,7 @@ def prj_book_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, round(100 - a - b, 6) AS alt_dominance, round(CASE WHEN cap > 0 THEN o_totalprice / cap ELSE 0 END, 6) AS volume_ratio, (epoch_us(TIMESTAMP '2002-01-01') - epoch_us(o_orderdate)) / 1e6 AS age_s, round((epoch_us(o_orderdate) - epoch_us(TIMESTAMP '1996-01-01')) / 86400e6, 6) AS days
+    """SELECT o_orderkey, round(CAST(100 - a - b AS DOUBLE), 6) AS alt_dominance, round(CASE WHEN cap > 0 THEN o_totalprice / cap ELSE 0 END, 6) AS volume_ratio, (epoch_us(TIMESTAMP '2002-01-01') - epoch_us(o_orderdate)) / 1e6 AS age_s, round((epoch_us(o_orderdate) - epoch_us(TIMESTAMP '1996-01-01')) / 86400e6, 6) AS days
 FROM (SELECT *, o_orderkey % 60 + 0.5 AS a, o_custkey % 30 + 0.25 AS b, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_custkey * 1000.0 END AS cap FROM orders)"""
 )
 def prj_market_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,12 +148,12 @@ def val_analysed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH g AS (SELECT event_type, event_id, row_number() OVER o AS k, (epoch_us(ts) - epoch_us(lag(ts) OVER o)) / 1e6 AS gap_s FROM events WINDOW o AS (PARTITION BY event_type ORDER BY ts, event_id)), l AS (SELECT *, list_sort(list_filter(list(gap_s) OVER (PARTITION BY event_type ORDER BY k ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), lambda x: x IS NOT NULL)) AS s FROM g)
-SELECT event_type, event_id, round(gap_s, 4) AS gap_s, round(s[1 + least(CAST(floor(len(s) * 0.95) AS INT), len(s) - 1)], 4) AS p_gap_s FROM l"""
+SELECT event_type, event_id, round(gap_s, 6) AS gap_s, round(s[1 + least(CAST(floor(len(s) * 0.95) AS INT), len(s) - 1)], 6) AS p_gap_s FROM l"""
 )
 def fre_interval_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FRE-01: the 95th percentile of the last hundred intervals, by index."""
     e = table(spark, sf_dir, "events").select("event_type", F.col("event_id").alias("id"), "ts")
-    return rounded(reconcile.percentile_gap(e, "event_type").select("event_type", F.col("id").alias("event_id"), "gap_s", "p_gap_s"), 4)
+    return rounded(reconcile.percentile_gap(e, "event_type").select("event_type", F.col("id").alias("event_id"), "gap_s", "p_gap_s"), 6)
 
 
 @query("SELECT event_type AS stream, isoyear(ts) AS year, week(ts) AS week, count(*) AS checks, count(*) FILTER (value * 10 > 300) AS violations, round(max(value * 10), 6) AS longest_s, round(1 - count(*) FILTER (value * 10 > 300) / count(*), 6) AS compliance FROM events GROUP BY ALL")
