@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 BLOCK = 1024
 #: Temporary folders of local sessions, by application.
 _LOCAL: dict[str, str] = {}
+#: Tables that written() made and that still stand, in order.
+_STANDING: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,17 +36,37 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage and outlives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _STANDING.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def delete(df: DataFrame) -> None:
     """Removes a table that written() made and that nothing reads any more."""
-    spark = df.sparkSession
-    roots = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for root in roots:
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for root in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, root)
+        _STANDING[:] = [p for p in _STANDING if p.rsplit("/", 1)[-1] != root.rsplit("/", 1)[-1]]
+
+
+def standing() -> int:
+    """How many tables of written() stand: a mark for release()."""
+    return len(_STANDING)
+
+
+def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Removes the tables that were written after a mark, once what was computed from them has been saved; `keep` is a table that stays."""
+    kept = {f.rsplit("/", 2)[-2] for f in keep.inputFiles()} if keep is not None else set()
+    if keep is not None and not kept:
+        raise ValueError("the table that stays must have been written")
+    for path in _STANDING[since:]:
+        if path.rsplit("/", 1)[-1] not in kept:
+            _remove(spark, path)
+    _STANDING[since:] = [p for p in _STANDING[since:] if p.rsplit("/", 1)[-1] in kept]
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int = 1, most: int = 1_500_000) -> Iterator[pa.RecordBatch]:

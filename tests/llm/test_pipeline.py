@@ -69,3 +69,19 @@ def test_odd_columns(spark):
     assert corpus_pipeline.drop_contaminated(spark, docs, small).count() == 4
     assert [(r.n_tokens > 0, r.exact) for r in corpus_pipeline.encode(spark, docs.orderBy("doc_id"), small).collect()] == [(False, True), (False, True), (True, True), (True, True)]
     assert corpus_pipeline.redact_secrets(spark, docs.limit(0), small).count() == 0
+
+
+def test_run_leaves_no_spent_tables(spark, stages):
+    """After run() the shared folder has one more table than before, of those that written() makes: what the last stage reads."""
+    import os
+
+    from quaysight.llm import common
+
+    folder = common.shared_dir(spark).removeprefix("file:")
+    before, mark = set(os.listdir(folder)), common.standing()
+    found = corpus_pipeline.run(spark, SF)
+    left = set(os.listdir(folder)) - before
+    assert {n.rsplit("-", 1)[0] for n in left} == {"stage3"} and common.standing() == mark + 1
+    assert found.count() == stages[-1].count()
+    common.release(spark, mark)
+    assert set(os.listdir(folder)) == before
