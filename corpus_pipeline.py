@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaysight.llm import pieces, quality, secrets
-from quaysight.llm.common import delete, written
+from quaysight.llm.common import release, standing, written
 from quaysight.llm.simhash import simhash_survivors
 from quaysight.llm.winnow import decontaminate
 
@@ -73,13 +73,11 @@ STAGES = [("quality classifier", keep_quality), ("SimHash near-dedup", drop_near
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; what a stage has read goes once it is written."""
-    docs, spent = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    """The last stage's rows. Once a stage is written, all tables that it has read or made on its way are removed."""
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), standing()
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = written(docs, f"stage{i}")
-            if spent is not None:
-                delete(spent)
-            spent = docs
+            release(spark, since, docs)
     return docs
