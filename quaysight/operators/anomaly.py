@@ -74,17 +74,28 @@ def severity(x: Column, limits: tuple[float, float, float]) -> Column:
     return F.when(x >= limits[2], "critical").when(x >= limits[1], "high").when(x >= limits[0], "medium").otherwise("low")
 
 
-def spikes(stats: DataFrame, z: float, least: int, run: int = 1, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
-    """Values more than z deviations from the mean once there are `least`, in at least `run` rows running (ANO-03, ANO-05, ANO-06)."""
+def spikes(stats: DataFrame, z: float, least: int, run: int = 1, keys: list[str] | None = None, order: list[str] | None = None, within: int | None = None) -> DataFrame:
+    """Values more than z deviations from the mean once there are `least`, in at least `run` rows running (ANO-03, ANO-05, ANO-06); with
+    `within`, in at least `run` of so many rows up to the value's, which is one of them."""
     score = F.when((F.col("n") >= least) & (F.col("sd") > 0), F.abs(F.col("value") - F.col("mean")) / F.col("sd"))
     out = stats.withColumn("z", score).withColumn("breach", F.coalesce(F.col("z") > z, F.lit(False)))
     if run > 1:
-        w = Window.partitionBy(*keys, "_block").orderBy("_n").rowsBetween(-(run - 1), 0)
-        out = blocks(out, keys, order[0], order, run).withColumn("breach", (F.min(F.col("breach").cast("int")).over(w) == 1) & (F.count("*").over(w) == run))
+        reach = max(run, within or run)
+        w = Window.partitionBy(*keys, "_block").orderBy("_n").rowsBetween(-(reach - 1), 0)
+        out = blocks(out, keys, order[0], order, reach).withColumn("breach", F.col("breach") & (F.sum(F.col("breach").cast("int")).over(w) >= run))
         out = out.where("_own").drop("_n", "_block", "_own")
     return out.where("breach").withColumn("severity", severity(F.col("z"), (4, 6, 10))).drop("breach")
 
 
+def robust_spikes(series: DataFrame, keys: list[str], order: list[str], z: float = 3, length: int = 100, least: int = 100) -> DataFrame:
+    """Values more than z robust deviations, 1.4826 times the median absolute one, from the median of the last `length` values, once there
+    are `least` (ANO-03). A deviation of 0 gives none."""
+    w = Window.partitionBy(*keys, "_block").orderBy("_n").rowsBetween(-(length - 1), 0)
+    s = middles(blocks(series, keys, order[0], order, length).withColumn("n", F.count("value").over(w)), "value", w, "median", "mad").where("_own").drop("_n", "_block", "_own")
+    score = F.when((F.col("n") >= least) & (F.col("mad") > 0), F.abs(F.col("value") - F.col("median")) / (1.4826 * F.col("mad")))
+    return s.withColumn("z", score).where(F.col("z") > z).withColumn("severity", severity(F.col("z"), (4, 6, 10)))
+
+
 def flatlines(series: DataFrame, keys: list[str], order: list[str], least: int = 10) -> DataFrame:
     """Runs of at least so many equal values, by islands between changes (ANO-08)."""
     before = F.col("_before.value")

@@ -129,3 +129,24 @@ def ano_flat_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "events").select("event_type", "ts", "event_id", F.when(i % 800 < 400, 5.0).when(i % 1600 < 800, 5.005).otherwise(5.5).alias("value"))
     found = anomaly.level_shifts(s, ["event_type"], ["ts", "event_id"], 50)
     return rounded(found.where("flat").select("event_type", "event_id", "shift"), 6)
+
+
+@query(
+    """WITH w AS (SELECT event_type, event_id, value, row_number() OVER o AS n, list(value) OVER (o ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS l FROM events WINDOW o AS (PARTITION BY event_type ORDER BY ts, event_id)),
+m AS (SELECT *, list_aggregate(l, 'median') AS med FROM w WHERE n >= 60), d AS (SELECT *, 1.4826 * list_aggregate(list_transform(l, lambda x: abs(x - med)), 'median') AS sd FROM m)
+SELECT event_type, event_id, round(abs(value - med) / sd, 6) AS z FROM d WHERE sd > 0 AND abs(value - med) / sd > 4"""
+)
+def ano_robust_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ANO-03: spikes by median and median absolute deviation of the last sixty values."""
+    s = table(spark, sf_dir, "events").select("event_type", "event_id", "ts", "value")
+    return rounded(anomaly.robust_spikes(s, ["event_type"], ["ts", "event_id"], 4, 60, 60).select("event_type", "event_id", "z"), 6)
+
+
+@query(
+    """WITH t AS (SELECT event_type, event_id, ts, value, count(value) OVER w AS n, avg(value) OVER w AS m, stddev_samp(value) OVER w AS sd FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 549 PRECEDING AND CURRENT ROW)),
+b AS (SELECT *, (n >= 100 AND sd > 0 AND abs(value - m) / sd > 1)::INT AS hit FROM t), s AS (SELECT *, sum(hit) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS hits FROM b) SELECT event_type, event_id FROM s WHERE hit = 1 AND hits >= 4"""
+)
+def ano_debounced_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ANO-05: breaches of which there are four among the last ten rows."""
+    s = anomaly.statistics(table(spark, sf_dir, "events").select("event_type", "event_id", "ts", "value"), ["event_type"], ["ts", "event_id"])
+    return anomaly.spikes(s, 1, 100, 4, ["event_type"], ["ts", "event_id"], 10).select("event_type", "event_id")
