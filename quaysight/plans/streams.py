@@ -36,7 +36,7 @@ _CLOSED = "bar_us + 3600000000 <= (SELECT epoch_us(max(ts)) - 5000000 FROM event
 SELECT venue, symbol, make_timestamp(bar_us) AS bar_start, arg_min(price, {{'a': us, 'b': trade_id}}) AS open, max(price) AS high, min(price) AS low, arg_max(price, {{'a': us, 'b': trade_id}}) AS close, sum(quantity) AS volume, count(*) AS trade_count, CAST(coalesce(sum(tick), 0) AS BIGINT) AS tick_count FROM t WHERE {_CLOSED} GROUP BY venue, symbol, bar_us"""
 )
 def str_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-01 to STR-04: the bars that the watermark has closed."""
+    """STR-01, STR-02: the bars that the watermark has closed."""
     e = _events(spark, sf_dir)
     trades = e.select(F.col("event_type").alias("venue"), F.concat(F.lit("S"), (F.col("user_id") % 10).cast("string")).alias("symbol"), F.col("event_id").alias("trade_id"), "ts", F.col("value").alias("price"), (F.get_json_object("props", "$.k").cast("double") + 1).alias("quantity"))
     return st.drained(st.bars(trades, ["venue", "symbol"], "1 hour"))
@@ -69,7 +69,7 @@ def str_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH l AS (SELECT conv_id, turn, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations) SELECT conv_id, turn, before, role FROM l WHERE before IS NOT NULL AND NOT ((before = 'user' AND role = 'assistant') OR (before = 'system' AND role = 'user'))")
 def str_status_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-12 in batch form: roles that don't follow from the one before."""
+    """STR-12, in batch form only: roles that don't follow from the one before."""
     from pyspark.sql import Window
 
     c = table(spark, sf_dir, "conversations").withColumn("before", F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn")))
