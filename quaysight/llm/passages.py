@@ -8,7 +8,8 @@ the place only, so that two texts that share SPAN = LEAST + REACH words share a
 
 A shared run of SPAN words lies within REACH words of its unit. So a unit is counted with the words up to REACH before and behind
 it, its surroundings. Where a unit has one kind of surroundings, all of them are shared; where it has several, the windows of SPAN
-words in each kind are counted too, REACH + 1 per kind. What comes out is exact: the words of each shared run of SPAN or more.
+words in each kind are counted too, each under the smallest of its units. What comes out is exact: the words of each shared run of
+SPAN or more.
 
 Of a component, or of a window, the smallest document keeps its words; in the others they are repeats. This is decided word by word:
 a word belongs to the smallest document that has one of the paragraphs (to 0.8) or windows that it lies in. What a near copy of a
@@ -33,13 +34,22 @@ BANDS, ROWS = 10, 3
 _FACTORS = np.random.default_rng(K).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def places(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Where units start. doc: where each document starts, and the end of the last one."""
+def places(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where units start, a hash of each place by which they are chosen). doc: where each document starts, and the end of the last one."""
     if len(hashes) < LEAST:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     mixed = (spread(gram_hashes(hashes, K).view(np.uint64), 7) >> np.uint64(1)).view(np.int64)[: len(hashes) - LEAST + 1]
     at = np.flatnonzero(winnowed(mixed, REACH + 1))
-    return at[at + LEAST <= doc[np.searchsorted(doc, at, side="right").clip(max=len(doc) - 1)]]
+    return at[at + LEAST <= doc[np.searchsorted(doc, at, side="right").clip(max=len(doc) - 1)]], mixed
+
+
+def led(mixed: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least, most) words before each place with which a window of REACH + 1 places has the place as its first smallest one."""
+    left, right = np.full(len(at), REACH + 1), np.full(len(at), REACH + 1)
+    for j in range(REACH, 0, -1):
+        left[mixed[np.maximum(at - j, 0)] <= mixed[at]] = j
+        right[mixed[np.minimum(at + j, len(mixed) - 1)] < mixed[at]] = j
+    return REACH + 1 - right, left - 1
 
 
 def names_of(grams: np.ndarray, at: np.ndarray, size: int, seed: np.ndarray | int, lo: np.ndarray | None = None, hi: np.ndarray | None = None) -> np.ndarray:
@@ -64,6 +74,43 @@ def band_keys(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
+#: Sets of so many shingles or fewer are similar to 0.8 only if they are equal.
+FEW = 3
+
+
+def few_keys(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A key of the set of shingles of each paragraph that has FEW at most, in any order and number."""
+    sets = np.sort(grams[np.minimum(lo[:, None] + np.arange(FEW), hi[:, None] - 1)], axis=1)
+    sets[:, 1:][sets[:, 1:] == sets[:, :-1]] = np.iinfo(np.uint64).max
+    key = np.full(len(lo), 7, np.uint64)
+    for column in np.sort(sets, axis=1).T:
+        key = spread(key ^ column, 11)
+    return key.view(np.int64)
+
+
+def keys_of(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys one paragraph after the other, their numbers): the bands of paragraphs of more than FEW shingles, else one key of the set; a
+    paragraph that repeats FEW shingles at most has both."""
+    many, number = hi - lo > FEW, np.ones(len(lo), np.int64)
+    few = few_keys(grams, lo, np.minimum(hi, lo + FEW))  # of others overwritten below
+    first = np.sort(grams[np.minimum(lo[:, None] + np.arange(FEW + 1), hi[:, None] - 1)], axis=1)
+    odd = np.flatnonzero(many & (first[:, 1:] == first[:, :-1]).any(axis=1))
+    both = np.zeros(len(lo), bool)
+    for k in odd.tolist():
+        own = np.unique(grams[lo[k] : hi[k]])
+        if len(own) <= FEW:
+            both[k] = True
+            few[k] = few_keys(own, np.zeros(1, np.int64), np.array([len(own)]))[0]
+    number[many] = BANDS + both[many]
+    ends = np.cumsum(number)
+    keys = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+    keys[(ends - 1)[~many | both]] = few[~many | both]
+    if many.any():
+        at = (ends - number)[many]
+        keys[(at[:, None] + np.arange(BANDS)).ravel()] = band_keys(grams, lo[many], hi[many]).ravel()
+    return keys, number
+
+
 class Slice:
     """Of a slice of documents: grams, the shingle hashes of all words; doc, where documents start; the units (at, name, around: a hash
     of the unit with its surroundings, before and behind: their words) and the paragraphs of at least `least` words (lo, hi of their
@@ -79,7 +126,7 @@ class Slice:
             doc.append(len(words))
         hashes, para, self.doc = word_hashes(words), np.array(para, np.int64), np.array(doc, np.int64)
         self.ids, self.grams = batch.column(0), gram_hashes(hashes, K).view(np.uint64)
-        self.at = places(hashes, self.doc)
+        self.at, self.mixed = places(hashes, self.doc)
         of = self.of(self.at)
         lo, hi = self.doc[of], self.doc[of + 1]
         self.before, self.behind = np.minimum(self.at - lo, REACH), np.minimum(hi - self.at - LEAST, REACH)
@@ -115,8 +162,9 @@ def unit_counts(docs: DataFrame, least: int) -> DataFrame:
 
 
 def windows(docs: DataFrame, least: int, wanted: DataFrame) -> DataFrame:
-    """(around, k, window): the names of the windows of SPAN words that start k words before the unit, for the surroundings in wanted
-    (around, first), each taken from its first document."""
+    """(around, k, window): the names of the windows of SPAN words that start k words before the unit and have no unit before it in order,
+    for the surroundings in wanted (around, first), each taken from its first document. So each window has one unit, which is the
+    same wherever the window lies."""
     shared = docs.sparkSession.sparkContext.broadcast([bit_filter(wanted, c, bits_for(wanted.count())) for c in ("first", "around")])  # of a bounded size
 
     def run(batches):
@@ -126,8 +174,9 @@ def windows(docs: DataFrame, least: int, wanted: DataFrame) -> DataFrame:
             for s in _slices([some], least):
                 keep = np.flatnonzero(in_filter(arounds, s.around))
                 keep = keep[np.unique(np.stack([s.of(s.at[keep]), s.around[keep]]), axis=1, return_index=True)[1]]
+                low, high = led(s.mixed, s.at[keep]) if len(keep) else (keep, keep)
                 for k in range(REACH + 1):
-                    u = keep[(s.before[keep] >= k) & (s.behind[keep] >= REACH - k)]
+                    u = keep[(s.before[keep] >= k) & (s.behind[keep] >= REACH - k) & (low <= k) & (k <= high)]
                     yield pa.RecordBatch.from_arrays([s.row(s.at[u]), pa.array(s.around[u]), pa.array(np.full(len(u), k, np.int32)), pa.array(names_of(s.grams, s.at[u] - k, SPAN, 2))], names=["first", "around", "k", "window"])
 
     return docs.mapInArrow(run, "first long, around long, k int, window long").join(wanted, ["around", "first"], "left_semi").select("around", "k", "window")
@@ -139,8 +188,8 @@ def paragraphs(docs: DataFrame, least: int) -> DataFrame:
     def run(batches):
         for s in _slices(batches, least):
             if len(s.lo):
-                keys = band_keys(s.grams, s.lo, s.hi).ravel()
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32)), pa.array(keys))
+                keys, number = keys_of(s.grams, s.lo, s.hi)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(number)).astype(np.int32)), pa.array(keys))
                 yield pa.RecordBatch.from_arrays([s.row(s.lo), pa.array(s.name), lists], names=["id", "name", "keys"])
 
     return docs.mapInArrow(run, "id long, name long, keys array<long>")
