@@ -15,6 +15,15 @@ from quaysight.streaming import late, timers
 T0 = dt.datetime(2024, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Each partition of a stateful operator starts a worker in each micro-batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def landed(spark, rows, schema, cut):
     """rows in micro-batches; cut: the number of each row's by its place."""
     path = io.scratch(spark, "landed")
