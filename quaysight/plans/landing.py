@@ -52,7 +52,11 @@ def prj_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "kind", "amount", F.array_join(landing.unexpected(F.col("line"), ["known"]), ",").alias("unexpected"))
 
 
-@query(f"WITH {VIEWS['trades']}, v AS (SELECT trade_id, 'above_maximum' AS kind FROM trades WHERE price > 1e7 UNION ALL SELECT trade_id, 'implausible_time' FROM trades WHERE abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-15')) > 7 * 86400000000) SELECT kind, count(*) AS violations, min(trade_id) AS first_row FROM v GROUP BY 1")
+@query(
+    f"""WITH {VIEWS['trades']}, v AS (SELECT trade_id, unnest([CASE WHEN venue IS NULL THEN 'missing:venue' END, CASE WHEN symbol IS NULL THEN 'missing:symbol' END, CASE WHEN price IS NULL THEN 'missing:price' END, CASE WHEN price < 1e-12 THEN 'below_minimum:price' END, CASE WHEN price > 1e7 THEN 'above_maximum:price' END,
+ CASE WHEN quantity IS NULL THEN 'missing:quantity' END, CASE WHEN quantity < 1e-12 THEN 'below_minimum:quantity' END, CASE WHEN lower(side) NOT IN ('buy', 'sell') THEN 'not_allowed:side' END, CASE WHEN trade_id IS NULL THEN 'key_missing:trade_id' END, CASE WHEN abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-15')) > 7 * 86400000000 THEN 'implausible_time:ts' END]) AS broken FROM trades)
+SELECT split_part(broken, ':', 1) AS kind, count(*) AS violations, min(trade_id) AS first_row FROM v WHERE broken IS NOT NULL GROUP BY broken"""
+)
 def val_trade_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VAL-30, VAL-31, VAL-35."""
     v = validate.violations(adapters.trades(spark, sf_dir), landing.trade_schema(F.lit("2024-01-15").cast("timestamp"), 7 * 24))
