@@ -69,9 +69,9 @@ def join_related_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 p AS (SELECT a.g || '|' || b.g AS scope, a.size AS sa, b.size AS sb, (SELECT count(*) FROM s WHERE list_contains(gs, a.g) AND list_contains(gs, b.g)) AS v FROM z a JOIN z b ON a.g < b.g),
 f AS (SELECT 'split_contamination' AS analyzer, scope, least(sa, sb) AS n, v AS violations FROM p WHERE v > 0
 UNION ALL SELECT 'temporal_ordering', '', count(*), count(*) FILTER (o_orderdate > l_shipdate - INTERVAL 50 MILLISECOND) FROM lineitem JOIN orders ON l_orderkey = o_orderkey HAVING count(*) FILTER (o_orderdate > l_shipdate - INTERVAL 50 MILLISECOND) > 0
-UNION ALL SELECT 'execution_edge', '', count(*), count(*) FILTER (value * 10 < 100) FROM events UNION ALL SELECT 'mempool_edge', '', count(*), count(*) FILTER (value < 1) FROM (SELECT value * 100 AS value FROM events) HAVING count(*) FILTER (value < 1) > 0
+UNION ALL SELECT 'execution_edge', '', count(*), count(*) FILTER (value * 10 < 100) FROM events WHERE value * 10 >= 0 HAVING count(*) FILTER (value * 10 < 100) > 0 UNION ALL SELECT 'mempool_edge', '', count(*), count(*) FILTER (value * 100 < 100) FROM events WHERE value * 100 >= 0 HAVING count(*) FILTER (value * 100 < 100) > 0
 UNION ALL SELECT 'fold_embargo', a.f || '|' || b.f, 1, 1 FROM (SELECT CAST(day(ts) % 3 AS VARCHAR) AS f, min(ts) AS lo, max(ts) AS hi FROM events GROUP BY 1) a JOIN (SELECT CAST(day(ts) % 3 AS VARCHAR) AS f, min(ts) AS lo, max(ts) AS hi FROM events GROUP BY 1) b ON a.f < b.f WHERE (greatest(epoch_us(a.lo), epoch_us(b.lo)) - least(epoch_us(a.hi), epoch_us(b.hi))) / 3.6e9 < 24
-UNION ALL SELECT 'target_copies', 'copy', 1, 1), e AS (SELECT DISTINCT CAST(day(ts) % 3 AS VARCHAR) AS f, user_id FROM events), es AS (SELECT f, count(*) AS size FROM e GROUP BY 1), ep AS (SELECT a.f || '|' || b.f AS scope, count(*) AS v, a.f AS fa, b.f AS fb FROM e a JOIN e b ON a.user_id = b.user_id AND a.f < b.f GROUP BY ALL)
+UNION ALL SELECT 'target_copies', feature, 1, 1 FROM (SELECT feature, avg((abs(x - y) <= 1e-10)::INT) AS same, abs(corr(x, y)) AS r, avg(abs(x - y)) / CASE WHEN stddev_pop(y) > 0 THEN stddev_pop(y) ELSE 1 END AS nmae FROM (SELECT 'discount' AS feature, l_discount AS x, l_extendedprice AS y FROM lineitem UNION ALL SELECT 'copy', l_extendedprice, l_extendedprice FROM lineitem) GROUP BY 1) WHERE same > 0.95 OR (same > 0.1 AND r > 0.99) OR nmae < 0.1), e AS (SELECT DISTINCT CAST(day(ts) % 3 AS VARCHAR) AS f, user_id FROM events), es AS (SELECT f, count(*) AS size FROM e GROUP BY 1), ep AS (SELECT a.f || '|' || b.f AS scope, count(*) AS v, a.f AS fa, b.f AS fb FROM e a JOIN e b ON a.user_id = b.user_id AND a.f < b.f GROUP BY ALL)
 SELECT analyzer, scope, n, violations FROM f UNION ALL SELECT 'fold_entities', scope, least(x.size, y.size), v FROM ep JOIN es x ON x.f = fa JOIN es y ON y.f = fb"""
 )
 def leak_every_analyzer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,7 @@ def leak_every_analyzer(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = lambda factor: events.select(F.col("event_id").alias("id"), (F.col("value") * factor).alias("delay_ms"))
     found = leakage.analyze({
         "features": orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts")), "labels": lines.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("ts")),
-        "splits": docs.select(split.alias("split"), F.col("text").alias("item")), "execution": delay(10), "mempool": delay(100).where("delay_ms < 1 OR delay_ms >= 100"),
+        "splits": docs.select(split.alias("split"), F.col("text").alias("item")), "execution": delay(10), "mempool": delay(100),
         "folds": events.select((F.dayofmonth("ts") % 3).cast("string").alias("fold"), F.col("user_id").alias("entity"), "ts"),
         "numbers": lines.select(F.col("l_extendedprice").alias("target"), F.col("l_discount").alias("discount"), F.col("l_extendedprice").alias("copy")),
     })

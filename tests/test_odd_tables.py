@@ -50,3 +50,17 @@ def test_trade_schema_by_every_rule(spark, changed):
     kinds = {(r.kind, r.violations, r.first_row) for r in agrees(spark, folder, "val_trade_schema") if r.kind != "implausible_time"}
     assert {("below_minimum", 1, 8), ("above_maximum", 1, 5), ("missing", 1, 6), ("missing", 1, 7), ("missing", 1, 9), ("missing", 1, 10)} <= kinds
     assert any(kind == "below_minimum" and n >= 2 for kind, n, _ in kinds)
+
+
+def test_every_analyzer_counts_all_delays(spark, changed):
+    i = F.col("event_id")
+    folder = changed(events=lambda e: e.withColumn("value", F.when(i % 10 == 0, 0.5).when(i % 10 == 1, 0.001).when(i == 2, -1.0).otherwise(20.0)))
+    found = {r.analyzer: (r.n, r.violations) for r in agrees(spark, folder, "leak_every_analyzer")}
+    n = spark.read.parquet(f"{folder}/events.parquet").count()
+    assert found["mempool_edge"] == (n - 1, n // 5) == found["execution_edge"]
+
+
+def test_every_analyzer_without_fast_delays_or_copies(spark, changed):
+    folder = changed(events=lambda e: e.withColumn("value", F.lit(20.0)), lineitem=lambda x: x.withColumn("l_discount", F.col("l_extendedprice")))
+    found = {(r.analyzer, r.scope) for r in agrees(spark, folder, "leak_every_analyzer")}
+    assert not {a for a, _ in found} & {"mempool_edge", "execution_edge"} and {("target_copies", "discount"), ("target_copies", "copy")} <= found
