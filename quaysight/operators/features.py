@@ -62,7 +62,7 @@ def foundation(bars: DataFrame, key: str = "symbol", as_of: Column | None = None
 
 def momentum(bars: DataFrame, key: str = "symbol", history: int = 168) -> DataFrame:
     """Horizon momentum, trend, strength, acceleration, volume confirmation and divergences of hourly bars; rows from `history` bars
-    on. bars: key, bar_start, close, volume."""
+    on. bars: key, bar_start, close, volume. A slope within 1e-9 of the mean is flat, so that the order of additions doesn't show."""
     w = Window.partitionBy(key, "_block").orderBy("_n")
     last = lambda n, skip=0: w.rowsBetween(-(n - 1) - skip, -skip)
     b = blocks(bars, [key], "bar_start", ["bar_start"], max(history, 168) + 1, 2048).withColumn("bars", F.col("_n").cast("int"))
@@ -79,7 +79,8 @@ def momentum(bars: DataFrame, key: str = "symbol", history: int = 168) -> DataFr
     change9 = F.when(past(9) > 0, (close / past(9) - 1) * 100)
     vol_ratio = F.avg("volume").over(last(10)) / F.avg("volume").over(last(10, 10))
     confirm = F.when(n < 20, 0.5).when((F.abs(change9) > 1) & (vol_ratio > 1.2), 0.8).when((F.abs(change9) > 1) & (vol_ratio > 1.0), 0.6).when(F.abs(change9) > 1, 0.4).otherwise(0.5)
-    price_up, volume_up = F.regr_slope("close", "bars").over(last(20)) > 0, F.regr_slope("volume", "bars").over(last(20)) > 0
+    rises = lambda c: F.regr_slope(c, "bars").over(last(20)) > 1e-9 * F.avg(c).over(last(20))
+    price_up, volume_up = rises("close"), rises("volume")
     mean_abs = F.aggregate(hs, F.lit(0.0), lambda s, x: s + F.abs(x)) / 4
     long = F.col("momentum_1d")
     b = b.withColumns({

@@ -103,12 +103,12 @@ def win_foundation_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {VIEWS['trades']}, {bars_sql({'1h': 3600}, 'symbol')},
 b AS (SELECT symbol, bar_start, close, volume, row_number() OVER w AS bars, {', '.join(f"CASE WHEN lag(close, {k}) OVER w > 0 THEN (close / lag(close, {k}) OVER w - 1) * 100 ELSE 0 END AS momentum_{n}" for n, k in (('1h', 1), ('4h', 4), ('1d', 24), ('1w', 168)))},
  lag(close, 4) OVER w AS c4, lag(close, 8) OVER w AS c8, lag(close, 9) OVER w AS c9 FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY bar_start)),
-f AS (SELECT *, regr_slope(close, bars) OVER h / avg(close) OVER h * 100 AS slope_pct, regr_slope(close, bars) OVER s > 0 AS pu, regr_slope(volume, bars) OVER s > 0 AS vu, avg(volume) OVER (PARTITION BY symbol ORDER BY bar_start ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) / avg(volume) OVER (PARTITION BY symbol ORDER BY bar_start ROWS BETWEEN 19 PRECEDING AND 10 PRECEDING) AS vr,
+f AS (SELECT *, regr_slope(close, bars) OVER h / avg(close) OVER h * 100 AS slope_pct, regr_slope(close, bars) OVER s > 1e-9 * avg(close) OVER s AS pu, regr_slope(volume, bars) OVER s > 1e-9 * avg(volume) OVER s AS vu, avg(volume) OVER (PARTITION BY symbol ORDER BY bar_start ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) / avg(volume) OVER (PARTITION BY symbol ORDER BY bar_start ROWS BETWEEN 19 PRECEDING AND 10 PRECEDING) AS vr,
  greatest((momentum_1h > 0)::INT + (momentum_4h > 0)::INT + (momentum_1d > 0)::INT + (momentum_1w > 0)::INT, (momentum_1h < 0)::INT + (momentum_4h < 0)::INT + (momentum_1d < 0)::INT + (momentum_1w < 0)::INT) / 4 AS trend_confidence
  FROM b WINDOW h AS (PARTITION BY symbol ORDER BY bar_start ROWS BETWEEN 167 PRECEDING AND CURRENT ROW), s AS (PARTITION BY symbol ORDER BY bar_start ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
-g AS (SELECT *, trend_confidence * least((abs(momentum_1h) + abs(momentum_4h) + abs(momentum_1d) + abs(momentum_1w)) / 4 / 10, 1.0) AS strength, CASE WHEN bars < 20 THEN 0.5 WHEN abs((close / c9 - 1) * 100) > 1 AND vr > 1.2 THEN 0.8 WHEN abs((close / c9 - 1) * 100) > 1 AND vr > 1.0 THEN 0.6 WHEN abs((close / c9 - 1) * 100) > 1 THEN 0.4 ELSE 0.5 END AS volume_confirmation FROM f)
+g AS (SELECT *, trend_confidence * least((abs(momentum_1h) + abs(momentum_4h) + abs(momentum_1d) + abs(momentum_1w)) / 4 / 10, 1.0) AS strength, CASE WHEN bars < 20 OR c9 <= 0 THEN 0.5 WHEN abs((close / c9 - 1) * 100) > 1 AND vr > 1.2 THEN 0.8 WHEN abs((close / c9 - 1) * 100) > 1 AND vr > 1.0 THEN 0.6 WHEN abs((close / c9 - 1) * 100) > 1 THEN 0.4 ELSE 0.5 END AS volume_confirmation FROM f)
 SELECT symbol, bar_start, bars, round(momentum_1h, 7) + 0.0 AS momentum_1h, round(momentum_4h, 7) + 0.0 AS momentum_4h, round(momentum_1d, 7) + 0.0 AS momentum_1d, round(momentum_1w, 7) + 0.0 AS momentum_1w, round(slope_pct, 7) + 0.0 AS slope_pct, round(trend_confidence, 7) AS trend_confidence,
- CASE WHEN slope_pct > 0.1 THEN 'up' WHEN slope_pct < -0.1 THEN 'down' ELSE 'sideways' END AS trend, round(least(abs(slope_pct) / 5, 1.0), 7) AS trend_strength, round(strength, 7) AS strength, round(((close / c4 - 1) - (c4 / c8 - 1)) * 100, 7) + 0.0 AS acceleration, CAST(volume_confirmation AS DOUBLE) AS volume_confirmation,
+ CASE WHEN slope_pct > 0.1 THEN 'up' WHEN slope_pct < -0.1 THEN 'down' ELSE 'sideways' END AS trend, round(least(abs(slope_pct) / 5, 1.0), 7) AS trend_strength, round(strength, 7) AS strength, round(CASE WHEN c4 > 0 AND c8 > 0 THEN ((close / c4 - 1) - (c4 / c8 - 1)) * 100 ELSE 0 END, 7) + 0.0 AS acceleration, CAST(volume_confirmation AS DOUBLE) AS volume_confirmation,
  CAST(CASE WHEN bars < 20 THEN 0.0 WHEN pu AND NOT vu THEN -0.7 WHEN NOT pu AND vu THEN 0.7 ELSE 0.0 END AS DOUBLE) AS price_volume_divergence, round(CASE WHEN abs(momentum_1d) < 0.1 THEN 0 ELSE greatest(-1.0, least(1.0, (momentum_1h - momentum_1d) / abs(momentum_1d))) END, 7) + 0.0 AS horizon_divergence,
  round(least(bars / 168, 1.0) * (trend_confidence + strength + volume_confirmation) / 3, 7) AS confidence FROM g WHERE bars >= 168"""
 )

@@ -64,3 +64,22 @@ def test_every_analyzer_without_fast_delays_or_copies(spark, changed):
     folder = changed(events=lambda e: e.withColumn("value", F.lit(20.0)), lineitem=lambda x: x.withColumn("l_discount", F.col("l_extendedprice")))
     found = {(r.analyzer, r.scope) for r in agrees(spark, folder, "leak_every_analyzer")}
     assert not {a for a, _ in found} & {"mempool_edge", "execution_edge"} and {("target_copies", "discount"), ("target_copies", "copy")} <= found
+
+
+def test_momentum_with_closes_of_zero_and_flat_volumes(spark, changed):
+    # One trade an hour of each of two symbols over ten days; volumes go 1, 2, 2, 1, 1, 2, 2, 1, ... which is flat over many bars.
+    def hourly(e):
+        r, first = spark.range(480), e.first()
+        hour, user = F.floor(F.col("id") / 2), F.col("id") % 2
+        price = F.when((hour % 50 == 7) & (user == 0), 0.0).otherwise(F.round(50 + 10 * F.sin(hour * 0.7 + user), 2))
+        made = {"event_id": F.col("id"), "ts": F.expr("timestamp_ntz '2024-01-01 00:00:00'") + F.make_interval(hours=hour.cast("int")), "user_id": user, "event_type": F.lit(first.event_type), "value": price, "props": F.concat(F.lit('{"k": '), F.when((hour % 4).isin(0, 3), "0").otherwise("1"), F.lit("}"))}
+        return r.select(*[made[c].alias(c) for c in e.columns])
+
+    rows = agrees(spark, changed(events=hourly), "win_momentum_features")
+    assert len(rows) == 2 * (240 - 167) and all(abs(r.acceleration) < float("inf") for r in rows)
+    # Over twenty bars the volumes of a whole number of rounds have no slope.
+    bars = spark.createDataFrame([("S", i, 100.0 + i, (0.1, 0.7, 0.7, 0.1)[i % 4]) for i in range(400)], "symbol string, bar_start long, close double, volume double")
+    from quaysight.operators.features import momentum
+
+    got = {r.bar_start: r.price_volume_divergence for r in momentum(bars).collect()}
+    assert {v for i, v in got.items() if i % 4 == 3} == {-0.7}
