@@ -62,12 +62,22 @@ def blocks(df: DataFrame, keys: list[str], ts: str, order: list[str], halo: int,
     return out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_block")
 
 
-def spans(df: DataFrame, ts: str, back_us: int, ahead_us: int, step_s: int = 86400) -> DataFrame:
-    """df with _us, its time in microseconds, and with _span and _own: rows in ranges of step_s seconds, a range also with the rows up to
+def spans(df: DataFrame, ts: str, back_us: int, ahead_us: int, step_s: int = 86400, keys: tuple[str, ...] = ()) -> DataFrame:
+    """df, dealt by keys (if any) and _span, with _us, its time in microseconds, and with _span and _own: rows in ranges of step_s seconds, a range also with the rows up to
     back_us before and ahead_us after it (_own is false for these). A window over (keys, _span) in the order of _us whose frame is a
     range within these bounds gives the rows with _own what a window over the keys would. Rows without a time have one range."""
     step = max(step_s * 1000000, back_us, ahead_us)
     at = lambda c: F.floor(c / F.lit(step)).cast("long")
     timed = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
     reached = F.when(F.col("_us").isNotNull(), F.sequence(at(F.col("_us") - ahead_us), at(F.col("_us") + back_us)))
-    return timed.withColumn("_span", F.explode_outer(reached)).withColumn("_own", F.col("_span").eqNullSafe(at(F.col("_us"))))
+    out = timed.withColumn("_span", F.explode_outer(reached)).withColumn("_own", F.col("_span").eqNullSafe(at(F.col("_us"))))
+    return out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_span")  # as in blocks()
+
+
+def reached(keys: list[str], back_us: int, ahead_us: int) -> Column:
+    """The number of the keys' rows from back_us before a row's _us to ahead_us after it, itself included; rows without _us are counted
+    with each other, which takes keys that hold them apart, as _span does. It is the difference of two counts from the first row on, that
+    each look at a row once; a frame that slides is counted anew for every row."""
+    w = Window.partitionBy(*keys).orderBy("_us").rangeBetween
+    before = F.when(F.col("_us").isNotNull(), F.count("*").over(w(Window.unboundedPreceding, -back_us - 1))).otherwise(0)
+    return F.count("*").over(w(Window.unboundedPreceding, ahead_us)) - before

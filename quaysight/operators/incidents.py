@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import spans
+from .blocks import reached, spans
 
 
 def rate(incidents: DataFrame, unit: str) -> DataFrame:
@@ -54,8 +54,7 @@ def latest_state(df: DataFrame, keys: list[str], columns: list[str], order: list
 def spikes(incidents: DataFrame, seconds: int, least: int) -> DataFrame:
     """Incidents with at least so many of their class and agent in the trailing seconds (AGG-36)."""
     back = seconds * 1000000
-    w = Window.partitionBy("incident_class", "agent", "_span").orderBy("_us").rangeBetween(-back, 0)
-    return spans(incidents, "ts", back, 0).withColumn("recent", F.count("*").over(w)).where(F.col("_own") & (F.col("recent") >= least)).drop("_us", "_span", "_own")
+    return spans(incidents, "ts", back, 0, keys=("incident_class", "agent")).withColumn("recent", reached(["incident_class", "agent", "_span"], back, 0)).where(F.col("_own") & (F.col("recent") >= least)).drop("_us", "_span", "_own")
 
 
 def cascades(incidents: DataFrame, length: str, slide: str, agents: int, each: int) -> DataFrame:
@@ -107,9 +106,7 @@ def root_causes(incidents: DataFrame, minutes: int = 30, most: int = 50, step_s:
     or in a burst of more than five (JOIN-11). Counted over a range of times, without a self-join, by ranges of step_s seconds or the
     minutes, whichever is longer; rows without a time are neighbours of each other."""
     reach = minutes * 60 * 1000000
-    w = Window.partitionBy("agent", "_span").orderBy("_us").rangeBetween(-reach, reach)
-    n = F.count("*").over(w) - 1
-    found = spans(incidents, "ts", reach, reach, step_s).withColumn("_near", n).where("_own")
+    found = spans(incidents, "ts", reach, reach, step_s, ("agent",)).withColumn("_near", reached(["agent", "_span"], reach, reach) - 1).where("_own")
     near = F.col("_near")
     return found.withColumn("related", F.least(near, F.lit(most))).withColumn("isolated", near == 0).withColumn("burst", near > 5).drop("_near", "_us", "_span", "_own")
 

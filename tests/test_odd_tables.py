@@ -83,3 +83,30 @@ def test_momentum_with_closes_of_zero_and_flat_volumes(spark, changed):
 
     got = {r.bar_start: r.price_volume_divergence for r in momentum(bars).collect()}
     assert {v for i, v in got.items() if i % 4 == 3} == {-0.7}
+
+
+def test_counts_over_times_look_at_each_row_once(spark):
+    # 120,000 incidents of one agent in six hours: a frame that slides looks at 7,200,000,000 rows, which takes more than a minute.
+    import time
+
+    from quaysight.operators import incidents
+
+    df = spark.range(120000).select(F.col("id").alias("incident_id"), F.timestamp_seconds(F.col("id") * 0.18).alias("ts"), F.lit("x").alias("incident_class"), F.lit("a").alias("agent"))
+    began = time.time()
+    total = incidents.spikes(df, 6 * 3600, 5).agg(F.count("*").alias("n"), F.sum("recent").alias("s")).first()
+    assert (total.n, total.s) == (120000 - 4, sum(range(5, 120001)))
+    near = incidents.root_causes(df, 180).agg(F.count_if("burst").alias("n"), F.max("related").alias("m")).first()
+    assert (near.n, near.m) == (120000, 50) and time.time() - began < 30
+
+
+def test_spikes_against_brute_force_with_ties_and_no_times(spark):
+    from quaysight.operators import incidents
+
+    rows = [(i, None if i % 11 == 0 else (i * i) % 397 + 86400 * (i % 3) - 200, "x" if i % 4 else None, "a") for i in range(300)]
+    df = spark.createDataFrame(rows, "incident_id long, t long, incident_class string, agent string").withColumn("ts", F.timestamp_seconds("t"))
+    want = {}
+    for i, t, k, _ in rows:
+        n = sum(c == k and (u is None if t is None else u is not None and t - 60 <= u <= t) for _, u, c, _ in rows)
+        if n >= 5:
+            want[i] = n
+    assert {r.incident_id: r.recent for r in incidents.spikes(df, 60, 5).collect()} == want and len(want) > 50
