@@ -116,23 +116,22 @@ def related_ids(incidents: DataFrame, minutes: int = 30, most: int = 50, step_s:
     incident_id), and related_count, the number of all (JOIN-11). Rows without a time have none.
 
     In the order of a range of times the wanted ids stand together, from the first row in reach on. So rows are numbered, `run` of them
-    make one row of a list, and an incident is joined with the two lists that hold its ids: no row ever holds more than these.
+    make one row of a list, which also holds the next list's, and an incident is joined with the list that its ids begin in: no row ever
+    holds more than these, and none that is sorted but the lists holds any.
     """
     reach, run = minutes * 60 * 1000000, max(run, most + 1)
     part = Window.partitionBy("agent", "_span")
-    timed = spans(incidents.where("ts IS NOT NULL"), "ts", reach, reach, step_s)
+    timed = spans(incidents.where("ts IS NOT NULL"), "ts", reach, reach, step_s, ("agent",))
     timed = timed.withColumn("_n", F.row_number().over(part.orderBy("_us", "incident_id")) - 1)
-    near = part.orderBy("_us")
-    timed = timed.withColumn("_from", F.count("*").over(near.rangeBetween(Window.unboundedPreceding, -reach - 1)))
-    timed = timed.withColumn("related_count", F.count("*").over(near.rangeBetween(-reach, reach)) - 1)
-    lists = timed.groupBy("agent", "_span", F.floor(F.col("_n") / run).alias("_list")).agg(F.array_sort(F.collect_list(F.struct("_us", "incident_id"))).alias("_ids"))
-    own = timed.where("_own")
-    for name, list_ in (("_a", F.floor(F.col("_from") / run)), ("_b", F.floor(F.col("_from") / run) + 1)):
-        right = lists.select(F.col("agent").alias("_agent"), F.col("_span").alias("_s"), F.col("_list").alias("_l"), F.col("_ids").alias(name))
-        own = own.join(right, F.col("agent").eqNullSafe(F.col("_agent")) & (F.col("_span") == F.col("_s")) & (list_ == F.col("_l")), "left").drop("_agent", "_s", "_l")
-    both = F.slice(F.concat(F.col("_a"), F.coalesce("_b", F.array().cast(lists.schema["_ids"].dataType))), (F.col("_from") % run + 1).cast("int"), most + 1)
-    others = F.filter(both, lambda x: (x["_us"] <= F.col("_us") + reach) & (x["incident_id"] != F.col("incident_id")))
-    found = own.withColumn("related", F.slice(others["incident_id"], 1, most)).select(*incidents.columns, "related", "related_count")
+    lists = timed.groupBy("agent", "_span", F.floor(F.col("_n") / run).alias("_list")).agg(F.array_sort(F.collect_list(F.struct("_n", "incident_id")))["incident_id"].alias("_ids"))
+    after = F.coalesce(F.lead("_ids").over(part.orderBy("_list")), F.array().cast(lists.schema["_ids"].dataType))
+    lists = lists.select(F.col("agent").alias("_agent"), F.col("_span").alias("_s"), F.col("_list").alias("_l"), F.concat("_ids", after).alias("_ids"))
+    from_ = F.count("*").over(part.orderBy("_us").rangeBetween(Window.unboundedPreceding, -reach - 1))
+    own = timed.withColumn("_from", from_).withColumn("_near", reached(["agent", "_span"], reach, reach)).where("_own")
+    here = F.col("agent").eqNullSafe(F.col("_agent")) & (F.col("_span") == F.col("_s")) & (F.floor(F.col("_from") / run) == F.col("_l"))
+    near = F.slice("_ids", (F.col("_from") % run + 1).cast("int"), F.least(F.col("_near"), F.lit(most + 1)).cast("int"))
+    found = own.join(lists, here).withColumn("related", F.slice(F.filter(near, lambda x: x != F.col("incident_id")), 1, most))
+    found = found.select(*incidents.columns, "related", (F.col("_near") - 1).alias("related_count"))
     timeless = incidents.where("ts IS NULL").withColumn("related", F.array().cast(found.schema["related"].dataType)).withColumn("related_count", F.lit(0).cast("long"))
     return found.unionByName(timeless)
 

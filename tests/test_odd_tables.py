@@ -110,3 +110,16 @@ def test_spikes_against_brute_force_with_ties_and_no_times(spark):
         if n >= 5:
             want[i] = n
     assert {r.incident_id: r.recent for r in incidents.spikes(df, 60, 5).collect()} == want and len(want) > 50
+
+
+def test_related_ids_of_many_within_reach(spark):
+    # 100,000 incidents of one agent in one minute, two to a time: each has all others in reach.
+    import time
+
+    from quaysight.operators import incidents
+
+    df = spark.range(100000).select(F.col("id").alias("incident_id"), F.timestamp_micros((F.col("id") / 2).cast("long") * 1000).alias("ts"), F.lit("a").alias("agent"))
+    began = time.time()
+    found = incidents.related_ids(df).select("incident_id", "related_count", F.size("related").alias("n"), F.get("related", F.lit(49)).alias("last"), F.array_contains("related", F.col("incident_id")).alias("own"))
+    got = found.agg(F.min("related_count"), F.max("related_count"), F.min("n"), F.count_if("own"), F.sum("last")).first()
+    assert tuple(got) == (99999, 99999, 50, 0, 50 * 50 + 49 * (100000 - 50)) and time.time() - began < 30
