@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.io import kept as written
 from .blocks import summed
 
 BPS = (10, 50, 100, 500, 1000)
@@ -127,7 +128,9 @@ def settled(rows: DataFrame, depth: int = 12, state: dict[str, DataFrame] | None
 
     Rows come in the order of (captured, id). state holds what the rows so far leave: `pending` rows, `tips` by chain, and the last
     `hashes` of blocks that aren't final. Rows in several portions, each with the state of the ones before, give what they give at once.
-    Work is dealt by chain and block, and by chain and range of `step` captured units for the tips, so that a chain is many tasks.
+    Work is dealt by chain and block, and by chain and range of `step` captured units for the tips, so that a chain is many tasks. Only
+    the rows of blocks with several hashes are sorted; a chain's tip at a row is the highest block whose first row came by then. Blocks,
+    what turned and cuts are written once, to the shared folder, when settled() is called.
     """
     columns = ("chain", "id", "block", "hash", "captured")
     new, state = rows.select(*columns), state or {}
@@ -135,19 +138,27 @@ def settled(rows: DataFrame, depth: int = 12, state: dict[str, DataFrame] | None
     known = new.withColumn("_new", F.lit(True))
     if hashes is not None:
         known = known.unionByName(hashes.withColumn("id", F.lit(None).cast(new.schema["id"].dataType)).withColumn("_new", F.lit(False)))
+    at = F.struct("captured", "id")
+    seen = known.groupBy("chain", "block").agg(
+        F.max_by(F.struct("hash", "captured"), at).alias("h"), F.min(F.when(F.col("_new"), at)).alias("_first"), (F.min("hash") != F.max("hash")).alias("_several"),
+    )
+    seen = written(seen, "blocks")
+    rises = seen.where("_first IS NOT NULL").select("chain", "block", "_first.*")
     before = F.lag("hash").over(Window.partitionBy("chain", "block").orderBy("captured", "id"))
-    known = summed(known.withColumn("_was", before), ["chain"], "captured", ["captured", "id"], "block", "_tip", step, F.max)
+    turned = known.join(seen.where("_several").select("chain", "block"), ["chain", "block"], "left_semi").withColumn("_was", before).where(F.col("_new") & (F.col("hash") != F.col("_was")))
+    turned = written(turned.select("chain", "block", "captured", "id", F.lit(True).alias("_turned")).unionByName(rises, allowMissingColumns=True), "turned")
+    turned = summed(turned, ["chain"], "captured", ["captured", "id"], "block", "_tip", step, F.max).where("_turned")
     if tips is not None:
-        known = known.join(tips.select("chain", F.col("tip").alias("_old")), "chain", "left").withColumn("_tip", F.greatest("_tip", "_old")).drop("_old")
-    turned = known.where(F.col("_new") & (F.col("hash") != F.col("_was")) & (F.col("block") > F.col("_tip") - depth))
+        turned = turned.join(tips.select("chain", F.col("tip").alias("_old")), "chain", "left").withColumn("_tip", F.greatest("_tip", "_old")).drop("_old")
+    turned = turned.where(F.col("block") > F.col("_tip") - depth)
     cuts = turned.select("chain", F.explode(F.sequence("block", "_tip")).alias("block"), F.struct("captured", "id").alias("_cut"))  # `depth` blocks at most
-    cuts = cuts.groupBy("chain", "block").agg(F.max("_cut").alias("_cut"))
+    cuts = written(cuts.groupBy("chain", "block").agg(F.max("_cut").alias("_cut")), "cuts")
     pending = new.unionByName(state["pending"]) if "pending" in state else new
-    tip = new.groupBy("chain").agg(F.max("block").alias("tip"))
+    tip = rises.groupBy("chain").agg(F.max("block").alias("tip"))
     tip = tip if tips is None else tip.unionByName(tips).groupBy("chain").agg(F.max("tip").alias("tip"))
     kept = pending.join(cuts, ["chain", "block"], "left").where("_cut IS NULL OR NOT struct(captured, id) < _cut").join(tip, "chain")
     final = F.col("block") <= F.col("tip") - depth
-    last = known.groupBy("chain", "block").agg(F.max_by(F.struct("hash", "captured"), F.struct("captured", "id")).alias("h")).join(tip, "chain").where(~final)
+    last = seen.join(tip, "chain").where(~final)
     return kept.where(final).select(*columns), {"pending": kept.where(~final).select(*columns), "tips": tip, "hashes": last.select("chain", "block", "h.hash", "h.captured")}
 
 

@@ -27,11 +27,16 @@ def query(sql: str | None = None):
 
 
 def landed(rows: DataFrame, batch: Column, n: int) -> DataFrame:
-    """rows as a stream of n micro-batches, written one after the other; batch: the number of each row's."""
+    """rows as a stream of n micro-batches, written one after the other; batch: the number of each row's. A micro-batch is a file for each
+    core, so that it is as many tasks; each file begins with a row of its own, so that none is missing where rows are few."""
     spark, path = rows.sparkSession, io.scratch(rows.sparkSession, "landed")
+    files = spark.sparkContext.defaultParallelism
+    marks = spark.range(files).select(F.col("id").alias("_file"))
     for b in range(n):
-        rows.where(batch == b).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+        dealt = rows.where(batch == b).withColumns({"_file": F.pmod(F.xxhash64(*rows.columns), F.lit(files)), "_row": F.lit(True)})
+        dealt.unionByName(marks, allowMissingColumns=True).repartitionById(files, F.col("_file").cast("int")).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
+    return stream.where("_row").select(*rows.columns)
 
 
 def _timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +128,7 @@ def str_reorganised(spark: SparkSession, sf_dir: str) -> DataFrame:
     alt = i % 700 < 9
     block = (F.floor(i / 100) - F.when(alt, 3).otherwise(0)).cast("long").alias("block")
     f = adapters.flows(spark, sf_dir).select("chain", i.cast("long").alias("id"), block, F.when(alt, F.concat(F.lit("alt"), F.floor(i / 700).cast("string"))).otherwise("main").alias("hash"), i.cast("long").alias("captured"))
+    f = io.kept(f, "flows")
     edge = f.agg(F.max("captured").alias("m")).first()["m"]
 
     def step(rows: DataFrame, state: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:

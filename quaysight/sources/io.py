@@ -30,6 +30,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df, written to a new shared folder and read from there: for what is used several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def schema_of(definition: dict[str, str]) -> T.StructType:
     """A schema from simple type names (SRC-10)."""
     return T.StructType([T.StructField(name, TYPES.get(kind, T.StringType())) for name, kind in definition.items()])

@@ -208,3 +208,37 @@ def test_settled_agrees_with_finalized_on_one_reorganisation(spark):
     df = spark.createDataFrame(rows, "chain string, id long, block long, hash string, captured long")
     one = {r.id for r in market.settled(df, 12)[0].collect()}
     assert one == {r.id for r in market.finalized(df.withColumnsRenamed({"block": "block_number", "hash": "block_hash"})).collect()}
+
+
+def test_a_landed_micro_batch_is_many_tasks(spark):
+    from quaysight.plans.timed import landed as in_batches
+
+    rows = spark.createDataFrame([(i, min(i // 1000, 3) if i < 3003 else None) for i in range(3010)], "id long, b int")  # the last one: three rows
+    seen = []
+
+    def look(part, n):
+        seen.append((n, sorted(r.id for r in part.collect()), part.where("id IS NOT NULL").groupBy(F.spark_partition_id()).count().count()))
+
+    q = in_batches(rows, F.col("b"), 5).select("id").writeStream.foreachBatch(look).option("checkpointLocation", io.scratch(spark, "progress")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [s[1] for s in seen] == [list(range(1000)), list(range(1000, 2000)), list(range(2000, 3000)), [3000, 3001, 3002], []]
+    assert [s[2] for s in seen[:3]] == [spark.sparkContext.defaultParallelism] * 3
+
+
+def test_settled_sorts_only_blocks_with_several_hashes(spark, monkeypatch):
+    """60,000 rows of 600 blocks, of which one is taken back: the running tip is made from a row per block and the row that turns."""
+    real, sizes = market.summed, []
+
+    def summed(df, *args, **options):
+        sizes.append(df.count())
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(market, "summed", summed)
+    i = F.col("id")
+    block = F.when(i == 40555, 402).otherwise(F.floor(i / 100)).cast("long").alias("block")
+    df = spark.range(60000).select(F.lit("x").alias("chain"), "id", block, F.when(i == 40555, "b").otherwise("a").alias("hash"), i.alias("captured"))
+    final, state = market.settled(df, 12)
+    gone = {*range(40200, 40555)}
+    assert {r.id for r in final.collect()} == {x for x in range(60000) if x not in gone and x // 100 <= 587}
+    assert state["tips"].first()["tip"] == 599 and {r.block for r in state["hashes"].collect()} == {*range(588, 600)} == {r.block for r in state["pending"].collect()}
+    assert sizes == [601]
