@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -440,6 +441,25 @@ def test_op10_spans_and_odd(spark):
     assert pieces.encode(docs_of(spark, ODD).limit(0), MODEL).count() == 0
 
 
+def test_op10_many_different_segments():
+    # At 6 GB most of the time went to segments merged one by one: those of a slice are merged together, with the same results.
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("etaoinshrdlué漢😀") for _ in range(rng.randint(4, 14)))
+    texts = ["", "▁", " \n", "x" * 65, "é" * 300, *(" ".join(word() for _ in range(150)) for _ in range(400))]
+    c = pieces.Codec(MODEL)
+    began = time.process_time()
+    want = [c.encode(t) for t in texts]
+    alone = time.process_time() - began
+    began = time.process_time()
+    ids, starts, ends, cuts = c.encode_all(texts)
+    together = time.process_time() - began
+    decoded = c.decode_all(ids, cuts).to_pylist()
+    for i, (one, offsets) in enumerate(want):
+        at = slice(cuts[i], cuts[i + 1])
+        assert (ids[at].tolist(), starts[at].tolist(), ends[at].tolist(), decoded[i]) == (one.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), c.decode(one.tolist()))
+    assert together < alone * 0.6, (together, alone)
+
+
 def test_chars_map():
     """A hand-made double array with the rules a -> x and ab -> yz."""
     units = [0] * 512
